@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KAPPA = 2.0 / 7.0
 EPSILON = 0.62195691
@@ -62,7 +63,7 @@ def equivalent_potential_temperature(press: Column, temp_k: Column, dew_k: Colum
     return dry * F.exp(mix * (1.0 + 0.448 * mix) * (3036.0 / at_lcl - 1.78))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def saturated_temperature(press: pd.Series, theta_e: pd.Series, lcl_k: pd.Series) -> pd.Series:
     """Temperature (K) at ``press`` of a saturated parcel with equivalent potential
     temperature ``theta_e`` that became saturated at ``lcl_k``.
