@@ -46,7 +46,7 @@ def current_state(events: DataFrame) -> DataFrame:
     moved = F.col("kind") != REGISTERED
     latest = events.groupBy(*KEYS).agg(
         F.max_by(F.struct("kind", "at", "text"), F.when(moved, F.struct("seq", "kind"))).alias("last"),
-        F.max_by(F.col("at"), F.when(F.col("kind") == IMPORTED, F.col("seq"))).alias("imported_at"),
+        F.max_by(F.struct("at", "text"), F.when(F.col("kind") == IMPORTED, F.col("seq"))).alias("done"),
         F.max(F.when(F.col("kind") == IMPORTED, F.col("seq"))).alias("imported_seq"),
         F.max(F.when(F.col("kind") == FAILED, F.col("seq"))).alias("failed_seq"),
     )
@@ -56,9 +56,9 @@ def current_state(events: DataFrame) -> DataFrame:
     )
     return latest.select(
         *KEYS,
-        F.when(stands, F.col("imported_at")).alias("date_of_import"),
+        F.when(stands, F.col("done.at")).alias("date_of_import"),
         F.when(~stands & kind.isin(SKIPPED, FAILED), note(F.col("last.text"))).alias("note"),
-        F.when(stands, F.col("last.text")).alias("detail"),
+        F.when(stands, F.col("done.text")).alias("detail"),
     )
 
 
