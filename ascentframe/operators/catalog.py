@@ -64,8 +64,8 @@ def launch_labels(launch_rows: DataFrame, dim: DataFrame, file_keys: Sequence[st
 
 def catalogue(launch_rows: DataFrame, dim: DataFrame, file_keys: Sequence[str]) -> DataFrame:
     """Launches with ``variable_labels``: map code -> label."""
-    names = dim.agg(F.map_from_entries(F.collect_list(F.struct("code", "label"))).alias("_names"))
-    rows = launch_rows.join(F.broadcast(names), how="cross")  # one row: the dictionary
+    names = dim.agg(F.map_from_entries(F.collect_list(F.struct("code", "label")))).scalar()
+    rows = launch_rows.withColumn("_names", names)
     label = F.map_from_arrays(
         F.col("codes"),
         F.transform("codes", lambda c: text.label_or_code(F.col("_names")[c], c)),

@@ -68,7 +68,8 @@ def header_match(name: Column, expected: Column, actual: Column) -> Column:
     same_text = F.trim(expected).eqNullSafe(F.trim(actual))
     near = F.abs(F.unix_micros(te) - F.unix_micros(ta)) < 1_000_000
     timed = F.lower(name).rlike(TIME_WORDS) & te.isNotNull() & ta.isNotNull()
-    return F.when(timed, near).when(e.isNotNull() & a.isNotNull(), close(e, a, HEADER_ABS)).otherwise(same_text)
+    numbers = e.isNotNull() & a.isNotNull()
+    return F.when(numbers, close(e, a, HEADER_ABS)).when(timed, near).otherwise(same_text)
 
 
 def compare_headers(expected: DataFrame, actual: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

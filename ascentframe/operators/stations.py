@@ -54,9 +54,9 @@ def upsert_stations(current: DataFrame, incoming: DataFrame, network: str) -> Da
     fresh = incoming.join(current.select("idstation"), "idstation", "left_anti").withColumn("_all", F.lit(1))
     fresh = per_group(fresh, ["_all"], [F.asc("idstation")], code_position(F.col("idstation")),
                       lambda group: group.number("_nth").df)
-    top = current.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))  # one row
-    fresh = fresh.join(F.broadcast(top), how="cross").select(
-        (F.col("_top") + F.col("_nth")).cast(current.schema["id"].dataType).alias("id"),
+    top = current.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    fresh = fresh.select(
+        (top + F.col("_nth")).cast(current.schema["id"].dataType).alias("id"),
         "idstation", *DESCRIPTIVE, F.lit(network).alias("network"),
     )
     return merged.unionByName(fresh)
