@@ -1 +1,4 @@
-"""queries."""
+"""Registered queries over the given tables."""
+
+from ascentframe.queries import profiles  # noqa: F401
+from ascentframe.queries.registry import QUERIES, TWINS  # noqa: F401

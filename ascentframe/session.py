@@ -21,6 +21,7 @@ def build_session(master: str | None = None, app: str = "ascentframe", **conf) -
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)
     for key, value in settings.items():
