@@ -322,10 +322,10 @@ def thermal_tropopause(spark, sf_dir):
     return rows.select("g_product_id", _r("diag_tropopause_p"), _r("diag_tropopause_t"))
 
 
-WIND_COLS = {name: 4 for name in C.SCALAR_DIAGNOSTICS if "shear" in name or "srh" in name}
+WIND_COLS = {name: 9 for name in C.SCALAR_DIAGNOSTICS if "shear" in name or "srh" in name}
 _WIND_SQL = ", ".join(
-    [f"round(s{a}{km}000,4) AS diag_shear_0_{km}km_{a}" for km in (1, 3, 6) for a in "uv"]
-    + [f"round({p},4) AS diag_srh_0_3km_{p}" for p in ("pos", "neg", "tot")]
+    [f"round(s{a}{km}000,9) AS diag_shear_0_{km}km_{a}" for km in (1, 3, 6) for a in "uv"]
+    + [f"round({p},9) AS diag_srh_0_3km_{p}" for p in ("pos", "neg", "tot")]
 )
 _WIND_JOIN = "FROM w1000 JOIN w3000 USING (sid) JOIN w6000 USING (sid) JOIN srh USING (sid)"
 
@@ -358,7 +358,7 @@ SELECT sid AS g_product_id, {_PARCEL_SQL}, {_INDEX_SQL},
 FROM par JOIN idx USING (sid) LEFT JOIN trp USING (sid) JOIN w1000 USING (sid) JOIN w3000 USING (sid)
   JOIN w6000 USING (sid) JOIN srh USING (sid) JOIN cld USING (sid) JOIN msc USING (sid)"""))
 def sounding_diagnostics(spark, sf_dir):
-    digits = {name: PARCEL_COLS.get(name, 4) for name in C.SCALAR_DIAGNOSTICS}
+    digits = {name: {**PARCEL_COLS, **WIND_COLS}.get(name, 4) for name in C.SCALAR_DIAGNOSTICS}
     return _scalar_query(spark, sf_dir, digits)
 
 

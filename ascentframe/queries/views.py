@@ -15,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# One formula text per column: Spark and the SQL twins read the same words.
+ARCHIVE_COLUMNS = {
+    "station": "concat('ST', chr(CAST(65 + o_custkey % 5 AS INT)))",
+    "folder": "CASE WHEN o_orderkey % 2 = 0 THEN '-RS-01' ELSE '-RS-02' END",
+    "product": "CASE o_orderstatus WHEN 'F' THEN 'RS41-GDP' WHEN 'O' THEN 'RS92-GDP' ELSE 'IMS-100-GDP' END",
+    "extra": "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '2_' END",
+    "grp": "concat('1-00', CAST(o_orderkey % 2 AS STRING), '-00', CAST(o_custkey % 4 AS STRING))",
+    "tail": "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN '.jar' WHEN '4' THEN '.zip' "
+            "ELSE concat('_rev00', substring(o_orderpriority, 1, 1), '.jar') END",
+}
+
+
 def seconds(ts):
     """Epoch seconds with the fraction, from a timestamp without zone."""
     return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
@@ -48,3 +60,46 @@ def sounding_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(sid % 7 != 0, -2.0 + 0.1 * k).alias("v"),
         F.when(sid % 2 == 0, F.lit("CF-1.4")).otherwise(F.lit("CF-1.7")).alias("conventions"),
     )
+
+
+def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One archive path per order; several may belong to one launch."""
+    orders = table(spark, sf_dir, "orders")
+    parts = orders.select("*", *[F.expr(text).alias(f"f_{name}") for name, text in ARCHIVE_COLUMNS.items()])
+    stamp = F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss")
+    code = F.concat("f_station", "f_folder")
+    name = F.concat(code, F.lit("_"), "f_extra", "f_product", F.lit("_00"), (F.col("o_custkey") % 3).cast("string"),
+                    F.lit("_"), stamp, F.lit("_"), "f_grp", F.lit("_AI"), F.col("o_orderkey").cast("string"), "f_tail")
+    return parts.select(
+        F.concat(F.lit("archive/"), code, F.lit("/"), name).alias("path"),
+        F.col("o_orderkey").alias("length"),
+        F.col("o_orderdate").alias("modificationTime"),
+    )
+
+
+ARCHIVE_SQL = (
+    "fa AS (SELECT *, "
+    + ", ".join(f"{text.replace('STRING', 'VARCHAR')} AS f_{name}" for name, text in ARCHIVE_COLUMNS.items())
+    + """ FROM orders),
+files AS (
+  SELECT 'archive/' || f_station || f_folder || '/' || f_station || f_folder || '_' || f_extra || f_product || '_00'
+    || CAST(o_custkey % 3 AS VARCHAR) || '_' || strftime(o_orderdate, '%Y%m%dT%H%M%S') || '_' || f_grp || '_AI'
+    || CAST(o_orderkey AS VARCHAR) || f_tail AS path, * FROM fa)"""
+)
+
+
+def tracking_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tracked file per order: imported, excluded with a note, or waiting."""
+    status = F.col("o_orderstatus")
+    return table(spark, sf_dir, "orders").select(
+        F.substring("o_orderpriority", 3, 20).alias("sonde"),
+        F.concat(F.lit("file-"), F.col("o_orderkey").cast("string")).alias("filename"),
+        F.when(status == "F", F.col("o_orderdate").cast("timestamp")).alias("date_of_import"),
+        F.when(status == "P", F.concat(F.lit("excluded "), F.col("o_custkey").cast("string"))).alias("note"),
+    )
+
+
+STATE_SQL = """st AS (
+  SELECT substring(o_orderpriority, 3, 20) AS sonde, 'file-' || CAST(o_orderkey AS VARCHAR) AS filename,
+    CASE WHEN o_orderstatus='F' THEN o_orderdate END AS date_of_import,
+    CASE WHEN o_orderstatus='P' THEN 'excluded ' || CAST(o_custkey AS VARCHAR) END AS note, * FROM orders)"""
