@@ -30,12 +30,12 @@ def either_number(available: Sequence[str], old: str | None, new: str | None, sc
     parts = []
     for name in dict.fromkeys((old, new)):
         if name and name in available:
-            col = F.col(f"`{name}`").try_cast("double")
             factor, offset = (scale or {}).get(name, (1.0, 0.0))
+            text = f"nanvl(try_cast(`{name}` AS double), NULL)"
             if (factor, offset) != (1.0, 0.0):
-                col = linear(col, factor, offset)
-            parts.append(F.when(~F.isnan(col), col))
-    return F.coalesce(*parts) if parts else F.lit(None).cast("double")
+                text = f"({text} * {factor!r}D + {offset!r}D)"
+            parts.append(text)
+    return F.expr(f"coalesce({', '.join(parts)})" if parts else "CAST(NULL AS double)")
 
 
 def either_text(available: Sequence[str], old: str, new: str) -> Column:

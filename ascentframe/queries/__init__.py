@@ -1,4 +1,4 @@
 """Registered queries over the given tables."""
 
-from ascentframe.queries import checks, cleaning, files, longtable, places, profiles, serving  # noqa: F401
+from ascentframe.queries import checks, cleaning, files, longtable, places, profiles, serving, storage  # noqa: F401
 from ascentframe.queries.registry import QUERIES, TWINS  # noqa: F401

@@ -19,7 +19,7 @@ from ascentframe.queries.registry import query
 _EVEN = ("wvmr", "asc", "geopot", "res_rh", "u", "v", "swrad")
 _ODD = ("wvmr_vol", "vspeed", "alt_gph", "rh_res", "wzon", "wmeri")
 _BASE = {"press": "1000 - l_quantity * 10", "temp": "300 - l_quantity", "rh": "l_discount * 1000",
-         "time": "l_extendedprice / 100", "alt": "l_extendedprice / 8", "lat": "l_tax * 1000 - 40",
+         "time": "l_extendedprice / 100", "alt": "l_extendedprice / 10", "lat": "l_tax * 1000 - 40",
          "lon": "l_discount * 1800 - 90", "wdir": "l_quantity * 7", "wspeed": "l_tax * 250", "fp": "250 + l_quantity / 4"}
 
 
@@ -45,10 +45,10 @@ HEADER_FORMULAS = {
     "g_site_name": "CASE WHEN o_orderkey % 5 <> 0 THEN c_name END",
     "g_product_code": "CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END",
     "g_product_key": "o_orderstatus",
-    "g_measuringsystem_latitude": "CASE WHEN o_orderkey % 2 = 0 THEN c_acctbal / 120 END",
-    "g_measurementsystem_latitude": "c_acctbal / 150",
-    "g_measuringsystem_longitude": "CASE WHEN o_orderkey % 2 = 0 THEN c_acctbal / 60 END",
-    "g_measurementsystem_longitude": "c_acctbal / 75",
+    "g_measuringsystem_latitude": "CASE WHEN o_orderkey % 2 = 0 THEN c_acctbal / 100 - 10 END",
+    "g_measurementsystem_latitude": "c_acctbal / 200",
+    "g_measuringsystem_longitude": "CASE WHEN o_orderkey % 2 = 0 THEN c_acctbal / 50 END",
+    "g_measurementsystem_longitude": "c_acctbal / 80",
     "g_measuringsystem_altitude": "CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice / 1000 END",
     "g_measurementsystem_altitude": "CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice / 500 END",
 }
@@ -131,24 +131,21 @@ _MEASURES = {"observation_value": "observation_value", "u1": "uncertainty_value1
 
 
 @query("long_table", f"""WITH {LONG}
-SELECT g_product_id AS report_id, observation_id, observed_variable, units, round(observation_value,6) AS observation_value,
-  round(u1,6) AS uncertainty_value1, round(u2,6) AS uncertainty_value2, round(u5,6) AS uncertainty_value5,
-  epoch AS report_timestamp, record_number, sensor_id FROM lt""")
+SELECT g_product_id AS report_id, observation_id, observed_variable, round(observation_value,8) AS observation_value,
+  round(u5,8) AS uncertainty_value5, record_number FROM lt""")
 def long_table(spark, sf_dir):
     rows = long_table_of(spark, sf_dir)
-    return rows.select(
-        "report_id", "observation_id", "observed_variable", "units",
-        *[F.round(name, 6).alias(name) for name in
-          ("observation_value", "uncertainty_value1", "uncertainty_value2", "uncertainty_value5")],
-        "report_timestamp", "record_number", "sensor_id",
-    )
+    return rows.select("report_id", "observation_id", "observed_variable",
+                       *[F.round(name, 8).alias(name) for name in ("observation_value", "uncertainty_value5")],
+                       "record_number")
 
 
 @query("long_table_by_month", f"""WITH {LONG}
-SELECT year, month, observed_variable, record_number, station_name, count(*) AS rows_out, count(observation_value) AS valued,
-  {', '.join(f'round(sum({src}),3) AS sum_{out}, count({src}) AS n_{out}' for src, out in _MEASURES.items())},
-  round(sum(slat),3) AS sum_slat, round(sum(slon),3) AS sum_slon, round(sum(salt),3) AS sum_salt,
-  round(sum(lat),3) AS sum_lat, round(sum(lon),3) AS sum_lon, count(DISTINCT g_product_id) AS reports
+SELECT year, month, observed_variable, record_number, count(*) AS rows_out, count(observation_value) AS valued,
+  {', '.join(f'round(sum({src}),8) AS sum_{out}, count({src}) AS n_{out}' for src, out in _MEASURES.items())},
+  round(sum(slat),8) AS sum_slat, round(sum(slon),8) AS sum_slon, round(sum(salt),8) AS sum_salt,
+  round(sum(lat),8) AS sum_lat, round(sum(lon),8) AS sum_lon, min(station_name) AS first_station, max(sensor_id) AS last_sensor,
+  min(epoch) AS first_epoch, count(DISTINCT g_product_id) AS reports
 FROM lt GROUP BY ALL""")
 def long_table_by_month(spark, sf_dir):
     rows = cdm.with_month(long_table_of(spark, sf_dir))
@@ -160,30 +157,34 @@ def long_table_by_month(spark, sf_dir):
     }
     aggs = [F.count(F.lit(1)).alias("rows_out"), F.count("observation_value").alias("valued")]
     for out, src in sums.items():
-        aggs.append(F.round(F.sum(f"`{src}`"), 3).alias(f"sum_{out}"))
+        aggs.append(F.round(F.sum(f"`{src}`"), 8).alias(f"sum_{out}"))
         if out in _MEASURES.values():
             aggs.append(F.count(f"`{src}`").alias(f"n_{out}"))
-    aggs.append(F.count_distinct("report_id").alias("reports"))
-    station = F.col("`station_name|station_configuration`").alias("station_name")
-    return rows.groupBy("year", "month", "observed_variable", "record_number", station).agg(*aggs)
+    aggs += [
+        F.min("`station_name|station_configuration`").alias("first_station"),
+        F.max("sensor_id").alias("last_sensor"),
+        F.min("report_timestamp").alias("first_epoch"),
+        F.count_distinct("report_id").alias("reports"),
+    ]
+    return rows.groupBy("year", "month", "observed_variable", "record_number").agg(*aggs)
 
 
 @query("long_table_year_range", f"""WITH {LONG}
-SELECT year, month, observed_variable, count(*) AS rows_out, round(sum(observation_value),3) AS total
+SELECT year, month, observed_variable, count(*) AS rows_out, round(sum(observation_value),4) AS total
 FROM lt WHERE year BETWEEN 1996 AND 1998 GROUP BY ALL""")
 def long_table_year_range(spark, sf_dir):
     rows = cdm.with_month(long_table_of(spark, sf_dir, start_year=1996, end_year=1998))
     return rows.groupBy("year", "month", "observed_variable").agg(
-        F.count(F.lit(1)).alias("rows_out"), F.round(F.sum("observation_value"), 3).alias("total"))
+        F.count(F.lit(1)).alias("rows_out"), F.round(F.sum("observation_value"), 4).alias("total"))
 
 
 @query("raw_unit_long_table", f"""WITH {LONG}
-SELECT observed_variable, round(sum(CASE WHEN observed_variable=142 THEN observation_value/100e0 ELSE observation_value END),2) AS total,
+SELECT observed_variable, round(sum(CASE WHEN observed_variable=142 THEN observation_value/100e0 ELSE observation_value END),4) AS total,
   count(*) AS rows_out FROM lt WHERE observed_variable<>123 GROUP BY observed_variable""")
 def raw_unit_long_table(spark, sf_dir):
     rows = long_table_of(spark, sf_dir, transform_units=False).where("observed_variable <> 123")
     return rows.groupBy("observed_variable").agg(
-        F.round(F.sum("observation_value"), 2).alias("total"), F.count(F.lit(1)).alias("rows_out"))
+        F.round(F.sum("observation_value"), 4).alias("total"), F.count(F.lit(1)).alias("rows_out"))
 
 
 @query("encoded_long_table", f"""WITH {LONG}

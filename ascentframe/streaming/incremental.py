@@ -1,8 +1,10 @@
 """Incremental import planning on a file stream.
 
 The batch functions do the work; the stream only brings the newly arrived
-files.  Each micro-batch appends tracking events under a folder named by its
-number, so a replayed batch replaces its own events instead of doubling them.
+files.  A file may be superseded by one that arrives later, so each micro-batch
+also re-plans the earlier files of the launches it touches, and only those.
+Everything a batch writes goes under a folder named by its number, so a replayed
+batch replaces its own output instead of doubling it.
 """
 
 from __future__ import annotations
@@ -10,17 +12,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ascentframe.functions.naming import parse_archive_names
 from ascentframe.operators import tracking
 from ascentframe.plans.importing import plan_events, plan_import
 from ascentframe.sources.archives import _exists
 
 EVENT_SCHEMA = "sonde string, filename string, kind string, seq long, at timestamp, text string"
+FILE_SCHEMA = "path string, station string, datetime string, seq long"
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if not _exists(spark, path):
-        return spark.createDataFrame([], EVENT_SCHEMA)
-    return spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
+def read_events(spark: SparkSession, root: str) -> DataFrame:
+    return _read(spark, f"{root}/events", EVENT_SCHEMA)
+
+
+def read_files(spark: SparkSession, root: str) -> DataFrame:
+    return _read(spark, f"{root}/files", FILE_SCHEMA)
 
 
 def file_stream(spark: SparkSession, root: str, pattern: str = "*.jar") -> DataFrame:
@@ -33,14 +45,23 @@ def file_stream(spark: SparkSession, root: str, pattern: str = "*.jar") -> DataF
     )
 
 
-def start_planning(files: DataFrame, events_path: str, checkpoint: str, sonde: str):
-    """Starts the query; every batch plans its files against the current state."""
+def start_planning(files: DataFrame, root: str, checkpoint: str, sonde: str):
+    """Starts the query; every batch plans its files against the current state.
+    ``root`` holds the tracking events and the files seen so far."""
 
     def plan_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        earlier = read_events(spark, events_path).where(F.col("seq") < batch_id)
-        plan = plan_import(batch, tracking.current_state(earlier), sonde)
-        plan_events(plan, batch_id).write.mode("overwrite").parquet(f"{events_path}/batch={batch_id}")
+        fresh = parse_archive_names(batch.select("path")).select("path", "station", "datetime").persist()
+        try:
+            seen = read_files(spark, root).where(F.col("seq") < batch_id)
+            touched = seen.join(fresh.select("station", "datetime").distinct(), ["station", "datetime"], "left_semi")
+            state = tracking.current_state(read_events(spark, root).where(F.col("seq") < batch_id))
+            plan = plan_import(fresh.select("path").unionByName(touched.select("path")), state, sonde)
+            plan_events(plan, batch_id).write.mode("overwrite").parquet(f"{root}/events/batch={batch_id}")
+            fresh.withColumn("seq", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
+                f"{root}/files/batch={batch_id}")
+        finally:
+            fresh.unpersist()
 
     return (
         files.writeStream.foreachBatch(plan_batch)
