@@ -37,17 +37,22 @@ def without_revision(member: Column) -> Column:
     return F.regexp_extract(member, r"(.+?)(?:_rev\d{3})?\.nc$", 1)
 
 
+_SPLIT = "\x01"
+_ALL_FIELDS = _SPLIT.join(f"${place}" for place in range(1, len(ARCHIVE_FIELDS) + 1))
+
+
 def parse_archive_names(files: DataFrame, path: str = "path") -> DataFrame:
     """Adds ``filename``, ``matches`` and the parsed fields; ``group_no`` and
     ``rev_no`` as numbers (no revision counts as 0).  A name that does not match
-    has NULL fields."""
+    has NULL fields.  The pattern is evaluated once per name."""
     df = files.withColumn("filename", base_name(F.col(path)))
-    df = df.withColumn("matches", F.col("filename").rlike(ARCHIVE_PATTERN))
+    df = df.withColumn("_parts", F.split(F.regexp_replace("filename", f"^.*?{ARCHIVE_PATTERN}", _ALL_FIELDS), _SPLIT))
+    df = df.withColumn("matches", F.size("_parts") == len(ARCHIVE_FIELDS))
     fields = {
-        name: F.when(F.col("matches"), F.nullif(F.regexp_extract("filename", ARCHIVE_PATTERN, place), F.lit("")))
-        for place, name in enumerate(ARCHIVE_FIELDS, start=1)
+        name: F.when(F.col("matches"), F.nullif(F.get("_parts", F.lit(place)), F.lit("")))
+        for place, name in enumerate(ARCHIVE_FIELDS)
     }
-    df = df.withColumns(fields)
+    df = df.withColumns(fields).drop("_parts")
     return df.withColumns(
         {
             "group_no": F.split_part("group", F.lit("-"), F.lit(3)).try_cast("int"),

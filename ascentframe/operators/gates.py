@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ascentframe import contracts as C
-from ascentframe.functions.text import lower_keys
 from ascentframe.functions.times import lenient_timestamp
 
 CONVENTIONS, PRODUCT = "Conventions", "g.Product.ID"
@@ -55,7 +54,7 @@ def judge_soundings(attrs: DataFrame, level_counts: DataFrame, stations: DataFra
     def reason(condition: Column, *parts) -> Column:
         return F.when(condition, F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts]))
 
-    names = F.map_keys(lower_keys(F.col("attrs")))
+    names = F.transform(F.map_keys("attrs"), F.lower)
     rules = [
         reason(F.coalesce(F.col("n_levels"), F.lit(0)) == 0, "No measurement data provided"),
         reason(F.coalesce(F.col("n_times"), F.lit(0)) == 0, "No time data found in measurements"),

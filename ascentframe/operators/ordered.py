@@ -173,45 +173,52 @@ class Group:
         """
         rows = self.df
         place = list(self.keys)
-        look = F.struct(F.lit(True).alias("ask"), (F.col(at) + F.lit(delta)).alias("x"))
-        stay = F.struct(F.lit(False).alias("ask"), F.col(at).alias("x"))
+        look = F.struct(F.lit(True).alias("_ask"), (F.col(at) + F.lit(delta)).alias("_x"))
+        stay = F.struct(F.lit(False).alias("_ask"), F.col(at).alias("_x"))
         if self.parts:
             rows = self._cut()
             # cells of width delta/m: a look-up from cell c always lands in c + m
             width = F.lit(float(delta)) / F.col(CELLS)
             cell = F.floor(F.col(at) / width).cast("long")
-            look = F.struct(look["ask"].alias("ask"), look["x"].alias("x"), (cell + F.col(CELLS)).alias("cell"))
-            stay = F.struct(stay["ask"].alias("ask"), stay["x"].alias("x"), cell.alias("cell"))
-            place.append("cell")
+            look = F.struct(look["_ask"].alias("_ask"), look["_x"].alias("_x"), (cell + F.col(CELLS)).alias("_cell"))
+            stay = F.struct(stay["_ask"].alias("_ask"), stay["_x"].alias("_x"), cell.alias("_cell"))
+            place.append("_cell")
         both = rows.withColumn("_on", F.explode(F.when(asking, F.array(stay, look)).otherwise(F.array(stay))))
         both = both.select("*", "_on.*").drop("_on")
-        seen = F.when(~F.col("ask"), F.struct(*payload))
+        seen = F.when(~F.col("_ask"), F.struct(*payload))
         # far end first; at equal x the rows come before the look-ups, and among
         # equal rows the earliest in group order comes last
         sweep = (
             Window.partitionBy(*place)
-            .orderBy(F.desc("x"), F.asc("ask"), F.desc(position))
+            .orderBy(F.desc("_x"), F.asc("_ask"), F.desc(position))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         swept = both.withColumn(name, F.last(seen, ignorenulls=True).over(sweep))
-        answered = swept.where("ask")
+        answered = swept.where("_ask")
         if self.parts:
             # nothing in the landing cell: the lowest row of the next cell in use
-            beyond = self._next_cells(rows, at, cell, payload, position)
+            landing = rows.where(asking).select(*self.keys, (cell + F.col(CELLS)).alias("_cell")).distinct()
+            beyond = self._next_cells(rows, landing, at, cell, payload, position)
             answered = answered.join(beyond, place, "left")
             answered = answered.withColumn(name, F.coalesce(name, "_beyond")).drop("_beyond")
-        return answered.drop("ask", "x", "cell")
+        return answered.drop("_ask", "_x", "_cell")
 
-    def _next_cells(self, rows, at, cell, payload, position):
-        """(group, cell) -> lowest row of the first used cell above it, for every
-        cell from the first used one up; one row per step along ``at``."""
-        low = rows.groupBy(*self.keys, cell.alias("cell")).agg(
-            F.min_by(F.struct(*payload), F.struct(at, position)).alias("_beyond")
+    def _next_cells(self, rows, landing, at, cell, payload, position):
+        """(group, landing cell) -> lowest row of the first used cell above it.
+        Rows are first reduced to one per used cell (map-side combined)."""
+        low = rows.groupBy(*self.keys, cell.alias("_cell")).agg(
+            F.min_by(F.struct(*payload), F.struct(at, position)).alias("_low")
         )
-        below = F.lag("cell").over(Window.partitionBy(*self.keys).orderBy("cell"))
-        low = low.withColumn("_below", below).where("_below is not null")
-        steps = F.explode(F.sequence("_below", F.col("cell") - 1))
-        return low.select(*self.keys, steps.alias("cell"), "_beyond")
+        marks = low.withColumn("_used", F.lit(1)).unionByName(
+            landing.withColumn("_used", F.lit(0)), allowMissingColumns=True
+        )
+        from_top = (
+            Window.partitionBy(*self.keys)
+            .orderBy(F.desc("_cell"), F.asc("_used"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        marks = marks.withColumn("_beyond", F.last("_low", ignorenulls=True).over(from_top))
+        return marks.where("_used = 0").select(*self.keys, "_cell", "_beyond")
 
 
 def _type(df: DataFrame, name: str):

@@ -1,8 +1,9 @@
 """Which file of a sounding, and which members of an archive, are kept.
 
-All choices are aggregates joined back to the rows: the aggregate is combined
-before its shuffle, so a key shared by very many files costs one small row per
-task, and the join side of a hot key is split by the adaptive skew join.
+The survivor of a launch is a whole-group aggregate on every row (names are
+parsed once, one exchange); a launch shared by very many files takes the split
+path of ``per_group``.  Choices inside archives are aggregates, combined before
+their shuffle and joined back to the rows.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ascentframe.functions import naming as N
+from ascentframe.operators.ordered import per_group
 
 KEEP, SKIP = "keep", "skip"
 
@@ -21,12 +23,14 @@ def select_survivors(files: DataFrame, pattern_name: str = "archive") -> DataFra
     revision, then path."""
     parsed = N.parse_archive_names(files)
     parsed = parsed.withColumn("priority", N.folder_priority(F.col("path")))
-    good = parsed.where("matches")
-    rank = F.struct(F.col("priority"), (-F.col("group_no")).alias("g"), (-F.col("rev_no")).alias("r"), F.col("path"))
-    best = good.groupBy("station", "datetime").agg(
-        F.min_by(F.struct("path", "filename", "priority", "group_no", "rev_no"), rank).alias("best")
+    # a name that does not match is a group of its own
+    parsed = parsed.withColumns(
+        {"_site": F.coalesce("station", F.lit("")), "_launch": F.coalesce("datetime", "path")}
     )
-    judged = parsed.join(best, ["station", "datetime"], "left")
+    rank = F.struct(F.col("priority"), (-F.col("group_no")).alias("g"), (-F.col("rev_no")).alias("r"), F.col("path"))
+    best = F.min_by(F.struct("path", "filename", "priority", "group_no", "rev_no"), rank)
+    judged = per_group(parsed, ["_site", "_launch"], [F.asc("path")], F.lit(0.0),
+                       lambda group: group.attach({"best": best}).df)
     reason = (
         F.when(~F.col("matches"), F.lit(f"Filename does not match {pattern_name} pattern"))
         .when(F.col("path") == F.col("best.path"), F.lit(None))
@@ -43,7 +47,7 @@ def select_survivors(files: DataFrame, pattern_name: str = "archive") -> DataFra
     )
     judged = judged.withColumn("reason", reason)
     outcome = F.when(F.col("reason").isNull(), F.lit(KEEP)).otherwise(F.lit(SKIP))
-    return judged.withColumn("outcome", outcome).drop("best")
+    return judged.withColumn("outcome", outcome).drop("best", "_site", "_launch")
 
 
 def select_members(members: DataFrame) -> DataFrame:

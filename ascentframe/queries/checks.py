@@ -65,7 +65,7 @@ HEADERS = ("totalprice", "status", "priority", "launch_time", "serial")
 
 
 def source_headers(spark, sf_dir):
-    return V.table(spark, sf_dir, "orders").select(
+    return V.spread(V.table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").alias("g_product_id"),
         F.concat(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit(" m")).alias("totalprice"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
@@ -76,7 +76,7 @@ def source_headers(spark, sf_dir):
 def stored_headers(spark, sf_dir):
     k = F.col("o_orderkey")
     shifted = F.col("o_orderdate") + F.expr("CASE WHEN o_orderkey % 5 = 0 THEN INTERVAL 2 SECOND ELSE INTERVAL 0 SECOND END")
-    return V.table(spark, sf_dir, "orders").where("o_orderkey % 11 <> 0").select(
+    return V.spread(V.table(spark, sf_dir, "orders")).where("o_orderkey % 11 <> 0").select(
         k.alias("g_product_id"),
         F.when(k % 3 == 0, F.col("o_totalprice") + 100).otherwise(F.col("o_totalprice")).cast("decimal(18,2)")
         .cast("string").alias("totalprice"),

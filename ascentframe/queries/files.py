@@ -93,7 +93,7 @@ _MEMBER_TEXT = (
 
 
 def order_members(spark, sf_dir):
-    rows = V.table(spark, sf_dir, "orders")
+    rows = V.spread(V.table(spark, sf_dir, "orders"))
     rows = rows.withColumns({name: F.expr(text) for name, text in _MEMBER.items()})
     return rows.select(
         F.concat(F.lit("archive-"), F.col("o_custkey").cast("string"), F.lit(".jar")).alias("archive"),
@@ -350,7 +350,7 @@ def import_outcome_counts(spark, sf_dir):
 # -- sounding verdicts --------------------------------------------------------------
 def sounding_attributes(spark, sf_dir):
     """Attributes of one sounding per order, in mixed dialects, some incomplete."""
-    rows = V.table(spark, sf_dir, "orders")
+    rows = V.spread(V.table(spark, sf_dir, "orders"))
     k = F.col("o_orderkey")
     dialect = (
         F.when(k % 13 == 0, F.lit("CF-1.1")).when(k % 3 == 0, F.lit("CF-1.4")).when(k % 3 == 1, F.lit("CF-1.7"))

@@ -55,7 +55,7 @@ HEADER_FORMULAS = {
 
 
 def levels(spark, sf_dir):
-    rows = V.table(spark, sf_dir, "lineitem")
+    rows = V.spread(V.table(spark, sf_dir, "lineitem"))
     return rows.select(
         F.col("l_orderkey").alias("g_product_id"),
         F.expr(OBSERVATION).alias("observation_id"),
