@@ -127,7 +127,9 @@ def sounding_scalars(levels: DataFrame, min_levels: int = C.MIN_VALID_LEVELS) ->
         main = _scalars(good).select(KEY, *names)
         return main.join(tropopause.thermal_tropopause(good), KEY, "left").select(KEY, *C.SCALAR_DIAGNOSTICS)
 
-    return over_soundings(levels, work)
+    # the join of the two halves implies this test on one side only; stated for
+    # both, their scan and exchange are the same and are run once
+    return over_soundings(levels.where(F.col(KEY).isNotNull()), work)
 
 
 def tropopauses(levels: DataFrame, min_levels: int = C.MIN_VALID_LEVELS) -> DataFrame:

@@ -144,8 +144,8 @@ def long_table(spark, sf_dir):
 SELECT year, month, observed_variable, record_number, count(*) AS rows_out, count(observation_value) AS valued,
   {', '.join(f'round(sum({src}),8) AS sum_{out}, count({src}) AS n_{out}' for src, out in _MEASURES.items())},
   round(sum(slat),8) AS sum_slat, round(sum(slon),8) AS sum_slon, round(sum(salt),8) AS sum_salt,
-  round(sum(lat),8) AS sum_lat, round(sum(lon),8) AS sum_lon, min(station_name) AS first_station, max(sensor_id) AS last_sensor,
-  min(epoch) AS first_epoch, count(DISTINCT g_product_id) AS reports
+  round(sum(lat),8) AS sum_lat, round(sum(lon),8) AS sum_lon, count(*) FILTER (station_name<>'') AS named,
+  CAST(sum(length(sensor_id)) AS BIGINT) AS sensor_chars, min(epoch) AS first_epoch, count(DISTINCT g_product_id) AS reports
 FROM lt GROUP BY ALL""")
 def long_table_by_month(spark, sf_dir):
     rows = cdm.with_month(long_table_of(spark, sf_dir))
@@ -161,8 +161,8 @@ def long_table_by_month(spark, sf_dir):
         if out in _MEASURES.values():
             aggs.append(F.count(f"`{src}`").alias(f"n_{out}"))
     aggs += [
-        F.min("`station_name|station_configuration`").alias("first_station"),
-        F.max("sensor_id").alias("last_sensor"),
+        F.count_if(F.col("`station_name|station_configuration`") != "").alias("named"),
+        F.sum(F.length("sensor_id")).alias("sensor_chars"),
         F.min("report_timestamp").alias("first_epoch"),
         F.count_distinct("report_id").alias("reports"),
     ]
