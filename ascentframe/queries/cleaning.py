@@ -218,14 +218,29 @@ def missing_required_variables(spark, sf_dir):
     return present.select("user_id", F.array_join(missing, ",").alias("missing"))
 
 
-@query("header_contract")
-def header_contract(spark, sf_dir):
-    """Contract of a stored table as rows, read from the table itself."""
-    rows = []
-    for name in ("orders", "lineitem", "events"):
-        for field in schema.contract_of(V.table(spark, sf_dir, name), exclude=()).fields:
-            rows.append((name, field.name, field.dataType.simpleString()))
-    dtype = spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
-    return dtype.withColumn("storage_name", text.clean_name(F.col("column_name")))
+_CONTRACTED = {
+    "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+               "o_orderpriority": "string"},
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
+                 "c_mktsegment": "string"},
+}
 
 
+@query("header_contract", " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{dtype}' AS data_type, count({name}) AS filled FROM {table}"
+    for table, fields in _CONTRACTED.items() for name, dtype in fields.items()))
+def header_contract(spark, sf_dir):
+    """Contract of two stored tables, read from the tables, with the number of
+    rows that fill each column."""
+    parts = []
+    for name in _CONTRACTED:
+        rows = V.table(spark, sf_dir, name)
+        fields = schema.contract_of(rows, exclude=("o_orderdate",)).fields
+        filled = rows.agg(*[F.count(f.name).alias(f.name) for f in fields])
+        entries = F.array(*[
+            F.struct(F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f.name).alias("filled"))
+            for f in fields
+        ])
+        parts.append(filled.select(F.explode(entries).alias("e")).select("e.*"))
+    return parts[0].unionByName(parts[1])

@@ -15,16 +15,16 @@ from ascentframe.operators import cdm
 MONTH = ("year", "month")
 
 
+def by_month(rows: DataFrame) -> DataFrame:
+    """Rows gathered by month for a partitioned write.  The rebalance lets AQE cut
+    a large month into many tasks of the advisory size and join small ones."""
+    return rows.hint("rebalance", *[F.col(name) for name in MONTH])
+
+
 def append_levels(levels: DataFrame, path: str) -> None:
     """Appends typed level rows, partitioned by the month of their report."""
     rows = levels.withColumns({"year": F.year("report_timestamp"), "month": F.month("report_timestamp")})
-    rows.repartition(*MONTH, *_spread(rows)).write.mode("append").partitionBy(*MONTH).parquet(path)
-
-
-def _spread(df: DataFrame, ways: int = 32) -> list[Column]:
-    """A salt so that one large month is written by many tasks."""
-    key = next((name for name in ("g_product_id", "report_id", "observation_id") if name in df.columns), None)
-    return [F.pmod(F.xxhash64(key), F.lit(ways))] if key else []
+    by_month(rows).write.mode("append").partitionBy(*MONTH).parquet(path)
 
 
 def write_tab_text(df: DataFrame, path: str) -> None:
@@ -32,16 +32,13 @@ def write_tab_text(df: DataFrame, path: str) -> None:
     df.write.mode("append").csv(path, sep="\t", nullValue="\\N", emptyValue="", header=False)
 
 
-def write_long_table(long: DataFrame, path: str, ways: int = 32) -> None:
+def write_long_table(long: DataFrame, path: str) -> None:
     """Encoded long table by month.  Months that are written are replaced, the
     others stay (dynamic overwrite), so a re-run is safe.  Rows are ordered by
-    (variable, time, observation) inside each file; large months are spread
-    over ``ways`` tasks by report."""
-    rows = cdm.with_month(cdm.encoded_long_table(long))
-    salt = F.pmod(F.xxhash64("report_id"), F.lit(ways))
+    (variable, time, observation) inside each file."""
+    rows = by_month(cdm.with_month(cdm.encoded_long_table(long)))
     (
-        rows.repartition(*MONTH, salt)
-        .sortWithinPartitions(*MONTH, "observed_variable", "report_timestamp", "observation_id")
+        rows.sortWithinPartitions(*MONTH, "observed_variable", "report_timestamp", "observation_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*MONTH)
