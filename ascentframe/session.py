@@ -20,6 +20,8 @@ def build_session(master: str | None = None, app: str = "ascentframe", **conf) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # call-site capture costs more than the planning of wide expressions
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
