@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,14 +33,16 @@ def build_session(master: str | None = None, app: str = "ascentframe", **conf) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it.
+    """The folder all executors see, as the cluster names it in `spark.checkpoint.dir`.
 
-    Where the setting is absent (local tests) a fresh local folder is taken
-    once per session and remembered in the session configuration.
+    Without that setting only a local session gets a folder (a fresh temporary one, remembered in the session); on a
+    cluster a machine-local folder would lose rows, so the job fails at once.
     """
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if named:
         return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
     named = spark.conf.get("ascentframe.local.dir", None)
     if not named:
         named = tempfile.mkdtemp(prefix="ascentframe-")
