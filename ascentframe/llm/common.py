@@ -71,11 +71,12 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def groups_by_size(sizes, limit: int):
     """Ranges [a, b) of consecutive items whose summed size stays near `limit`; a larger item is a range of its own."""
-    first, held = 0, 0
-    for k, size in enumerate(sizes):
+    first = held = count = 0
+    for size in sizes:
         if held and held + size > limit:
-            yield first, k
-            first, held = k, 0
+            yield first, count
+            first, held = count, 0
         held += size
-    if len(sizes) > first:
-        yield first, len(sizes)
+        count += 1
+    if count > first:
+        yield first, count

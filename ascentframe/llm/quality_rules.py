@@ -185,3 +185,9 @@ def judge(docs: DataFrame, labels: DataFrame, into: str = "judged") -> DataFrame
         into,
         let(one, lambda j: j.withField("base_failed", failed).withField("kept", ~failed & (j["llr"] >= THRESHOLD))),
     )
+
+
+def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of `docs`, unchanged, that are kept."""
+    judged = "__judged"
+    return judge(docs, labels, judged).where(F.col(f"{judged}.kept")).drop(judged)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ascentframe.llm import quality_classifier, quality_rules, simhash
+from ascentframe.llm import byte_bpe, decontamination, quality_classifier, quality_rules, simhash
 from ascentframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,29 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_classifier")
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_ITEM_SHINGLES_SQL = """
+select {id}, list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) as s
+from (select {id}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') as w from {table}) where len(w) >= 5
+"""
+
+OP4_SQL = f"""
+with d as ({_ITEM_SHINGLES_SQL.format(id="doc_id", table="documents")}),
+b as ({_ITEM_SHINGLES_SQL.format(id="item_id", table="benchmark")}),
+n as (select doc_id, item_id, count(*) as shared
+      from (select doc_id, unnest(s) as x from d) join (select item_id, unnest(s) as x from b) using (x) group by 1, 2)
+select doc_id, item_id, len(s)::int as item_shingles, shared::int as shared, shared / len(s)::double as containment
+from n join b using (item_id) where shared >= 0.8 * len(s)
+"""
+
+
+@query("op4_decontamination", OP4_SQL)
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), path)
