@@ -14,8 +14,9 @@ from ascentframe.llm.common import let, with_trust, words_of
 
 #: Buckets of the hashed n-grams; also bounds the model (two numbers a bucket).
 BUCKETS = 1 << 16
-#: Added to each bucket's count in both multinomials.
-SMOOTHING = 1.0
+#: Pseudo-count of each bucket, in corpus units: the trusted share of a bucket is drawn to its corpus share by so much,
+#: so what occurs a few times says little, whether or not a trusted document happens to have it.
+SMOOTHING = 50.0
 #: A document stays if its mean log ratio (nats for each n-gram) is at least this.
 THRESHOLD = -0.15
 WINDOW = 5
@@ -126,7 +127,7 @@ def base_counts(text: Column, words: Column) -> dict[str, Column]:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row, one array `ratios`: ln(trusted share / corpus share) of each bucket, smoothed.
+    """One row, one array `ratios`: ln(trusted share / corpus share) of each bucket, smoothed towards 0.
 
     Counts are summed before the shuffle, so each task sends a row for each bucket at most. Without a trusted document
     there is nothing to compare with and all ratios are 0.
@@ -150,9 +151,10 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.sum("target").alias("all_target"),
         F.sort_array(F.collect_list(F.struct("bucket", "corpus", "target"))).alias("rows"),
     )
-    extra = SMOOTHING * BUCKETS
-    share = lambda n, total: F.log((n + SMOOTHING) / (total + extra))
-    ratio = lambda r: F.when(F.col("all_target") > 0, share(r["target"], F.col("all_target")) - share(r["corpus"], F.col("all_corpus"))).otherwise(F.lit(0.0))
+    share = F.col("all_target") / F.col("all_corpus")
+    ratio = lambda r: F.when(
+        F.col("all_target") > 0, F.log((r["target"] + SMOOTHING * share) / ((r["corpus"] + SMOOTHING) * share))
+    ).otherwise(F.lit(0.0))
     return gathered.select(F.transform("rows", ratio).alias("ratios"))
 
 

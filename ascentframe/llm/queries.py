@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ascentframe.llm import byte_bpe, decontamination, quality_classifier, quality_rules, simhash
+from ascentframe.llm import byte_bpe, decontamination, quality_classifier, quality_rules, simhash, token_files
 from ascentframe.llm.common import table
+from ascentframe.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -64,3 +66,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.digests(table(spark, sf_dir, "documents"), path)
+
+
+@query("op2_token_files")
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_files.digests(token_files.read(spark, path))
