@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ascentframe.llm import byte_bpe, decontamination, quality_classifier, quality_rules, simhash, token_files
+from ascentframe.llm import byte_bpe, chat, decontamination, quality_classifier, quality_rules, simhash, token_files, url_filters
 from ascentframe.llm.common import table
 from ascentframe.session import shared_dir
 
@@ -73,3 +74,48 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
     return token_files.digests(token_files.read(spark, path))
+
+
+OP3_SQL = r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e as (select *, '<|turn|>' || regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') || '<|body|>'
+             || regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') || '<|end|>' as segment from c)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, segment)) as turns_sha256,
+  sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, segment) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(length(segment))::bigint as formatted_chars
+from e group by conv_id
+"""
+
+
+@query("op3_chat_formatting", OP3_SQL)
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], rows.schema)
+    messages = rows.unionAll(extra).select("conv_id", "turn", "role", F.array(chat.text_part(F.col("text"))).alias("parts"))
+    return chat.digests(chat.format_conversations(messages))
+
+
+OP5_SQL = r"""
+with p as (select page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from pages),
+r as (select * from (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) as t(h, s, v)),
+m as (select page_id, host, path, max_by(struct_pack(rule := h || s, v := v), length(h || s)) as best
+    from p join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, s) group by all)
+select p.page_id, p.host, p.path, m.best.rule as rule,
+  coalesce(m.best.v, case when '.' || p.host like '%spam%' or '.' || p.host like '%casino%' or '.' || p.host like '%cheap-pills%'
+    or '.' || p.host like '%doubleclick%' or '.' || p.host like '%.ads-%' or '.' || p.host like '%.ads.%'
+    or '.' || p.host like '%-ads.%' or p.path like '%/porn/%' or p.path like '%.exe' or p.path like '%wp-login%'
+    then 'block' else 'allow' end) as verdict
+from p left join (select distinct page_id, host, path, best from m) m on p.page_id = m.page_id and p.host = m.host and p.path = m.path
+"""
+
+
+@query("op5_url_filters", OP5_SQL)
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
