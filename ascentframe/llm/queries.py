@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ascentframe.llm import byte_bpe, chat, decontamination, quality_classifier, quality_rules, simhash, token_files, url_filters
+from ascentframe.llm import byte_bpe, chat, decontamination, language_model, quality_classifier, quality_rules, simhash, token_files, url_filters
 from ascentframe.llm.common import table
 from ascentframe.session import shared_dir
 
@@ -119,3 +119,8 @@ from p left join (select distinct page_id, host, path, best from m) m on p.page_
 @query("op5_url_filters", OP5_SQL)
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
