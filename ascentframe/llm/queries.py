@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ascentframe.llm import byte_bpe, chat, decontamination, language_model, quality_classifier, quality_rules, simhash, token_files, url_filters
+from ascentframe.llm import byte_bpe, chat, decontamination, html_extraction, language_model, quality_classifier, quality_rules, simhash, token_files, url_filters
 from ascentframe.llm.common import table
 from ascentframe.session import shared_dir
 
@@ -124,3 +124,8 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_scoring")
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
