@@ -173,7 +173,7 @@ TILE_DEGREES = 10.0
 INT64_MISSING = -(2**63)
 UINT8_MISSING = 255
 UINT16_MISSING = 65535
-INT8_MISSING = -128
+INT32_MISSING = -(2**31)
 
 STATION_SCHEMA = T.StructType(
     [

@@ -43,10 +43,6 @@ def either_text(available: Sequence[str], old: str, new: str) -> Column:
     return F.coalesce(*parts, F.lit(""))
 
 
-def linear(value: Column, factor: float, offset: float) -> Column:
-    return value * F.lit(factor) + F.lit(offset)
-
-
 def encoded(value: Column, kind: str) -> Column:
     """Storage form of one long-table column: NULL becomes the kind's sentinel."""
     if kind == "int64":
@@ -59,8 +55,8 @@ def encoded(value: Column, kind: str) -> Column:
         return F.coalesce(value.cast("int"), F.lit(C.UINT16_MISSING))
     if kind == "int16":
         return value.cast("short")
-    if kind == "int8":
-        return F.coalesce(value.try_cast("byte"), F.lit(C.INT8_MISSING).cast("byte"))
+    if kind == "int32":
+        return F.coalesce(value.cast("int"), F.lit(C.INT32_MISSING))
     if kind == "text":
         return F.coalesce(value.cast("string"), F.lit(""))
     raise ValueError(f"unknown storage kind {kind}")

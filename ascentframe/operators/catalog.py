@@ -16,7 +16,7 @@ from ascentframe.functions import text, times
 from ascentframe.operators.ordered import Group, per_group
 
 
-def marked_blocks(df: DataFrame, file_keys: Sequence[str], order: Sequence[Column], along: Column,
+def marked_blocks(df: DataFrame, file_keys: Sequence[str], order: Sequence[Column],
                   run_of: Sequence[str]) -> DataFrame:
     """Adds ``idx`` (0-based position in the file) and ``block_id`` (0-based
     number of the run of equal ``run_of`` values)."""
@@ -30,7 +30,7 @@ def marked_blocks(df: DataFrame, file_keys: Sequence[str], order: Sequence[Colum
         group = group.running({"block_id": F.col("_new").cast("long")})
         return group.df.withColumn("idx", F.col("idx") - 1).drop("_new", "prev1")
 
-    return per_group(df, file_keys, order, along, work)
+    return per_group(df, file_keys, order, work)
 
 
 def launches(blocks: DataFrame, file_keys: Sequence[str], station: str, epoch: str, code: str,

@@ -32,7 +32,7 @@ STORAGE = {
     "height_of_station_above_sea_level": "float32",
     "latitude|observations_table": "float32",
     "longitude|observations_table": "float32",
-    "record_number": "int8",
+    "record_number": "int32",
     "sensor_id": "text",
 }
 

@@ -3,18 +3,19 @@
 A sounding is normally a few thousand levels, so a plain window over its key is
 the right plan: one exchange, one sort, shared by every step.  A group may
 however hold a large share of all rows.  ``per_group`` measures the groups
-first (one narrow, map-side combined count).  Groups over the limit are cut into
-parts along their order; each step then works inside the parts and is completed
-from a *seam table* with one row per part.
-
-Size bound of everything broadcast here: the limit is never below
-``total / MAX_SHARE``, so there are at most ``MAX_SHARE`` hot groups and
-``OVERSPLIT * 2 * MAX_SHARE`` parts, whatever the size of the data.
+first (one narrow, map-side combined count).  Groups over a fixed number of rows
+are cut into parts along their order, by ranges that Spark takes from a sample
+of the rows themselves, so outliers and missing values cut no worse than any
+others; each step then works inside the parts and is completed from a *seam
+table* with one row per part.  Both ways give the same rows (sums of fractions
+may differ in their last digits, as their order does).
+
+The side of a join is broadcast only while its counted rows, times its width,
+stay below ``BROADCAST_BYTES``; beyond that Spark joins by key.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,34 +24,34 @@ from pyspark.sql import functions as F
 from ascentframe.session import ensure_checkpoint_dir
 
 HOT_ROWS = 1_000_000
-MAX_SHARE = 16_384
 OVERSPLIT = 4
 HOT_ROWS_CONF = "ascentframe.hotGroupRows"
+BROADCAST_BYTES, CELL_BYTES = 32_000_000, 32
 
 PART = "_part"
 CELLS = "_parts"
 
 
-def hot_limit(spark, total: int) -> int:
-    floor = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
-    return max(floor, math.ceil(total / MAX_SHARE))
+def hot_limit(spark) -> int:
+    """Rows that one task may work through; does not grow with the data."""
+    return int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 
 
-def group_limit(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
-    """(rows in all, rows of the largest group, limit) in one narrow job."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
-    total, largest = top["total"] or 0, top["largest"] or 0
-    return total, largest, hot_limit(df.sparkSession, total)
+def join_same(rows: DataFrame, side: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Joins on equal values of ``names``, where two missing values are equal."""
+    renamed = side.withColumnsRenamed({name: f"_s_{name}" for name in names})
+    same = [F.col(f"`{name}`").eqNullSafe(F.col(f"`_s_{name}`")) for name in names]
+    return rows.join(renamed, same, how).drop(*[f"_s_{name}" for name in names])
 
 
 class Group:
     """Rows of one or many groups with a total order inside each group.
 
-    ``parts`` tells that the rows carry ``_part``: 1..n in group order.
+    ``parts`` is 0 for whole groups; else the rows carry ``_part``, rising in group
+    order, and there are at most so many (group, part) pairs.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: bool = False):
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int = 0):
         self.df = df
         self.keys = list(keys)
         self.order = list(order)
@@ -80,6 +81,10 @@ class Group:
         ensure_checkpoint_dir(self.df.sparkSession)
         return self.df.checkpoint(eager=True)
 
+    def _beside(self, side: DataFrame, cells: int) -> DataFrame:
+        """A side of one row for each part and so many values; broadcast if that is small."""
+        return F.broadcast(side) if self.parts * cells * CELL_BYTES <= BROADCAST_BYTES else side
+
     # -- steps ---------------------------------------------------------------
     def attach(self, aggs: dict[str, Column]) -> Group:
         """Whole-group aggregates on every row of the group."""
@@ -87,7 +92,7 @@ class Group:
             return self.with_columns({name: agg.over(self.whole) for name, agg in aggs.items()})
         rows = self._cut()
         totals = rows.groupBy(*self.keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-        return self.on(rows.join(F.broadcast(totals), self.keys, "inner"))
+        return self.on(join_same(rows, self._beside(totals, len(aggs)), self.keys))
 
     def running(self, sums: dict[str, Column]) -> Group:
         """Running totals in group order, the current row included."""
@@ -97,16 +102,17 @@ class Group:
             return self.with_columns(local)
         rows = self._cut()
         seam = rows.groupBy(*self._place).agg(
-            *[F.coalesce(F.sum(value), F.lit(0)).alias(f"_t_{name}") for name, value in sums.items()]
+            *[F.sum(value).alias(f"_t_{name}") for name, value in sums.items()]
         )
         before = Window.partitionBy(*self.keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
         seam = seam.select(
             *self._place,
-            *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in sums],
+            *[F.sum(f"_t_{name}").over(before).alias(f"_o_{name}") for name in sums],
         )
-        joined = rows.join(F.broadcast(seam), self._place, "inner")
+        joined = join_same(rows, self._beside(seam, len(sums)), self._place)
+        # a total is missing only as long as no value has come, as in one window
         joined = joined.withColumns(
-            {name: F.coalesce(col, F.lit(0)) + F.col(f"_o_{name}") for name, col in local.items()}
+            {name: F.coalesce(col + F.col(f"_o_{name}"), col, F.col(f"_o_{name}")) for name, col in local.items()}
         )
         return self.on(joined.drop(*[f"_o_{name}" for name in sums]))
 
@@ -148,7 +154,7 @@ class Group:
         later = F.concat(*[F.coalesce(F.lead("_head", k).over(by_part), F.array().cast(_type(seam, "_head")))
                            for k in range(1, reach + 1)])
         seam = seam.select(*self._place, earlier.alias("_earlier"), later.alias("_later"))
-        joined = marked.join(F.broadcast(seam), self._place, "inner")
+        joined = join_same(marked, self._beside(seam, 2 * reach * reach * len(cols)), self._place)
         out = {}
         for side, k, fn in spans:
             if side == "prev":
@@ -164,7 +170,8 @@ class Group:
     def reach_ahead(self, at: str, delta: float, payload: Sequence[str], name: str, asking: Column,
                     position: str) -> DataFrame:
         """For every row where ``asking`` holds: the first row of its group whose
-        ``at`` is at least ``at + delta``, as struct ``name`` (NULL if none).
+        ``at`` is at least ``at + delta``, as struct ``name`` (NULL if none).  A row
+        without ``at`` gets NULL and is never an answer.
 
         ``at`` must not fall along the group order, ``position`` is the row's number
         in the group (it settles ties).  Rows and look-ups are put on
@@ -185,7 +192,7 @@ class Group:
             place.append("_cell")
         both = rows.withColumn("_on", F.explode(F.when(asking, F.array(stay, look)).otherwise(F.array(stay))))
         both = both.select("*", "_on.*").drop("_on")
-        seen = F.when(~F.col("_ask"), F.struct(*payload))
+        seen = F.when(~F.col("_ask") & F.col("_x").isNotNull(), F.struct(*payload))
         # far end first; at equal x the rows come before the look-ups, and among
         # equal rows the earliest in group order comes last
         sweep = (
@@ -199,14 +206,15 @@ class Group:
             # nothing in the landing cell: the lowest row of the next cell in use
             landing = rows.where(asking).select(*self.keys, (cell + F.col(CELLS)).alias("_cell")).distinct()
             beyond = self._next_cells(rows, landing, at, cell, payload, position)
-            answered = answered.join(beyond, place, "left")
+            answered = join_same(answered, beyond, place, "left")
             answered = answered.withColumn(name, F.coalesce(name, "_beyond")).drop("_beyond")
+        answered = answered.withColumn(name, F.when(F.col("_x").isNotNull(), F.col(name)))
         return answered.drop("_ask", "_x", "_cell")
 
     def _next_cells(self, rows, landing, at, cell, payload, position):
         """(group, landing cell) -> lowest row of the first used cell above it.
         Rows are first reduced to one per used cell (map-side combined)."""
-        low = rows.groupBy(*self.keys, cell.alias("_cell")).agg(
+        low = rows.where(F.col(at).isNotNull()).groupBy(*self.keys, cell.alias("_cell")).agg(
             F.min_by(F.struct(*payload), F.struct(at, position)).alias("_low")
         )
         marks = low.withColumn("_used", F.lit(1)).unionByName(
@@ -225,45 +233,28 @@ def _type(df: DataFrame, name: str):
     return df.schema[name].dataType
 
 
-def per_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    along: Column,
-    work: Callable[[Group], DataFrame],
-) -> DataFrame:
+def per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+              work: Callable[[Group], DataFrame]) -> DataFrame:
     """Run ``work`` over ordered groups, with hot groups cut into parts.
 
-    ``along`` is a finite double that never falls along ``order``; it places the
-    cuts.  Rows with equal ``along`` stay together.
+    Rows that are equal in the whole ``order`` stay together.
     """
     spark = df.sparkSession
-    total, largest, limit = group_limit(df, keys)
-    if largest <= limit:
+    limit = hot_limit(spark)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.where(F.col("_n") > limit).withColumn(CELLS, (F.ceil(F.col("_n") / F.lit(limit)) * OVERSPLIT).cast("int"))
+    tally = hot.agg(F.count(F.lit(1)).alias("groups"), F.sum(CELLS).alias("parts")).first()
+    if not tally["groups"]:
         return work(Group(df, keys, order))
 
-    spans = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(along).alias("_lo"), F.max(along).alias("_hi")
-    )
-    hot_rows = spans.where(F.col("_n") > limit).collect()  # at most MAX_SHARE rows, see module text
-    hot = spark.createDataFrame(hot_rows, spans.schema).withColumn(
-        CELLS, (F.ceil(F.col("_n") / F.lit(limit)) * OVERSPLIT).cast("int")
-    )
-    hot = F.broadcast(hot)
-    cold_rows = df.join(hot, list(keys), "left_anti")
-    share = (along - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    part = F.when(F.col("_hi") > F.col("_lo"),
-                  F.least(F.floor(share * F.col(CELLS)) + 1, F.col(CELLS).cast("long"))).otherwise(1)
-    hot_split = df.join(hot, list(keys), "inner").withColumn(PART, part.cast("int")).drop("_n", "_lo", "_hi")
-    warm = work(Group(hot_split, keys, order, parts=True)).drop(PART, CELLS)
+    seams = tally["parts"] + tally["groups"]
+    hot = hot.drop("_n")
+    if tally["groups"] * (len(keys) + 1) * CELL_BYTES <= BROADCAST_BYTES:
+        hot = F.broadcast(hot)
+    cold_rows = join_same(df, hot, keys, "left_anti")
+    # ranges of (group, order) of about equal size; written down, since a part is where a row came to lie
+    ensure_checkpoint_dir(spark)
+    hot_rows = join_same(df, hot, keys).repartitionByRange(tally["parts"], *keys, *order)
+    hot_split = hot_rows.withColumn(PART, F.spark_partition_id()).checkpoint(eager=True)
+    warm = work(Group(hot_split, keys, order, seams)).drop(PART, CELLS)
     return work(Group(cold_rows, keys, order)).unionByName(warm)
-
-
-def attach_totals(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    """Group aggregates on every row without an ordered window.
-
-    The aggregate is combined before its shuffle and has one row per group; a
-    group that is hot on the row side is split by the adaptive skew join.
-    """
-    totals = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return df.join(totals, list(keys), "inner")

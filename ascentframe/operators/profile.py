@@ -93,11 +93,6 @@ def top_down_order() -> list[Column]:
     return [F.desc("press"), F.desc("level_idx")]
 
 
-def fall_of_pressure() -> Column:
-    press = F.col("press").cast("double")
-    return F.coalesce(F.when((press > 0) & (press < 1e6), -F.ln(press)), F.lit(0.0))
-
-
 def over_soundings(levels: DataFrame, work) -> DataFrame:
     """Runs ``work`` on groups of one sounding's levels in profile order, with
     humidity scaled and validity marked."""
@@ -105,7 +100,7 @@ def over_soundings(levels: DataFrame, work) -> DataFrame:
     def prepared(group: Group) -> DataFrame:
         return work(mark_valid(scale_humidity(group)))
 
-    return per_group(with_optional(levels), [KEY], top_down_order(), fall_of_pressure(), prepared)
+    return per_group(with_optional(levels), [KEY], top_down_order(), prepared)
 
 
 def valid_levels(group: Group, at_least: int = C.MIN_VALID_LEVELS) -> Group:

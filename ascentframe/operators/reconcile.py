@@ -18,8 +18,7 @@ TIME_WORDS = "time|timestamp|datetime"
 
 def positioned(levels: DataFrame, key: str, order: str) -> DataFrame:
     """Adds ``pos``: position inside the sounding by the observation id."""
-    return per_group(levels, [key], [F.asc(order)], F.col(order).cast("double"),
-                     lambda group: group.number("pos").df)
+    return per_group(levels, [key], [F.asc(order)], lambda group: group.number("pos").df)
 
 
 def _finite(col: Column) -> Column:

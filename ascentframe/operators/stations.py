@@ -23,23 +23,36 @@ def normalised_cells(cells: Column) -> dict[str, Column]:
     }
 
 
-def stations_from_cells(rows: DataFrame, cells: str = "cells") -> DataFrame:
-    """Rows with at least six cells and a non-blank id, as station rows."""
+def stations_from_cells(rows: DataFrame, cells: str = "cells", *keep: str) -> DataFrame:
+    """Rows with at least six cells and a non-blank id, as station rows; the columns
+    ``keep`` stay."""
     usable = rows.where((F.size(cells) >= 6) & (F.trim(F.get(cells, 0)) != ""))
-    return usable.select(*[col.alias(name) for name, col in normalised_cells(F.col(cells)).items()])
+    return usable.select(*keep, *[col.alias(name) for name, col in normalised_cells(F.col(cells)).items()])
 
 
-def code_position(code: Column) -> Column:
-    """A number that rises with the first bytes of a code; places cuts only."""
-    head = F.rpad(F.hex(F.left(F.coalesce(code, F.lit("")), F.lit(6)).cast("binary")), 12, "0")
-    return F.conv(F.left(head, F.lit(12)), 16, 10).cast("double")
+def latest_rows(incoming: DataFrame, order: str | None = None) -> DataFrame:
+    """One row for each code: the one that is last by ``order``, among equals (or
+    without an order) the one with the greatest description."""
+    described = F.struct(*DESCRIPTIVE)
+    rank = F.struct(*([order] if order else []), *DESCRIPTIVE)
+    last = incoming.where(F.col("idstation").isNotNull()).groupBy("idstation").agg(F.max_by(described, rank).alias("_last"))
+    return last.select("idstation", "_last.*")
 
 
-def upsert_stations(current: DataFrame, incoming: DataFrame, network: str) -> DataFrame:
+def refresh_stations(current: DataFrame, harvested: DataFrame, network: str, cells: str = "cells",
+                     order: str | None = None) -> DataFrame:
+    """Harvested table rows, normalised and merged into the station dimension."""
+    rows = harvested.withColumn("_order", F.col(order) if order else F.lit(0))
+    usable = stations_from_cells(rows, cells, "_order")
+    return upsert_stations(current, usable, network, "_order")
+
+
+def upsert_stations(current: DataFrame, incoming: DataFrame, network: str, order: str | None = None) -> DataFrame:
     """Current stations with incoming ones merged in.  A matched station takes
     the incoming description and the network; an unmatched incoming one gets the
-    next ids in order of its code; the others stay."""
-    incoming = incoming.dropDuplicates(["idstation"])
+    next ids in order of its code; the others stay.  Of incoming rows with one
+    code the last by ``order`` counts."""
+    incoming = latest_rows(incoming, order)
     merged = (
         current.alias("c")
         .join(incoming.alias("n"), F.col("c.idstation") == F.col("n.idstation"), "left")
@@ -52,8 +65,7 @@ def upsert_stations(current: DataFrame, incoming: DataFrame, network: str) -> Da
         )
     )
     fresh = incoming.join(current.select("idstation"), "idstation", "left_anti").withColumn("_all", F.lit(1))
-    fresh = per_group(fresh, ["_all"], [F.asc("idstation")], code_position(F.col("idstation")),
-                      lambda group: group.number("_nth").df)
+    fresh = per_group(fresh, ["_all"], [F.asc("idstation")], lambda group: group.number("_nth").df)
     top = current.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     fresh = fresh.select(
         (top + F.col("_nth")).cast(current.schema["id"].dataType).alias("id"),

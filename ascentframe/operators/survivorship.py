@@ -1,9 +1,8 @@
 """Which file of a sounding, and which members of an archive, are kept.
 
-The survivor of a launch is a whole-group aggregate on every row (names are
-parsed once, one exchange); a launch shared by very many files takes the split
-path of ``per_group``.  Choices inside archives are aggregates, combined before
-their shuffle and joined back to the rows.
+The survivor of a launch and the choices inside archives are aggregates,
+combined before their shuffle and joined back to the rows; a launch shared by
+very many files is split by the adaptive skew join.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ascentframe.functions import naming as N
-from ascentframe.operators.ordered import per_group
 
 KEEP, SKIP = "keep", "skip"
 
@@ -29,8 +27,8 @@ def select_survivors(files: DataFrame, pattern_name: str = "archive") -> DataFra
     )
     rank = F.struct(F.col("priority"), (-F.col("group_no")).alias("g"), (-F.col("rev_no")).alias("r"), F.col("path"))
     best = F.min_by(F.struct("path", "filename", "priority", "group_no", "rev_no"), rank)
-    judged = per_group(parsed, ["_site", "_launch"], [F.asc("path")], F.lit(0.0),
-                       lambda group: group.attach({"best": best}).df)
+    bests = parsed.groupBy("_site", "_launch").agg(best.alias("best"))
+    judged = parsed.join(bests, ["_site", "_launch"])
     reason = (
         F.when(~F.col("matches"), F.lit(f"Filename does not match {pattern_name} pattern"))
         .when(F.col("path") == F.col("best.path"), F.lit(None))

@@ -39,9 +39,7 @@ SELECT c_custkey, c_name AS idstation, c_mktsegment AS name,
   CASE WHEN c_custkey%3<>0 THEN CAST(c_custkey AS INTEGER) END AS wmoid FROM customer""")
 def station_harvest(spark, sf_dir):
     rows = html.table_rows(station_pages(spark, sf_dir), "html", ["c_custkey"])
-    usable = rows.where((F.size("cells") >= 6) & (F.trim(F.get("cells", 0)) != ""))
-    named = stations.normalised_cells(F.col("cells"))
-    return usable.select("c_custkey", *[col.alias(name) for name, col in named.items()])
+    return stations.stations_from_cells(rows, "cells", "c_custkey")
 
 
 @query("page_list_items", r"""
@@ -66,7 +64,8 @@ def current_stations(spark, sf_dir):
 def incoming_stations(spark, sf_dir):
     rows = V.table(spark, sf_dir, "customer")
     return rows.select(
-        F.concat(F.lit("N"), (F.col("c_custkey") * 3).cast("string")).alias("idstation"), F.col("c_name").alias("name"),
+        F.concat(F.lit("N"), (F.floor(F.col("c_custkey") / 2) * 3).cast("string")).alias("idstation"),
+        F.col("c_custkey").alias("page"), F.col("c_name").alias("name"),
         F.col("c_acctbal").alias("latitude"), (F.col("c_custkey") % 180).cast("double").alias("longitude"),
         F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey").cast("double")).alias("elevation"),
         F.col("c_nationkey").alias("wmoid"))
@@ -75,8 +74,9 @@ def incoming_stations(spark, sf_dir):
 UPSERT = """
 cur AS (SELECT s_suppkey+1 AS id, 'N' || s_suppkey AS idstation, s_name AS name, s_acctbal AS latitude,
   CAST(NULL AS DOUBLE) AS longitude, CAST(s_nationkey AS DOUBLE) AS elevation, CAST(NULL AS INTEGER) AS wmoid, 'OLD' AS network FROM supplier),
-inc AS (SELECT 'N' || (c_custkey*3) AS idstation, c_name AS name, c_acctbal AS latitude, CAST(c_custkey%180 AS DOUBLE) AS longitude,
-  CASE WHEN c_custkey%2=0 THEN CAST(c_nationkey AS DOUBLE) END AS elevation, c_nationkey AS wmoid FROM customer),
+inc AS (SELECT 'N' || (c_custkey//2*3) AS idstation, c_name AS name, c_acctbal AS latitude, CAST(c_custkey%180 AS DOUBLE) AS longitude,
+  CASE WHEN c_custkey%2=0 THEN CAST(c_nationkey AS DOUBLE) END AS elevation, c_nationkey AS wmoid FROM customer
+  QUALIFY row_number() OVER (PARTITION BY c_custkey//2 ORDER BY c_custkey DESC)=1),
 ups AS (
   SELECT c.id, c.idstation, CASE WHEN n.idstation IS NOT NULL THEN n.name ELSE c.name END AS name,
     CASE WHEN n.idstation IS NOT NULL THEN n.latitude ELSE c.latitude END AS latitude,
@@ -92,7 +92,21 @@ ups AS (
 
 @query("station_upsert", f"WITH {UPSERT} SELECT * FROM ups")
 def station_upsert(spark, sf_dir):
-    return stations.upsert_stations(current_stations(spark, sf_dir), incoming_stations(spark, sf_dir), "NET")
+    return stations.upsert_stations(current_stations(spark, sf_dir), incoming_stations(spark, sf_dir), "NET", "page")
+
+
+@query("station_refresh", """
+WITH cur AS (SELECT s_suppkey+1 AS id, 'N' || s_suppkey AS idstation, s_name AS name, s_acctbal AS latitude,
+  CAST(NULL AS DOUBLE) AS longitude, CAST(s_nationkey AS DOUBLE) AS elevation, CAST(NULL AS INTEGER) AS wmoid, 'OLD' AS network FROM supplier)
+SELECT * FROM cur
+UNION ALL SELECT (SELECT max(id) FROM cur) + row_number() OVER (ORDER BY c_name), c_name, c_mktsegment,
+  TRY_CAST(CAST(CAST(c_acctbal/100 AS DECIMAL(12,2)) AS VARCHAR) AS DOUBLE), CASE WHEN c_custkey%4<>0 THEN c_custkey%180+0.5e0 END,
+  CAST(greatest(c_custkey%90, c_custkey%70+0.5e0) AS DOUBLE), CASE WHEN c_custkey%3<>0 THEN CAST(c_custkey AS INTEGER) END, 'NET'
+FROM customer""")
+def station_refresh(spark, sf_dir):
+    """Harvested pages normalised and merged into the station dimension."""
+    rows = html.table_rows(station_pages(spark, sf_dir), "html", ["c_custkey"])
+    return stations.refresh_stations(current_stations(spark, sf_dir), rows, "NET", order="c_custkey")
 
 
 @query("station_lookup", """

@@ -373,8 +373,7 @@ def level_validity(spark, sf_dir):
 
 # -- ordered-profile building blocks on the raw event values -----------------------
 def _users(spark, sf_dir, work):
-    return per_group(V.table(spark, sf_dir, "events"), ["user_id"], [F.asc("ts"), F.asc("event_id")],
-                     V.seconds(F.col("ts")), work)
+    return per_group(V.table(spark, sf_dir, "events"), ["user_id"], [F.asc("ts"), F.asc("event_id")], work)
 
 
 @query("boxcar_smoothing", """

@@ -19,7 +19,7 @@ def blocks(spark, sf_dir):
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("code"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch"),
     )
-    return catalog.marked_blocks(rows, FILE, [F.asc("ts"), F.asc("event_id")], V.seconds(F.col("ts")), ["event_type"])
+    return catalog.marked_blocks(rows, FILE, [F.asc("ts"), F.asc("event_id")], ["event_type"])
 
 
 def launch_rows(spark, sf_dir):

@@ -15,16 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deals the rows out where a table has fewer files than there are cores.
-
-    Each given table is one file with one row group, which is one task; tables
-    in many files pass through unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 # One formula text per column: Spark and the SQL twins read the same words.
 ARCHIVE_COLUMNS = {
     "station": "concat('ST', chr(CAST(65 + o_custkey % 5 AS INT)))",
@@ -49,7 +39,7 @@ def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     def work(group: Group) -> DataFrame:
         return group.number("rn").df.withColumn("k", F.col("rn") - 1).drop("rn")
 
-    return per_group(events, ["user_id"], [F.asc("ts"), F.asc("event_id")], seconds(F.col("ts")), work)
+    return per_group(events, ["user_id"], [F.asc("ts"), F.asc("event_id")], work)
 
 
 def sounding_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +64,8 @@ def sounding_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One archive path per order; several may belong to one launch."""
-    orders = spread(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     parts = orders.select("*", *[F.expr(text).alias(f"f_{name}") for name, text in ARCHIVE_COLUMNS.items()])
     stamp = F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss")
     code = F.concat("f_station", "f_folder")

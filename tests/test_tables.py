@@ -62,7 +62,7 @@ def test_export_is_incremental_and_safe_to_repeat(spark, store, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == 45
     assert dict(back.dtypes)["observation_value"] == "float"
-    assert back.where("observation_id = 12").select("record_number").distinct().first()[0] == C.INT8_MISSING
+    assert back.where("observation_id = 12").select("record_number").distinct().first()[0] == C.INT32_MISSING
     writers.write_variable_dim(spark, str(tmp_path / "dim"))
     assert spark.read.parquet(str(tmp_path / "dim")).count() == 15
 
@@ -109,7 +109,7 @@ def test_change_points(spark):
     ts = [1, 1, 2, 2, 2, 1]
     df = spark.createDataFrame([("f", i, t, "LIN\x00", i % 2) for i, t in enumerate(ts)],
                                "file string, pos int, ts long, station string, code int")
-    blocks = catalog.marked_blocks(df, ["file"], [F.asc("pos")], F.col("pos").cast("double"), ["ts"])
+    blocks = catalog.marked_blocks(df, ["file"], [F.asc("pos")], ["ts"])
     rows = catalog.launches(blocks, ["file"], "station", "ts", "code").orderBy("block_id").collect()
     assert [(r["start_idx"], r["end_idx"]) for r in rows] == [(0, 2), (2, 5), (5, 6)]
     assert rows[0]["station_name"] == "LIN" and rows[0]["launch_date"] == "1970-01-01 00:00:01"
@@ -120,7 +120,7 @@ def test_adjacent_stations_with_one_time_are_two_launches(spark):
     df = spark.createDataFrame([("f", 0, 5, "A"), ("f", 1, 5, "B")], "file string, pos int, ts long, s string")
 
     def blocks(run_of):
-        marked = catalog.marked_blocks(df, ["file"], [F.asc("pos")], F.col("pos").cast("double"), run_of)
+        marked = catalog.marked_blocks(df, ["file"], [F.asc("pos")], run_of)
         return marked.select("block_id").distinct().count()
 
     assert blocks(["s", "ts"]) == 2 and blocks(["ts"]) == 1
