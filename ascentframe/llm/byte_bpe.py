@@ -18,11 +18,10 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from ascentframe.llm.common import groups_by_size, ragged
@@ -30,7 +29,7 @@ from ascentframe.llm.common import groups_by_size, ragged
 #: Code points that are worked on at once; a longer text is a group of its own.
 GROUP = 1 << 20
 #: Slices that a worker remembers before it starts anew; longer ones are not remembered.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 300_000, 64
 _BLOCK = 64
 
 # classes of code points
@@ -263,47 +262,86 @@ def coder(path: str) -> Coder:
     return Coder(path)
 
 
-_ENCODED = StructType([StructField("ids", ArrayType(IntegerType())), StructField("offsets", ArrayType(IntegerType()))])
+def _texts(column: pa.Array) -> list[str]:
+    return ["" if x is None else x for x in column.to_pylist()]
 
 
-def encode(docs: DataFrame, path: str, into: str = "encoded") -> DataFrame:
-    """`docs` with a struct column `into` (ids, offsets): the token ids of the whole text and the byte each starts at.
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
-    NULL and empty texts have no ids. `path` is a rank file that exists on every machine. Rows are independent of each
-    other: nothing is shuffled, and rows that occur twice come out twice.
+
+def _added(docs: DataFrame, *names: str) -> tuple[list[str], StructType]:
+    """Columns of `docs` that stay, and the schema with columns of these names behind them."""
+    kinds = {"ids": ArrayType(IntegerType()), "offsets": ArrayType(IntegerType()), "decoded": BinaryType()}
+    kept = [c for c in docs.columns if c not in names]
+    return kept, StructType([docs.schema[c] for c in kept] + [StructField(n, kinds[n]) for n in names])
+
+
+def encode(docs: DataFrame, path: str) -> DataFrame:
+    """`docs` with the token ids of each whole text in `ids` and the byte each token starts at in `offsets`.
+
+    NULL and empty texts have no ids. `path` is a rank file that exists on every machine. Columns of those names are
+    replaced. Rows are independent of each other: nothing is shuffled, and rows that occur twice come out twice. Results
+    leave a task in small batches, however many rows come in at once.
     """
+    kept, schema = _added(docs, "ids", "offsets")
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)
-        for texts in batches:
-            texts = ["" if x is None else x for x in texts]
-            ids, offsets = [], []
+        for batch in batches:
+            texts = _texts(batch.column("text"))
             for a, b in groups_by_size(map(len, texts), GROUP):
-                found, places, counts = own.encode(texts[a:b])
-                ends = np.cumsum(counts)[:-1]
-                ids += np.split(found, ends)
-                offsets += np.split(places, ends)
-            yield pd.DataFrame({"ids": ids, "offsets": offsets})
+                ids, offsets, counts = own.encode(texts[a:b])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(a, b - a) for c in kept), _lists(ids, counts), _lists(offsets, counts)],
+                    names=[*kept, "ids", "offsets"],
+                )
+
+    return docs.mapInArrow(run, schema)
 
-    return docs.withColumn(into, pandas_udf(run, _ENCODED)(F.col("text")))
 
+def decode(docs: DataFrame, path: str) -> DataFrame:
+    """`docs` (ids, offsets, ...) with the bytes that the ids stand for in `decoded`."""
+    kept, schema = _added(docs, "decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = coder(path)
+        for batch in batches:
+            ids, offsets = batch.column("ids"), batch.column("offsets")
+            for a, b in groups_by_size((len(x) for x in ids), GROUP):
+                out = [own.decode(np.asarray(i.values), np.asarray(o.values)) for i, o in zip(ids[a:b], offsets[a:b])]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(a, b - a) for c in kept), pa.array(out, pa.binary())], names=[*kept, "decoded"]
+                )
+
+    return docs.mapInArrow(run, schema)
 
-def decode(docs: DataFrame, path: str, column: str = "encoded", into: str = "decoded") -> DataFrame:
-    """`docs` with the bytes that the ids of `column` stand for, as a binary column `into`."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, the ids of the whole text, and the bytes decoded from them, in one pass over the texts."""
+    schema = StructType([docs.schema["doc_id"], StructField("ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)
         for batch in batches:
-            yield pd.Series([own.decode(np.asarray(i), np.asarray(o)) for i, o in zip(batch["ids"], batch["offsets"])], dtype=object)
+            texts = _texts(batch.column("text"))
+            for a, b in groups_by_size(map(len, texts), GROUP):
+                ids, offsets, counts = own.encode(texts[a:b])
+                ends = np.cumsum(counts)[:-1]
+                out = [own.decode(i, o) for i, o in zip(np.split(ids, ends), np.split(offsets, ends))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), _lists(ids, counts), pa.array(out, pa.binary())],
+                    names=["doc_id", "ids", "decoded"],
+                )
 
-    return docs.withColumn(into, pandas_udf(run, BinaryType())(F.col(column)))
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row of `docs`."""
-    both = decode(encode(docs.select("doc_id", "text"), path), path)
-    ids = F.col("encoded.ids")
-    return both.select(
+    ids = F.col("ids")
+    return round_trip(docs, path).select(
         "doc_id",
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

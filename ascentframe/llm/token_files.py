@@ -51,7 +51,11 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(n, dtype=np.int32)
     selector = np.full(n, len(COUNTS) - 1, np.int8)
     narrow = np.minimum(values, np.uint64(1 << 31)).astype(np.uint32)  # a type of half the size settles all widths but 60
+    highest = int(values.max())
     for s in range(len(COUNTS) - 2, -1, -1):
+        if highest < 1 << int(WIDTHS[s]):
+            selector[:] = s  # every id is narrow enough
+            continue
         misfit = np.where(narrow < (1 << int(WIDTHS[s])), np.int32(n + 240), place)
         end = np.minimum.accumulate(misfit[::-1])[::-1]  # the next id that is too wide; behind the last there are zeros
         held = end - place >= COUNTS[s]
@@ -94,8 +98,13 @@ def unpack(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
 
 
 _MARKS = re.compile("[\u0300-\u036f]").search
-#: A full stop or comma between a letter and white space is a piece of its own.
-_STOPS = re.compile(r"([a-z])([.,])(?=[ \n])").sub
+#: Signs between a letter and white space are a piece of their own.
+_SIGNS = re.compile(r"(?<=[a-z])([^\w\s]+)(?=[ \n])").sub
+#: Lower-case Latin letters, which normalising leaves alone; the vocabulary writes their bytes as characters, those that
+#: do not print as characters from 256 on.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+_HIDDEN = [*range(33), *range(127, 161), 173]
+_AS_CHARACTERS = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 
 
 class WordCoder(dict):
@@ -129,12 +138,15 @@ class WordCoder(dict):
         ends = []
         for text in texts:
             if not _MARKS(text):  # without combining marks the tokenizer lowers A-Z alone, so this may be done before
-                text = _STOPS(r"\1 \2", text.encode().lower().decode())
+                text = _SIGNS(r" \1", text.encode().lower().decode())
             words += [w for w in text.replace("\n", " ").split(" ") if w]
             ends.append(len(words))
         codes = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if self.new:
-            found = [x.ids for x in self.tokenizer.encode_batch(self.new, add_special_tokens=False)]
+            # a word of such letters is one piece, so the model may be asked directly
+            other = iter(self.tokenizer.encode_batch([w for w in self.new if not _PLAIN(w)], add_special_tokens=False))
+            merged = self.tokenizer.model.tokenize
+            found = [[x.id for x in merged(w.encode().decode("latin-1").translate(_AS_CHARACTERS))] if _PLAIN(w) else next(other).ids for w in self.new]
             count = np.fromiter(map(len, found), np.int64, len(found))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])

@@ -35,8 +35,9 @@ COLUMNS = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 def test_messy_rows(spark, library):
     assert rows_of(B.digests(docs(spark), PATH), *COLUMNS) == expected(library, TEXTS)
     assert B.digests(docs(spark, []), PATH).count() == 0
-    whole = B.decode(B.encode(clashing(docs(spark)).drop("encoded"), PATH), PATH).collect()
-    assert all(r.decoded == (r.text or "").encode() and len(r.encoded.ids) == len(r.encoded.offsets) for r in whole)
+    whole = B.decode(B.encode(clashing(docs(spark)), PATH), PATH).collect()
+    assert all(r.decoded == (r.text or "").encode() and len(r.ids) == len(r.offsets) for r in whole)
+    assert len(whole) == len(TEXTS) and whole[0].words == "clash"
 
 
 def test_given_table(spark, library):
