@@ -92,7 +92,7 @@ UNIT_TRANSFORMS = {
     "press_uc": (100.0, 0.0),
 }
 
-# Header columns the export reads: (old dialect name, new dialect name).
+# --- fixed values: header columns of the export, (old dialect name, new dialect name) ---
 HEADER_TEXT = {
     "primary_station_id": ("g_general_sitecode", "g_site_key"),
     "station_name|station_configuration": ("g_general_sitename", "g_site_name"),
@@ -128,7 +128,7 @@ def export_header_columns() -> list[str]:
     return ["g_product_id"] + [name for pair in pairs for name in pair]
 
 
-# Columns of the long table in output order.
+# --- fixed values: columns of the long table in output order -----------------------
 CDM_SCHEMA = T.StructType(
     [
         T.StructField("observed_variable", T.IntegerType()),
@@ -160,6 +160,7 @@ CDM_SCHEMA = T.StructType(
         T.StructField("sensor_id", T.StringType()),
     ]
 )
+# --- fixed values: columns that must be filled ---------------------------------
 MANDATORY_COLUMNS = (
     "latitude|observations_table",
     "longitude|observations_table",
@@ -175,6 +176,7 @@ UINT8_MISSING = 255
 UINT16_MISSING = 65535
 INT32_MISSING = -(2**31)
 
+# --- fixed values: columns of the stored station and tracking tables -----------
 STATION_SCHEMA = T.StructType(
     [
         T.StructField("id", T.IntegerType()),
@@ -198,7 +200,7 @@ TRACKING_SCHEMA = T.StructType(
     ]
 )
 
-# Level and header diagnostics, by their storage names.
+# --- fixed values: storage names of level and header diagnostics ----------------
 PROFILE_DIAGNOSTICS = ("td", "theta", "theta_e", "parcel_profile")
 SCALAR_DIAGNOSTICS = (
     ["diag_lcl_p", "diag_lcl_t", "diag_lfc_p", "diag_lfc_t", "diag_el_p", "diag_el_t",

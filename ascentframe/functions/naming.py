@@ -5,22 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: the shape of an archive name, group by group
-ARCHIVE_GROUPS = (
-    ("station", r"([A-Z]{3})"),
-    (None, r"-RS-\d+_"),
-    ("extra", r"(\d+_)?"),
-    ("product", r"(RS[0-9A-Z\-]+|IMS-\d+-GDP)"),
-    ("version", r"_(\d{3})"),
-    ("datetime", r"_(\d{8}T\d{6})"),
-    ("group", r"_(\d-\d{3}-\d{3})"),
-    ("id", r"_([A-Z0-9]+)"),
-    ("rev", r"(?:_rev(\d{3}))?"),
-    (None, r"\.jar$"),
-)
-ARCHIVE_PATTERN = "".join(pattern for _, pattern in ARCHIVE_GROUPS)
-ARCHIVE_FIELDS = [name for name, _ in ARCHIVE_GROUPS if name]
+# --- fixed values: the pattern of an archive name, and the names of its groups ---
+ARCHIVE_PATTERN = r"([A-Z]{3})-RS-\d+_(\d+_)?(RS[0-9A-Z\-]+|IMS-\d+-GDP)_(\d{3})_(\d{8}T\d{6})_(\d-\d{3}-\d{3})_([A-Z0-9]+)(?:_rev(\d{3}))?\.jar$"
+ARCHIVE_FIELDS = ["station", "extra", "product", "version", "datetime", "group", "id", "rev"]
 
+# --- fixed value: files below this folder are preferred ---------------------------
 PREFERRED_FOLDER = "-RS-02"
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ascentframe import contracts as C
 
-# fixed value: a number at the start of a text
+# fixed values: the numbers of an elevation text, and a number at the start of a text
+ELEVATION_NUMBER = r"(\d+\.?\d*)"
 LEADING_NUMBER = r"^([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?)"
 INTEGER_TYPES = ("integer", "bigint", "smallint")
 
@@ -118,7 +119,7 @@ def degrees(cell: Column) -> Column:
 def elevation(cell: Column) -> Column:
     """Largest number in the text."""
     plain = F.replace(F.trim(cell), F.lit("m"), F.lit(""))
-    numbers = F.regexp_extract_all(plain, F.lit(r"(\d+\.?\d*)"), F.lit(1))
+    numbers = F.regexp_extract_all(plain, F.lit(ELEVATION_NUMBER), F.lit(1))
     return F.array_max(F.transform(numbers, lambda x: x.try_cast("double")))
 
 

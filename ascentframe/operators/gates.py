@@ -55,6 +55,7 @@ def judge_soundings(attrs: DataFrame, level_counts: DataFrame, stations: DataFra
         return F.when(condition, F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts]))
 
     names = F.transform(F.map_keys("attrs"), F.lower)
+    # fixed values: the reason texts
     rules = [
         reason(F.coalesce(F.col("n_levels"), F.lit(0)) == 0, "No measurement data provided"),
         reason(F.coalesce(F.col("n_times"), F.lit(0)) == 0, "No time data found in measurements"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ascentframe.functions.text import annotated_number
+from ascentframe.functions.text import leading_number
 from ascentframe.operators.ordered import per_group
 
 # fixed values: tolerances
@@ -32,42 +32,65 @@ def close(expected: Column, actual: Column, absolute: float) -> Column:
 
 def compare_profiles(expected: DataFrame, actual: DataFrame, keys: Sequence[str], columns: Sequence[str],
                      key: str, absolute: float = LEVEL_ABS) -> DataFrame:
-    """Per (sounding, column): levels compared, levels off, largest difference,
-    status.  A column without a level finite on both sides is left out.
+    """Per (sounding, column): levels compared, levels off, values that only one
+    side has, levels that only one side has, largest difference, status.
 
-    Levels are joined once, wide; the columns are aggregated side by side and
-    only the aggregates are turned into rows.
+    Levels on one side alone are errors of every column, so a lost tail, a lost
+    middle and a lost profile all show.  A column is left out only if all levels
+    are on both sides and none is finite on both.
+
+    The two sides are stacked and combined by level, which needs no join, so a
+    sounding with very many levels is spread like any other.
     """
-    exp = expected.select(*keys, *[_finite(F.col(c)).alias(f"e_{i}") for i, c in enumerate(columns)])
-    act = actual.select(*keys, *[_finite(F.col(c)).alias(f"a_{i}") for i, c in enumerate(columns)])
-    both = exp.join(act, list(keys), "inner")
-    aggs = []
+    def side(rows: DataFrame, mine: str, other: str) -> DataFrame:
+        values = [_finite(F.col(c)).alias(f"{mine}_{i}") for i, c in enumerate(columns)]
+        empty = [F.lit(None).cast("double").alias(f"{other}_{i}") for i, _ in enumerate(columns)]
+        return rows.select(*keys, F.lit(1).alias(mine), F.lit(0).alias(other), *values, *empty)
+
+    both = side(expected, "e", "a").unionByName(side(actual, "a", "e")).groupBy(*keys).agg(
+        *[F.max(name).alias(name) for s in "ea" for name in (s, *[f"{s}_{i}" for i, _ in enumerate(columns)])]
+    )
+    missing, extra = F.count_if(F.col("a") == 0), F.count_if(F.col("e") == 0)
+    aggs = [missing.alias("missing"), extra.alias("extra")]
     for i, _ in enumerate(columns):
         e, a = F.col(f"e_{i}"), F.col(f"a_{i}")
         aggs += [
             F.count(e - a).alias(f"n_{i}"),
             F.count_if(~close(e, a, absolute)).alias(f"x_{i}"),
+            F.count_if(e.isNull() != a.isNull()).alias(f"o_{i}"),
             F.max(F.abs(e - a)).alias(f"d_{i}"),
         ]
     per = both.groupBy(key).agg(*aggs)
     rows = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"n_{i}").alias("compared"),
-                 F.col(f"x_{i}").alias("off"), F.col(f"d_{i}").alias("max_diff"))
+        F.struct(F.lit(c).alias("column_name"), F.col(f"n_{i}").alias("compared"), F.col(f"x_{i}").alias("off"),
+                 F.col(f"o_{i}").alias("one_sided"), F.col(f"d_{i}").alias("max_diff"))
         for i, c in enumerate(columns)
     ])
-    out = per.select(key, F.explode(rows).alias("r")).select(key, "r.*").where("compared > 0")
-    return out.withColumn("status", F.when(F.col("off") == 0, OK).otherwise(ERR))
+    out = per.select(key, "missing", "extra", F.explode(rows).alias("r")).select(key, "r.*", "missing", "extra")
+    unmatched = F.col("missing") + F.col("extra")
+    out = out.where((F.col("compared") > 0) | (unmatched > 0))
+    return out.withColumn("status", F.when((F.col("off") == 0) & (unmatched == 0), OK).otherwise(ERR))
+
+
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*"
+
+
+def number_and_unit(value: Column) -> tuple[Column, Column]:
+    """The number a text consists of, apart from a unit without digits behind it, and that unit; NULL for other texts."""
+    is_number = value.rlike(_NUMBER + r"[^\d]*$")
+    return F.when(is_number, leading_number(value)), F.when(is_number, F.trim(F.regexp_replace(value, _NUMBER, "")))
 
 
 def header_match(name: Column, expected: Column, actual: Column) -> Column:
-    """Both numbers: tolerance.  A time column: within one second.  Otherwise
-    trimmed text equality (two missing values agree)."""
-    e, a = annotated_number(expected), annotated_number(actual)
+    """Both numbers, of one unit or one without: tolerance.  A time column: within
+    one second.  Otherwise trimmed text equality (two missing values agree)."""
+    (e, e_unit), (a, a_unit) = number_and_unit(expected), number_and_unit(actual)
     te, ta = expected.try_cast("timestamp"), actual.try_cast("timestamp")
     same_text = F.trim(expected).eqNullSafe(F.trim(actual))
     near = F.abs(F.unix_micros(te) - F.unix_micros(ta)) < 1_000_000
     timed = F.lower(name).rlike(TIME_WORDS) & te.isNotNull() & ta.isNotNull()
-    numbers = e.isNotNull() & a.isNotNull()
+    one_unit = (e_unit == a_unit) | (e_unit == "") | (a_unit == "")
+    numbers = e.isNotNull() & a.isNotNull() & one_unit
     return F.when(numbers, close(e, a, HEADER_ABS)).when(timed, near).otherwise(same_text)
 
 
@@ -91,7 +114,8 @@ def missing_soundings(expected: DataFrame, actual: DataFrame, key: str) -> DataF
 
 def verdicts(expected: DataFrame, actual: DataFrame, key: str, profile_rows: DataFrame,
              header_rows: DataFrame | None = None) -> DataFrame:
-    """One row per expected sounding: OK/ERR counts, ``found`` and ``passed``."""
+    """One row per expected sounding: OK/ERR counts, ``found`` and ``passed``.  A
+    sounding of which no level was compared does not pass."""
 
     def counts(rows: DataFrame, side: str) -> DataFrame:
         return rows.groupBy(key).agg(
@@ -108,7 +132,7 @@ def verdicts(expected: DataFrame, actual: DataFrame, key: str, profile_rows: Dat
         names += ["header_ok", "header_err"]
     out = out.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in names})
     out = out.withColumn("found", F.coalesce("found", F.lit(False)))
-    clean = F.col("found")
+    clean = F.col("found") & (F.col("profile_ok") + F.col("profile_err") > 0)
     for name in names:
         if name.endswith("_err"):
             clean = clean & (F.col(name) == 0)

@@ -29,6 +29,7 @@ def select_survivors(files: DataFrame, pattern_name: str = "archive") -> DataFra
     best = F.min_by(F.struct("path", "filename", "priority", "group_no", "rev_no"), rank)
     bests = parsed.groupBy("_site", "_launch").agg(best.alias("best"))
     judged = parsed.join(bests, ["_site", "_launch"])
+    # fixed values: the reason texts, here and below
     reason = (
         F.when(~F.col("matches"), F.lit(f"Filename does not match {pattern_name} pattern"))
         .when(F.col("path") == F.col("best.path"), F.lit(None))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ascentframe.operators.ordered import Group
 
+# --- fixed values: constants of the thermal tropopause ---
 R_OVER_G = 29.27  # m/K
 LAPSE_LIMIT = 2.0  # K/km
 TOP_PRESSURE = 500.0  # hPa

@@ -5,16 +5,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ascentframe.operators import reconcile as R
 
+IDENTITY = ("station", "report_timestamp")
+
+
+def rekeyed(source_headers: DataFrame, stored_headers: DataFrame, stored: DataFrame, key: str,
+            identity: Sequence[str] = IDENTITY) -> DataFrame:
+    """Stored rows under the source's key: soundings are looked up by station and
+    time.  A sounding stored twice comes out twice, which the comparison shows."""
+    ours = source_headers.select(key, *identity)
+    theirs = stored_headers.select(F.col(key).alias("_stored"), *identity)
+    pairs = ours.join(theirs, list(identity)).select(key, "_stored")
+    return stored.withColumnRenamed(key, "_stored").join(pairs, "_stored").drop("_stored")
+
 
 def verify(source_levels: DataFrame, stored_levels: DataFrame, source_headers: DataFrame,
            stored_headers: DataFrame, level_columns: Sequence[str], header_columns: Sequence[str],
-           key: str = "g_product_id", order: str = "observation_id") -> DataFrame:
-    """One verdict row per source sounding."""
+           key: str = "g_product_id", order: str = "observation_id",
+           identity: Sequence[str] = IDENTITY) -> DataFrame:
+    """One verdict row per source sounding.  Unknown stations, soundings without a
+    stored header, and lost or extra levels do not pass."""
+    levels = rekeyed(source_headers, stored_headers, stored_levels, key, identity)
+    headers = rekeyed(source_headers, stored_headers, stored_headers, key, identity)
     expected = R.positioned(source_levels, key, order)
-    actual = R.positioned(stored_levels, key, order)
+    actual = R.positioned(levels, key, order)
     profiles = R.compare_profiles(expected, actual, [key, "pos"], level_columns, key)
-    headers = R.compare_headers(source_headers, stored_headers, key, header_columns)
-    return R.verdicts(source_headers, stored_headers, key, profiles, headers)
+    return R.verdicts(source_headers, headers, key, profiles,
+                      R.compare_headers(source_headers, headers, key, header_columns))

@@ -15,7 +15,7 @@ from ascentframe.queries import views as V
 from ascentframe.queries.registry import query
 from ascentframe.sources import archives
 
-_RE = r"([A-Z]{3})-RS-\d+_(\d+_)?(RS[0-9A-Z\-]+|IMS-\d+-GDP)_(\d{3})_(\d{8}T\d{6})_(\d-\d{3}-\d{3})_([A-Z0-9]+)(?:_rev(\d{3}))?\.jar$"
+_RE = N.ARCHIVE_PATTERN
 
 PARSED = V.ARCHIVE_SQL + f""",
 pn AS (

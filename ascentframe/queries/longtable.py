@@ -77,7 +77,7 @@ def headers(spark, sf_dir):
 
 def stations(spark, sf_dir):
     return V.table(spark, sf_dir, "nation").select(
-        (F.col("n_nationkey") + 1).alias("id"), F.col("n_name").alias("idstation"))
+        (F.col("n_nationkey") * 40 + 1).alias("id"), F.col("n_name").alias("idstation"))
 
 
 def long_table_of(spark, sf_dir, **options):
@@ -88,23 +88,27 @@ def _sql(text: str) -> str:
     return text.replace("STRING", "VARCHAR")
 
 
-def _either(old, new):
+def _either(old, new, scaled):
     parts = []
     for name in dict.fromkeys((old, new)):
         if name in LEVEL_FORMULAS:
-            factor, offset = C.UNIT_TRANSFORMS.get(name, (1.0, 0.0))
+            factor, offset = C.UNIT_TRANSFORMS.get(name, (1.0, 0.0)) if scaled else (1.0, 0.0)
             parts.append(f'"{name}" * {factor!r}::DOUBLE + {offset!r}::DOUBLE' if factor != 1.0 else f'CAST("{name}" AS DOUBLE)')
     return "coalesce(" + ", ".join(parts) + ")" if parts else "CAST(NULL AS DOUBLE)"
 
 
-_PIECES = "\nUNION ALL ".join(
-    f"SELECT g_product_id, observation_id, report_timestamp, {v.code} AS observed_variable, {v.unit} AS units, "
-    f"{_either(v.old, v.new)} AS observation_value, {_either(v.random, None)} AS u1, "
-    f"{_either(v.systematic_old, v.systematic_new)} AS u2, {_either(v.total_old, v.total_new)} AS u5, "
-    "CAST(alt AS DOUBLE) AS z_coordinate, lat, lon FROM wide"
-    for v in C.VARIABLES
-)
-LONG = f"""
+def _pieces(scaled: bool) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT g_product_id, observation_id, report_timestamp, {v.code} AS observed_variable, {v.unit} AS units, "
+        f"{_either(v.old, v.new, scaled)} AS observation_value, {_either(v.random, None, scaled)} AS u1, "
+        f"{_either(v.systematic_old, v.systematic_new, scaled)} AS u2, {_either(v.total_old, v.total_new, scaled)} AS u5, "
+        "CAST(alt AS DOUBLE) AS z_coordinate, lat, lon FROM wide"
+        for v in C.VARIABLES
+    )
+
+
+def _long(scaled: bool = True) -> str:
+    return f"""
 wide AS (
   SELECT l_orderkey AS g_product_id, {OBSERVATION} AS observation_id, l_shipdate AS report_timestamp,
     {', '.join(f'{_sql(t)} AS "{n}"' for n, t in LEVEL_FORMULAS.items())}
@@ -112,32 +116,54 @@ wide AS (
 hd AS (
   SELECT o_orderkey AS g_product_id, {', '.join(f'{_sql(t)} AS {n}' for n, t in HEADER_FORMULAS.items())}
   FROM orders JOIN customer ON o_custkey=c_custkey),
-pieces AS ({_PIECES}),
+pieces AS ({_pieces(scaled)}),
 hx AS (
   SELECT g_product_id, coalesce(g_general_sitecode, g_site_key, '') AS primary_station_id,
     coalesce(g_general_sitename, g_site_name, '') AS station_name, coalesce(g_product_code, g_product_key, '') AS sensor_id,
     coalesce(g_measuringsystem_latitude, g_measurementsystem_latitude) AS slat,
     coalesce(g_measuringsystem_longitude, g_measurementsystem_longitude) AS slon,
     coalesce(g_measuringsystem_altitude, g_measurementsystem_altitude) AS salt,
-    n_nationkey+1 AS record_number
+    n_nationkey*40+1 AS record_number
   FROM hd LEFT JOIN nation ON n_name=coalesce(g_general_sitecode, g_site_key, '')),
 lt AS (
   SELECT p.*, hx.* EXCLUDE (g_product_id), CAST(epoch(report_timestamp) AS BIGINT) AS epoch,
     year(report_timestamp) AS year, month(report_timestamp) AS month
   FROM pieces p JOIN hx ON hx.g_product_id=p.g_product_id)"""
 
+
+LONG = _long()
+
+# every column of the long table, as the SQL twin spells it
+_TWIN = {
+    "observed_variable": "observed_variable", "observation_value": "observation_value", "units": "units",
+    "z_coordinate": "z_coordinate", "z_coordinate_type": "0", "report_timestamp": "epoch", "report_meaning_of_timestamp": "1",
+    "report_id": "g_product_id", "report_duration": "9", "observation_id": "observation_id",
+    "primary_station_id": "primary_station_id", "station_name|station_configuration": "station_name",
+    "latitude|station_configuration": "slat", "longitude|station_configuration": "slon",
+    "height_of_station_above_sea_level": "salt", "latitude|observations_table": "lat", "longitude|observations_table": "lon",
+    "record_number": "record_number", "sensor_id": "sensor_id",
+    **{f"uncertainty_{what}{k}": text for k in (1, 2, 5)
+       for what, text in (("value", f"u{k}"), ("type", str(k)), ("units", "units"))},
+}
+_ENCODED = {"int64": "coalesce(CAST({0} AS BIGINT), -9223372036854775808)", "int32": "coalesce(CAST({0} AS INTEGER), -2147483648)",
+            "float32": "coalesce(CAST({0} AS FLOAT), CAST('NaN' AS FLOAT))", "uint8": "coalesce({0}, 255)",
+            "uint16": "coalesce({0}, 65535)", "int16": "{0}", "text": "coalesce(CAST({0} AS VARCHAR), '')"}
+_PLAIN_SQL = ", ".join(
+    f'round({_TWIN[f.name]}, 8) AS "{f.name}"' if f.dataType.simpleString() == "double" else f'{_TWIN[f.name]} AS "{f.name}"'
+    for f in C.CDM_SCHEMA.fields)
+_ENCODED_SQL = ", ".join(f'{_ENCODED[kind].format(_TWIN[name])} AS "{name}"' for name, kind in cdm.STORAGE.items())
+
 _MEASURES = {"observation_value": "observation_value", "u1": "uncertainty_value1", "u2": "uncertainty_value2",
              "u5": "uncertainty_value5", "z_coordinate": "z_coordinate"}
 
 
-@query("long_table", f"""WITH {LONG}
-SELECT g_product_id AS report_id, observation_id, observed_variable, round(observation_value,8) AS observation_value,
-  round(u5,8) AS uncertainty_value5, record_number FROM lt""")
+@query("long_table", f"WITH {LONG} SELECT {_PLAIN_SQL} FROM lt")
 def long_table(spark, sf_dir):
+    """The whole table, all columns."""
     rows = long_table_of(spark, sf_dir)
-    return rows.select("report_id", "observation_id", "observed_variable",
-                       *[F.round(name, 8).alias(name) for name in ("observation_value", "uncertainty_value5")],
-                       "record_number")
+    return rows.select(*[
+        F.round(F.col(f"`{f.name}`"), 8).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f"`{f.name}`")
+        for f in C.CDM_SCHEMA.fields])
 
 
 @query("long_table_by_month", f"""WITH {LONG}
@@ -178,29 +204,20 @@ def long_table_year_range(spark, sf_dir):
         F.count(F.lit(1)).alias("rows_out"), F.round(F.sum("observation_value"), 4).alias("total"))
 
 
-@query("raw_unit_long_table", f"""WITH {LONG}
-SELECT observed_variable, round(sum(CASE WHEN observed_variable=142 THEN observation_value/100e0 ELSE observation_value END),4) AS total,
-  count(*) AS rows_out FROM lt WHERE observed_variable<>123 GROUP BY observed_variable""")
+@query("raw_unit_long_table", f"""WITH {_long(False)}
+SELECT observed_variable, round(sum(observation_value),4) AS total, round(sum(u5),4) AS spread, count(*) AS rows_out
+FROM lt GROUP BY observed_variable""")
 def raw_unit_long_table(spark, sf_dir):
-    rows = long_table_of(spark, sf_dir, transform_units=False).where("observed_variable <> 123")
+    rows = long_table_of(spark, sf_dir, transform_units=False)
     return rows.groupBy("observed_variable").agg(
-        F.round(F.sum("observation_value"), 4).alias("total"), F.count(F.lit(1)).alias("rows_out"))
+        F.round(F.sum("observation_value"), 4).alias("total"), F.round(F.sum("uncertainty_value5"), 4).alias("spread"),
+        F.count(F.lit(1)).alias("rows_out"))
 
 
-@query("encoded_long_table", f"""WITH {LONG}
-SELECT observed_variable, coalesce(record_number, -128) AS record_number, count(*) AS rows_out,
-  count(*) FILTER (observation_value IS NULL) AS missing_values, count(*) FILTER (station_name='') AS unnamed,
-  round(sum(CAST(CAST(observation_value AS FLOAT) AS DOUBLE)),1) AS total FROM lt GROUP BY ALL""")
+@query("encoded_long_table", f"WITH {LONG} SELECT {_ENCODED_SQL} FROM lt")
 def encoded_long_table(spark, sf_dir):
-    rows = cdm.encoded_long_table(long_table_of(spark, sf_dir))
-    value = F.col("observation_value")
-    return rows.groupBy(F.col("observed_variable").cast("int").alias("observed_variable"),
-                        F.col("record_number").cast("int").alias("record_number")).agg(
-        F.count(F.lit(1)).alias("rows_out"),
-        F.count_if(F.isnan(value)).alias("missing_values"),
-        F.count_if(F.col("`station_name|station_configuration`") == "").alias("unnamed"),
-        F.round(F.sum(F.when(~F.isnan(value), value.cast("double"))), 1).alias("total"),
-    )
+    """Storage form of every row, sentinels included."""
+    return cdm.encoded_long_table(long_table_of(spark, sf_dir))
 
 
 @query("mandatory_columns", f"""WITH {LONG}

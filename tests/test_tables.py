@@ -157,15 +157,34 @@ def test_header_ladder(spark, name, expected, actual, match):
     assert df.select(reconcile.header_match(F.col("n"), F.col("e"), F.col("a")).alias("m")).first()["m"] is match
 
 
+def test_header_texts_that_only_share_digits_differ(spark):
+    pairs = [("N3 x", "S3"), ("RS41", "IMS41"), ("12 m", "12 km"), ("12 m", "12"), ("1e2", "100 K")]
+    df = spark.createDataFrame(pairs, "e string, a string")
+    rows = df.select(reconcile.header_match(F.lit("serial"), F.col("e"), F.col("a")).alias("m")).collect()
+    assert [r.m for r in rows] == [False, False, False, True, True]
+
+
 def test_verify_reports_missing_and_differing(spark):
-    lv = spark.createDataFrame([(s, i, float(i)) for s in (1, 2, 3) for i in range(3)],
+    """Stored numbers differ from the source's; soundings are found by station and time."""
+    lv = spark.createDataFrame([(s, i, float(i)) for s in range(1, 9) for i in range(5)],
                                "g_product_id long, observation_id long, t double")
-    stored = lv.where("g_product_id <> 3").withColumn("t", F.expr("IF(g_product_id = 2 AND observation_id = 1, 5D, t)"))
-    heads = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "g_product_id long, site string")
-    out = verifying.verify(lv, stored, heads, heads.where("g_product_id <> 3"), ["t"], ["site"])
-    got = {r["g_product_id"]: (r["found"], r["profile_err"], r["passed"]) for r in out.collect()}
-    assert got == {1: (True, 0, True), 2: (True, 1, False), 3: (False, 0, False)}
-    assert tuple(reconcile.global_verdict(out).first()) == (3, 1, False)
+    keep = ("g_product_id <> 3 AND NOT (g_product_id = 4 AND observation_id > 1) AND NOT (g_product_id = 5 AND observation_id = 2) "
+            "AND g_product_id <> 6")
+    stored = lv.where(keep).withColumn("t", F.expr("IF(g_product_id = 2 AND observation_id = 1, 5D, t)"))
+    extra = spark.createDataFrame([(7, 9, 9.0)], lv.schema)
+    heads = spark.createDataFrame([(k, f"s{k}", k, "x") for k in range(1, 10)],
+                                  "g_product_id long, station string, report_timestamp int, site string")
+    others = heads.where("g_product_id NOT IN (3, 8)").unionByName(
+        heads.where("g_product_id = 8").withColumn("station", F.lit("unknown")))
+
+    def renamed(df):
+        return df.withColumn("g_product_id", 100 - F.col("g_product_id"))
+
+    out = verifying.verify(lv, renamed(stored.unionByName(extra)), heads, renamed(others), ["t"], ["site"])
+    got = {r["g_product_id"]: (r["found"], r["passed"]) for r in out.collect()}
+    assert got == {1: (True, True), 2: (True, False), 3: (False, False), 4: (True, False), 5: (True, False), 6: (True, False),
+                   7: (True, False), 8: (False, False), 9: (True, False)}
+    assert tuple(reconcile.global_verdict(out).first()) == (9, 1, False)
 
 
 def test_upsert_gives_ids_in_code_order(spark):
