@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,11 +64,13 @@ def with_record_number(df: DataFrame, stations: DataFrame) -> DataFrame:
     return df.join(lookup, "primary_station_id", "left")
 
 
-def long_table(merged: DataFrame, stations: DataFrame, transform_units: bool = True) -> DataFrame:
+def long_table(merged: DataFrame, stations: DataFrame, transform_units: bool = True,
+               arrange: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Every level once per observed variable, missing values kept.
 
     One pass: the variables are an array of structs exploded in place, after the
-    station look-up, so nothing is shuffled 15-fold.
+    station look-up; ``arrange`` may deal the levels out just before, so nothing is
+    shuffled 15-fold.
     """
     have = merged.columns
     scale = C.UNIT_TRANSFORMS if transform_units else {}
@@ -96,6 +98,8 @@ def long_table(merged: DataFrame, stations: DataFrame, transform_units: bool = T
         ],
     )
     base = with_record_number(base, stations)
+    if arrange:
+        base = arrange(base)
     pieces = F.array(*[
         F.struct(F.lit(var.code).alias("code"), F.lit(var.unit).alias("unit"), F.col(f"_v{var.code}").alias("m"))
         for var in C.VARIABLES

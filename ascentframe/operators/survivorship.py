@@ -122,6 +122,21 @@ def latest_per_base_name(members: DataFrame) -> DataFrame:
     )
 
 
+def choose_members(members: DataFrame) -> DataFrame:
+    """Both choices in one: the members of the latest revision of an archive that
+    has revisions; else its root members, the latest of each base name."""
+    first = select_members(members)
+    plain = first.where(F.col("latest_rev").isNull() & (F.col("outcome") == KEEP))
+    names = latest_per_base_name(plain.select("archive", "member")).select(
+        "archive", "member", F.col("outcome").alias("_outcome"), F.col("reason").alias("_reason"))
+    joined = first.join(names, ["archive", "member"], "left")
+    return joined.select(
+        "archive", "member", "latest_rev", "rev",
+        F.coalesce("_outcome", "outcome").alias("outcome"),
+        F.when(F.col("_outcome").isNotNull(), F.col("_reason")).otherwise(F.col("reason")).alias("reason"),
+    )
+
+
 def archives_without_members(archives: DataFrame, judged: DataFrame) -> DataFrame:
     """Archives that have nothing to load, with the reason."""
     found = judged.groupBy("archive").agg(

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ascentframe.operators import diagnostics, gates, survivorship, tracking
+from ascentframe import contracts as C
+from ascentframe.functions import naming, text
+from ascentframe.operators import diagnostics, gates, schema, survivorship, tracking
+from ascentframe.operators.ordered import per_group
 from ascentframe.session import ensure_checkpoint_dir
 from ascentframe.sinks import writers
+from ascentframe.sources.archives import exists
 
 IMPORT, SKIP = "import", "skip"
 
@@ -47,24 +52,136 @@ class Loaded:
     rejected: int
 
 
-def load_soundings(levels: DataFrame, attrs: DataFrame, stations: DataFrame, network: str, header_path: str,
-                   level_path: str, reject_path: str) -> Loaded:
-    """Validates, diagnoses and stores soundings with their levels as a unit.
+# columns that every stored header has; the attributes follow by the contract
+HEADER_KEYS = ("g_product_id", "idstation_pk", "report_timestamp", "conventions", "first_observation_id", "n_levels")
+#: Contract of a store that is made for the export; a stored table's own contract may be given instead.
+HEADER_CONTRACT = T.StructType(
+    [T.StructField(name, T.StringType()) for pair in C.HEADER_TEXT.values() for name in pair]
+    + [T.StructField(name, T.DoubleType()) for pair in C.HEADER_NUMBERS.values() for name in pair]
+    + [T.StructField("g_general_sitewmoid", T.StringType())]
+)
+
+
+def header_of(good: DataFrame, contract: T.StructType) -> DataFrame:
+    """Accepted soundings (attrs, station_key, ...) as header rows: every contract column is looked up among the
+    attributes by its cleaned name, old dialects fill the site number, and types follow the contract."""
+    clean = F.transform_keys(text.lower_keys(F.col("attrs")), lambda k, _: F.translate(k, ".- ", "___"))
+    folded = good.withColumn("_attrs", clean)
+    wanted = [f.name for f in contract.fields if f.name not in HEADER_KEYS]
+    values = {name: F.col("_attrs")[name] for name in wanted}
+    if "g_general_sitewmoid" in values:
+        old = F.when(F.col("conventions").isin(*C.OLD_DIALECTS), F.col("station_key"))
+        values["g_general_sitewmoid"] = F.coalesce(values["g_general_sitewmoid"], old)
+    texts = folded.select(*HEADER_KEYS, *[value.alias(name) for name, value in values.items()])
+    typed = T.StructType([texts.schema[name] for name in HEADER_KEYS] + [f for f in contract.fields if f.name not in HEADER_KEYS])
+    return schema.align_to_contract(texts, typed).df
+
+
+def first_ids(good: DataFrame, start: int) -> DataFrame:
+    """``good`` (g_product_id, n_levels, ...) with the number of each sounding's first level: soundings follow each other
+    in the order of their ids.  One row per sounding is summed; the sum is cut into parts where there are many."""
+    def work(group):
+        return group.running({"_upto": F.col("n_levels")}).df
+
+    rows = per_group(good.withColumn("_all", F.lit(1)), ["_all"], [F.asc("g_product_id")], work)
+    first = F.lit(start) + F.col("_upto") - F.col("n_levels") + 1
+    return rows.withColumn("first_observation_id", first).drop("_all", "_upto")
+
+
+def _start_id(good: DataFrame, header_path: str, batch: str) -> int:
+    """The observation id before the batch's first: what it had, if it is loaded again with as many levels; else the
+    greatest of the other batches.  Read from the header table."""
+    spark = good.sparkSession
+    if not exists(spark, header_path):
+        return 0
+    headers = spark.read.parquet(header_path).withColumn("_own", F.col("batch").cast("string") == batch)
+    seen = headers.agg(
+        F.min(F.when(F.col("_own"), F.col("first_observation_id"))).alias("first"),
+        F.sum(F.when(F.col("_own"), F.col("n_levels"))).alias("levels"),
+        F.max(F.when(~F.col("_own"), F.col("first_observation_id") + F.col("n_levels") - 1)).alias("last"),
+    ).first()
+    if seen["first"] is not None and seen["levels"] == good.agg(F.sum("n_levels")).first()[0]:
+        return seen["first"] - 1
+    return seen["last"] or 0
+
 
-    Verdicts are settled and written down once (checkpoint) before any table is
-    touched, so header and levels come from the same accepted set.
+def load_soundings(levels: DataFrame, attrs: DataFrame, stations: DataFrame, network: str, header_path: str,
+                   level_path: str, reject_path: str, sonde: str = "", batch: str = "0",
+                   header_contract: T.StructType = HEADER_CONTRACT, level_contract: T.StructType | None = None,
+                   order: str = "level_idx") -> Loaded:
+    """Validates, numbers, diagnoses and stores one batch of soundings.
+
+    Everything is written under the batch's name and replaces what a broken attempt or an earlier run of the same batch
+    left there, so a retry adds nothing; load batches one after the other.  Verdicts are settled (checkpoint) before any
+    table is touched.  Levels are derived and written once; the scalars of the headers are computed from what is stored.
+    Headers are written last but for the rejects: a batch whose headers are there is complete.
     """
-    ensure_checkpoint_dir(levels.sparkSession)
+    spark = levels.sparkSession
+    ensure_checkpoint_dir(spark)
     has_time = F.count("time") if "time" in levels.columns else F.count(F.lit(1))
     counts = levels.groupBy("g_product_id").agg(F.count(F.lit(1)).alias("n_levels"), has_time.alias("n_times"))
-    judged = gates.judge_soundings(attrs, counts, stations, network).checkpoint(eager=True)
-    good = gates.accepted(judged).select("g_product_id", "conventions", "idstation_pk", "report_timestamp",
-                                         F.col("station_key").alias("primary_station"))
-    bad = gates.rejected(judged).select("g_product_id", "reason")
-    kept = levels.join(good.select("g_product_id", "conventions", "idstation_pk", "report_timestamp"), "g_product_id")
-    out_levels, out_headers = diagnostics.enrich(kept, good)
-    writers.append_levels(out_levels.drop("conventions"), level_path)
-    out_headers.write.mode("append").parquet(header_path)
-    writers.quarantine(bad, reject_path)
+    judged = gates.judge_soundings(attrs, counts, stations, network, sonde).checkpoint(eager=True)
+    good = gates.accepted(judged)
+    good = first_ids(good, _start_id(good, header_path, batch)).checkpoint(eager=True)
+
+    keys = good.select("g_product_id", "conventions", "station_key", "idstation_pk", "report_timestamp", "first_observation_id")
+    numbered = per_group(levels.join(keys, "g_product_id"), ["g_product_id"], [F.asc(order)], lambda g: g.number("_nth").df)
+    kept = numbered.withColumns({
+        "observation_id": F.col("first_observation_id") + F.col("_nth") - 1,
+        "g_general_sitewmoid": F.when(F.col("conventions").isin(*C.OLD_DIALECTS), F.col("station_key")),
+    }).drop("_nth", "first_observation_id", "station_key")
+    out_levels = diagnostics.diagnosed_levels(kept).drop("valid", "n_valid", "conventions")
+    if level_contract is not None:
+        out_levels = schema.align_to_contract(out_levels, level_contract).df
+    writers.store_levels(out_levels, level_path, batch)
+
+    stored = spark.read.parquet(level_path).where(F.col("batch").cast("string") == batch)
+    scalars = diagnostics.sounding_scalars(stored)  # stored humidity is in percent already
+    writers.store_batch(header_of(good, header_contract).join(scalars, "g_product_id", "left"), header_path, batch)
+    writers.store_batch(gates.rejected(judged).select("g_product_id", "reason"), reject_path, batch)
     tally = judged.agg(F.count_if(F.col("reason").isNull()).alias("a"), F.count("reason").alias("r")).first()
     return Loaded(tally["a"], tally["r"])
+
+
+def process_archives(members: DataFrame, verdicts: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """Outcome of every archive: members -> revision choice -> verdict of each chosen member -> note.
+
+    ``members``: archive, member, ord.  ``verdicts``: archive, member, reason (NULL: loaded).  ``errors``: archive, error of
+    archives that could not be opened.  An archive with nothing to load, or damaged, fails with its reason.  A chosen
+    member without a verdict has failed.
+    """
+    listed = members.where(F.col("member").isNotNull())
+    judged = survivorship.choose_members(listed)
+    older = judged.groupBy("archive").agg(
+        F.count_if(F.col("reason").startswith("Older revision")).cast("int").alias("skipped"),
+        F.max("latest_rev").alias("latest_rev"),
+    )
+    chosen = judged.where(F.col("outcome") == survivorship.KEEP).select("archive", "member")
+    places = listed.groupBy("archive", "member").agg(F.min("ord").alias("ord"))
+    known = verdicts.select("archive", "member", "reason", F.lit(True).alias("_known"))
+    done = (
+        chosen.join(places, ["archive", "member"])
+        .join(known, ["archive", "member"], "left")
+        .join(older, "archive")
+        .select("archive", "member", "ord", (F.col("_known") & F.col("reason").isNull()).alias("ok"),
+                F.col("reason").alias("error"), "skipped", "latest_rev")
+        .withColumn("ok", F.coalesce("ok", F.lit(False)))
+    )
+    outcomes = survivorship.archive_outcomes(done).select("archive", "success", "note")
+    empty = survivorship.archives_without_members(listed, judged).select(
+        "archive", F.lit(False).alias("success"), F.col("reason").alias("note"))
+    result = outcomes.unionByName(empty)
+    if errors is not None:
+        broken = errors.where(F.col("error").isNotNull()).groupBy("archive").agg(F.min("error").alias("note"))
+        result = result.join(broken.select("archive"), "archive", "left_anti").unionByName(
+            broken.select("archive", F.lit(False).alias("success"), "note"))
+    return result
+
+
+def archive_events(outcomes: DataFrame, sonde: str, seq: int, at: Column | None = None) -> DataFrame:
+    """Tracking events of processed archives: imported with the summary, or failed with the reason."""
+    files = outcomes.withColumns({"sonde": F.lit(sonde), "filename": naming.base_name(F.col("archive"))})
+    when = at if at is not None else F.current_timestamp()
+    good = tracking.event(files.where("success"), tracking.IMPORTED, F.lit(seq), when, F.col("note"))
+    bad = tracking.event(files.where("NOT success"), tracking.FAILED, F.lit(seq), text=F.col("note"))
+    return good.unionByName(bad)

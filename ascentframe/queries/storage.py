@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ascentframe import contracts as C
 from ascentframe.operators import tracking
 from ascentframe.plans import exporting, importing
 from ascentframe.queries import files as Q
 from ascentframe.queries import longtable as L
+from ascentframe.queries import profiles as P
 from ascentframe.queries import views as V
 from ascentframe.queries.registry import query
 from ascentframe.session import shared_dir
@@ -122,31 +124,83 @@ def levels_from_arrays(spark, sf_dir):
     return tables.levels_from_arrays(rows, "vec_id", ["temp", "rh"])
 
 
-@query("loaded_soundings", """
-WITH u AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id)
-SELECT user_id AS g_product_id, CASE WHEN user_id%9=0 THEN 'Station ''NATION_30'' not found in NET station database' END AS reason,
-  CASE WHEN user_id%9<>0 THEN n END AS stored_levels, user_id%9<>0 AS diagnosed FROM u""")
-def loaded_soundings(spark, sf_dir):
-    """Validates, diagnoses and stores all soundings, then reads the three tables."""
+_SITE = "CASE WHEN user_id%9=0 THEN 'NATION_30' ELSE 'NATION_' || (user_id%25) END"
+_TIME = "make_timestamp(2024, CAST(1+user_id%12 AS BIGINT), CAST(1+user_id%27 AS BIGINT), 0, 0, 0)"
+#: Accepted soundings come in two batches, even numbers first; their levels are numbered through.
+STORE = P.VALID + f""",
+ob AS (
+  SELECT s.*, g_product_id AS user_id, row_number() OVER (ORDER BY g_product_id%2, g_product_id, level_idx) AS observation_id
+  FROM sc s WHERE g_product_id%9<>0),
+hs AS (SELECT *, {_SITE} AS site, {_TIME} AS ts FROM ob)"""
+
+
+def _load(spark, sf_dir, again: bool):
+    """Loads all soundings in two batches; with ``again`` the first one runs a second time, as after a broken attempt."""
     levels = V.sounding_levels(spark, sf_dir)
     sid = F.col("g_product_id")
     station = F.when(sid % 9 == 0, F.lit("NATION_30")).otherwise(F.concat(F.lit("NATION_"), (sid % 25).cast("string")))
-    stamp = F.lit("2024-01-01 00:00:00")
+    stamp = F.format_string("2024-%02d-%02d 00:00:00", sid % 12 + 1, sid % 27 + 1)
+    old = F.col("c") == "CF-1.4"
+    entries = {"Conventions": F.col("c"), "g.Product.ID": sid.cast("string"), "g.Site.Key": F.when(~old, station),
+               "g.Measurement.StandardTime": F.when(~old, stamp), "g.General.SiteCode": F.when(old, station),
+               "g.Ascent.StandardTime": F.when(old, stamp), "g.Site.Name": F.concat(F.lit("Site "), station),
+               "g.Product.Code": F.lit("CODE"), "g.MeasurementSystem.Latitude": F.concat((sid % 80).cast("string"), F.lit(".5 deg"))}
+    pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in entries.items()])
     attrs = levels.groupBy("g_product_id").agg(F.max("conventions").alias("c")).select(
-        "g_product_id",
-        F.create_map(F.lit("Conventions"), F.col("c"), F.lit("g.Product.ID"), sid.cast("string"),
-                     F.lit("g.Site.Key"), station, F.lit("g.Measurement.StandardTime"), stamp,
-                     F.lit("g.General.SiteCode"), station, F.lit("g.Ascent.StandardTime"), stamp).alias("attrs"))
+        "g_product_id", F.map_from_entries(F.filter(pairs, lambda x: x["value"].isNotNull())).alias("attrs"))
     base = new_folder(spark, "store")
     paths = [f"{base}/{name}" for name in ("header", "levels", "rejected")]
-    importing.load_soundings(levels.drop("conventions"), attrs, Q.nation_stations(spark, sf_dir), "NET", *paths)
-    header, stored, bad = (spark.read.parquet(path) for path in paths)
-    counts = stored.groupBy("g_product_id").agg(F.count(F.lit(1)).alias("stored_levels"))
+    for part in (0, 1, 0) if again else (0, 1):
+        chosen = sid % 2 == part
+        importing.load_soundings(levels.where(chosen).drop("conventions"), attrs.where(chosen), Q.nation_stations(spark, sf_dir),
+                                 "NET", *paths, sonde="RS41", batch=str(part))
+    return paths
+
+
+@query("loaded_soundings", f"""
+WITH {STORE},
+u AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id)
+SELECT u.user_id AS g_product_id, CASE WHEN u.user_id%9=0 THEN 'Station ''NATION_30'' not found in NET station database' END AS reason,
+  CASE WHEN u.user_id%9<>0 THEN n END AS stored_levels, u.user_id%9<>0 AS diagnosed, f.first_id AS first_id,
+  CASE WHEN u.user_id%9<>0 THEN CAST(u.user_id%25+1 AS INTEGER) END AS idstation_pk,
+  CASE WHEN u.user_id%9<>0 THEN {_TIME.replace('user_id', 'u.user_id')} END AS report_timestamp,
+  CASE WHEN u.user_id%9<>0 THEN u.user_id%80+0.5e0 END AS latitude,
+  CASE WHEN u.user_id%9<>0 AND u.user_id%2=0 THEN 'NATION_' || (u.user_id%25) END AS wmo
+FROM u LEFT JOIN (SELECT g_product_id, min(observation_id) AS first_id FROM hs GROUP BY ALL) f ON f.g_product_id=u.user_id""")
+def loaded_soundings(spark, sf_dir):
+    """Validates, numbers, diagnoses and stores all soundings (one batch twice), then reads the three tables."""
+    header, stored, bad = (spark.read.parquet(path) for path in _load(spark, sf_dir, again=True))
+    counts = stored.groupBy("g_product_id").agg(F.count(F.lit(1)).alias("stored_levels"), F.min("observation_id").alias("first_id"))
     good = header.join(counts, "g_product_id").select(
         "g_product_id", F.lit(None).cast("string").alias("reason"), "stored_levels",
-        F.col("diag_pwat").isNotNull().alias("diagnosed"))
-    return good.unionByName(bad.select("g_product_id", "reason", F.lit(None).cast("long").alias("stored_levels"),
-                                       F.lit(False).alias("diagnosed")))
+        F.col("diag_pwat").isNotNull().alias("diagnosed"), "first_id", F.col("idstation_pk").cast("int").alias("idstation_pk"),
+        F.col("report_timestamp").cast("timestamp_ntz").alias("report_timestamp"),
+        F.col("g_measurementsystem_latitude").alias("latitude"), F.col("g_general_sitewmoid").alias("wmo"))
+    return good.unionByName(bad.select("g_product_id", "reason", F.lit(False).alias("diagnosed")), allowMissingColumns=True)
+
+
+_OF_LEVEL = {126: "temp", 138: "rhp", 104: "u", 105: "v", 125: "alt", 142: "press*100e0"}
+
+
+@query("exported_store", f"""
+WITH {STORE}
+SELECT year(ts) AS year, month(ts) AS month, g_product_id AS report_id, observation_id, code AS observed_variable,
+  round(CAST(CAST(x AS FLOAT) AS DOUBLE), 2) AS observation_value, site AS primary_station_id, 'Site ' || site AS station_name,
+  CAST(epoch(ts) AS BIGINT) AS report_timestamp, CAST(user_id%25+1 AS INTEGER) AS record_number
+FROM hs, (""" + " UNION ALL ".join(f"SELECT {v.code} AS code" for v in C.VARIABLES) + f""") codes,
+LATERAL (SELECT CASE {' '.join(f'WHEN code={k} THEN {x}' for k, x in _OF_LEVEL.items())} END AS x) v""")
+def exported_store(spark, sf_dir):
+    """Loads a store, exports it, and reads the long table back."""
+    header, level, _ = _load(spark, sf_dir, again=False)
+    out = new_folder(spark, "exported")
+    for _ in range(2):  # the second run finds nothing to do
+        exporting.export_store(spark, level, header, Q.nation_stations(spark, sf_dir), out)
+    back = spark.read.parquet(out)
+    value = F.round(F.nanvl(F.col("observation_value").cast("double"), F.lit(None)), 2)
+    return back.select(
+        "year", "month", F.col("report_id").cast("long").alias("report_id"), "observation_id",
+        F.col("observed_variable").cast("int").alias("observed_variable"), value.alias("observation_value"), "primary_station_id",
+        F.col("`station_name|station_configuration`").alias("station_name"), "report_timestamp", "record_number")
 
 
 FILE_LIST = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),

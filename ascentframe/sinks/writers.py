@@ -13,6 +13,8 @@ from ascentframe.functions.text import attributes_json
 from ascentframe.operators import cdm
 
 MONTH = ("year", "month")
+#: The underscore keeps readers of the months from taking it for one.
+DICTIONARY = "_observed_variables"
 
 
 def by_month(rows: DataFrame) -> DataFrame:
@@ -21,22 +23,45 @@ def by_month(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *[F.col(name) for name in MONTH])
 
 
+def levels_by_month(base: DataFrame) -> DataFrame:
+    """Levels with an epoch ``report_timestamp``, gathered by month."""
+    return by_month(cdm.with_month(base)).drop(*MONTH)
+
+
 def append_levels(levels: DataFrame, path: str) -> None:
     """Appends typed level rows, partitioned by the month of their report."""
     rows = levels.withColumns({"year": F.year("report_timestamp"), "month": F.month("report_timestamp")})
     by_month(rows).write.mode("append").partitionBy(*MONTH).parquet(path)
 
 
+def store_levels(levels: DataFrame, path: str, batch: str) -> None:
+    """Level rows of one batch by month; what the batch had there before is replaced."""
+    rows = levels.withColumns({"year": F.year("report_timestamp"), "month": F.month("report_timestamp")})
+    store_batch(by_month(rows), path, batch, MONTH)
+
+
+def store_batch(rows: DataFrame, path: str, batch: str, by: tuple[str, ...] = ()) -> None:
+    """Rows of one batch, in place of what it had there before."""
+    (
+        rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by, "batch").parquet(path)
+    )
+
+
 def write_tab_text(df: DataFrame, path: str) -> None:
     """Text load form: tab separated, ``\\N`` for missing, no header."""
     df.write.mode("append").csv(path, sep="\t", nullValue="\\N", emptyValue="", header=False)
 
 
 def write_long_table(long: DataFrame, path: str) -> None:
-    """Encoded long table by month.  Months that are written are replaced, the
-    others stay (dynamic overwrite), so a re-run is safe.  Rows are ordered by
-    (variable, time, observation) inside each file."""
-    rows = by_month(cdm.with_month(cdm.encoded_long_table(long)))
+    """Encoded long table by month, with its dictionary beside the months.  Months
+    that are written are replaced, the others stay (dynamic overwrite), so a re-run
+    is safe.  Rows are ordered by (variable, time, observation) inside each file.
+
+    The rows are written where they are: gather the levels by month before they are
+    made long (``levels_by_month``)."""
+    write_variable_dim(long.sparkSession, f"{path}/{DICTIONARY}")
+    rows = cdm.with_month(cdm.encoded_long_table(long))
     (
         rows.sortWithinPartitions(*MONTH, "observed_variable", "report_timestamp", "observation_id")
         .write.mode("overwrite")
@@ -47,12 +72,13 @@ def write_long_table(long: DataFrame, path: str) -> None:
 
 
 def written_months(spark: SparkSession, path: str) -> DataFrame:
-    """(year, month) partitions present below ``path``; none if it is absent."""
-    from ascentframe.sources.archives import _exists
-
-    if not _exists(spark, path):
-        return spark.createDataFrame([], "year int, month int")
-    return spark.read.parquet(path).select(*MONTH).distinct()
+    """(year, month) partitions present below ``path``, by the names of its folders;
+    none if it is absent.  No file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []
+    names = [str(f.getPath().toString()).rstrip("/").split("/")[-2:] for f in found]
+    months = sorted({(int(y.split("=")[1]), int(m.split("=")[1])) for y, m in names if "__" not in y + m})
+    return spark.createDataFrame(months, "year int, month int")  # at most 12 per year
 
 
 def write_variable_dim(spark: SparkSession, path: str) -> None:

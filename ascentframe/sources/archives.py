@@ -17,7 +17,7 @@ MEMBERS_SCHEMA = "archive string, member string, ord int, size long, error strin
 def discover(spark: SparkSession, root: str, pattern: str = "*.jar") -> DataFrame:
     """path, length, modificationTime of every file below ``root`` whose name
     matches; file contents are not read.  A missing root gives no rows."""
-    if not _exists(spark, root):
+    if not exists(spark, root):
         return spark.createDataFrame([], FILES_SCHEMA)
     files = (
         spark.read.format("binaryFile")
@@ -28,7 +28,7 @@ def discover(spark: SparkSession, root: str, pattern: str = "*.jar") -> DataFram
     return files.select("path", "length", "modificationTime")
 
 
-def _exists(spark: SparkSession, root: str) -> bool:
+def exists(spark: SparkSession, root: str) -> bool:
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

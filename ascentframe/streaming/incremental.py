@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from ascentframe.functions.naming import parse_archive_names
 from ascentframe.operators import tracking
 from ascentframe.plans.importing import plan_events, plan_import
-from ascentframe.sources.archives import _exists
+from ascentframe.sources.archives import exists
 
 EVENT_SCHEMA = "sonde string, filename string, kind string, seq long, at timestamp, text string"
 FILE_SCHEMA = "path string, station string, datetime string, seq long"
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 

@@ -79,6 +79,36 @@ def test_levels_scan_is_pruned(spark, store, tmp_path):
     assert ranged.count() == 2
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_export_reads_only_its_months_and_deals_out_before_the_explode(spark, store, tmp_path):
+    levels, headers, dim = store
+    writers.append_levels(levels, str(tmp_path / "levels"))
+    stored = spark.read.parquet(str(tmp_path / "levels"))
+    long = exporting.build_long_table(exporting.in_months(stored, [(2021, 1)]), exporting.in_months(headers, [(2021, 1)]), dim,
+                                      arrange=writers.levels_by_month)
+    plan = _plan(long)
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan and "month" in plan.split("PartitionFilters: [")[1][:80]
+    assert plan.index("Generate") < plan.index("Exchange") and "Exchange" not in plan[: plan.index("Generate")]
+    assert {r["report_id"] for r in long.collect()} == {2}
+    assert exporting.month_runs([(2020, 12), (2021, 1), (2021, 3)]) == [
+        ("2020-12-01 00:00:00", "2021-02-01 00:00:00"), ("2021-03-01 00:00:00", "2021-04-01 00:00:00")]
+
+
+def test_export_of_a_store_writes_the_dictionary(spark, store, tmp_path):
+    levels, headers, dim = store
+    writers.append_levels(levels, str(tmp_path / "levels"))
+    headers.write.parquet(str(tmp_path / "headers"))
+    out = str(tmp_path / "long")
+    done = exporting.export_store(spark, str(tmp_path / "levels"), str(tmp_path / "headers"), dim, out)
+    assert sorted(map(tuple, done.collect())) == [(2020, 12), (2021, 1)]
+    assert exporting.export_store(spark, str(tmp_path / "levels"), str(tmp_path / "headers"), dim, out).count() == 0
+    assert spark.read.parquet(f"{out}/{writers.DICTIONARY}").count() == len(C.VARIABLES)
+    assert spark.read.parquet(out).count() == 3 * 15
+
+
 def test_tab_text_and_truncate(spark, tmp_path):
     path = str(tmp_path / "text")
     df = spark.createDataFrame([(1, 54.0, "ALC", None, None, "Alice Springs", "NET", None)], C.STATION_SCHEMA)
