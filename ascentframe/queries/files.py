@@ -150,41 +150,58 @@ def archives_without_members(spark, sf_dir):
     return survivorship.archives_without_members(members, survivorship.select_members(members))
 
 
-def _processed(spark, sf_dir):
-    """Chosen members with an outcome by order status, errors by priority."""
-    rows = order_members(spark, sf_dir)
-    ok = F.col("o_orderstatus") != "P"
-    return rows.select(
-        "archive", "member", F.col("o_orderkey").alias("ord"), ok.alias("ok"),
-        F.when(~ok & ~F.col("o_orderpriority").startswith("5"),
-               F.concat(F.repeat(F.col("o_orderpriority"), 30), F.lit(" in "), "member")).alias("error"),
-        (F.col("o_custkey") % 3).alias("skipped"),
-        F.when(F.col("o_custkey") % 3 != 0, (F.col("o_custkey") % 9).cast("int")).alias("latest_rev"),
-    )
-
-
-@query("archive_outcomes", f"""WITH {MEMBERS},
-pr AS (
-  SELECT archive, o_orderkey AS ord, o_orderstatus<>'P' AS ok, o_custkey%3 AS skipped,
-    CASE WHEN o_orderstatus='P' AND o_orderpriority NOT LIKE '5%' THEN repeat(o_orderpriority,30) || ' in ' || member END AS error,
-    CASE WHEN o_custkey%3<>0 THEN o_custkey%9 END AS latest_rev FROM mb),
+def _member_verdicts(spark, sf_dir):
+    """The last order of a member settles it: loaded, rejected with a reason, or (no row) never finished."""
+    last = order_members(spark, sf_dir).groupBy("archive", "member").agg(
+        F.max_by(F.struct("o_orderstatus", "o_orderpriority"), "o_orderkey").alias("o"))
+    bad, text = F.col("o.o_orderstatus") == "P", F.concat(F.repeat("o.o_orderpriority", 30), F.lit(" in "), "member")
+    return last.where(~bad | ~F.col("o.o_orderpriority").startswith("5")).select(
+        "archive", "member", F.when(bad, text).alias("reason"))
+
+
+OUTCOMES = MEMBERS + """,
+mo AS (SELECT archive, member, arg_max(o_orderstatus, o_orderkey) AS st, arg_max(o_orderpriority, o_orderkey) AS pr,
+  min(o_orderkey) AS ord FROM mb GROUP BY ALL),
+ck AS (SELECT mj.*, st, pr, ord, outcome='keep' AS k, outcome='keep' AND st='P' AND pr NOT LIKE '5%' AS e FROM mj JOIN mo USING (archive, member)),
 pa AS (
-  SELECT archive, count(*) AS total, count(*) FILTER (ok) AS processed, count(error) AS errors,
-    min_by(error, ord) FILTER (error IS NOT NULL) AS fe, max(skipped) AS skipped, max(latest_rev) AS lr
-  FROM pr GROUP BY archive),
+  SELECT archive, count(*) FILTER (k) AS total, count(*) FILTER (k AND st<>'P') AS processed, count(*) FILTER (e) AS errors,
+    min_by(repeat(pr,30) || ' in ' || member, ord) FILTER (e) AS fe, count(*) FILTER (reason LIKE 'Older revision%') AS skipped,
+    max(latest_rev) AS lr, count(*) FILTER (member LIKE '%.nc') AS nc
+  FROM ck GROUP BY archive),
 pb AS (SELECT *, processed=total AND processed>0 AS success,
-  CASE WHEN length(fe)>200 THEN left(fe,197) || '...' ELSE fe END AS main FROM pa)
-SELECT archive, total, processed, errors, success, CASE WHEN success THEN
+  CASE WHEN length(fe)>200 THEN left(fe,197) || '...' ELSE fe END AS main FROM pa),
+ao AS (SELECT archive, success, CASE WHEN success THEN
   concat_ws('. ', 'Successfully processed ' || processed || ' data files',
     CASE WHEN lr IS NOT NULL THEN 'from revision rev' || lpad(lr::VARCHAR,3,'0') END,
     CASE WHEN skipped>0 THEN 'Skipped ' || skipped || ' files from older revisions' END) || '.'
+  WHEN nc=0 THEN 'No data files found in ' || archive
+  WHEN total=0 THEN 'No valid data files to process after revision filtering in ' || archive
   ELSE CASE WHEN errors>1 THEN main || ' (+ ' || (errors-1) || ' other errors)' WHEN errors=1 THEN main
     WHEN processed=0 THEN 'Failed to process all ' || total || ' data files'
     ELSE 'Partially processed ' || processed || '/' || total || ' files' END
     || CASE WHEN skipped>0 THEN '. Skipped ' || skipped || ' files from older revisions' ELSE '' END END AS note
-FROM pb""")
+FROM pb)"""
+
+
+def _outcomes(spark, sf_dir):
+    members = order_members(spark, sf_dir).select("archive", "member", F.col("o_orderkey").alias("ord"))
+    return importing.process_archives(members, _member_verdicts(spark, sf_dir))
+
+
+@query("archive_outcomes", f"WITH {OUTCOMES} SELECT * FROM ao")
 def archive_outcomes(spark, sf_dir):
-    return survivorship.archive_outcomes(_processed(spark, sf_dir))
+    """Members -> revision choice -> verdicts of the chosen members -> outcome of the archive."""
+    return _outcomes(spark, sf_dir)
+
+
+@query("archive_import_state", f"""WITH {OUTCOMES}
+SELECT archive AS filename, success AS imported, CASE WHEN NOT success THEN left(note,255) END AS note,
+  CASE WHEN success THEN note END AS detail FROM ao""")
+def archive_import_state(spark, sf_dir):
+    """Tracking state after the outcomes have become events."""
+    events = importing.archive_events(_outcomes(spark, sf_dir), "RS41", 1)
+    return tracking.current_state(events).select(
+        "filename", F.col("date_of_import").isNotNull().alias("imported"), "note", "detail")
 
 
 def _zipped(batches):
@@ -217,12 +234,6 @@ def archive_member_listing(spark, sf_dir):
         "archive", "member", "ord", "size", F.col("error").isNotNull().alias("damaged"))
 
 
-@query("source_discovery")
-def source_discovery(spark, sf_dir):
-    found = archives.discover(spark, sf_dir, "*.parquet")
-    return found.select(N.base_name(F.col("path")).alias("file"), N.stem(F.col("path")).alias("stem"), "length")
-
-
 # -- tracking ---------------------------------------------------------------------
 @query("import_monitor", f"""WITH {V.STATE_SQL}
 SELECT sonde, count(*) FILTER (date_of_import IS NULL AND note IS NULL) AS to_import,
