@@ -181,12 +181,13 @@ def judge(docs: DataFrame, labels: DataFrame, into: str = "judged") -> DataFrame
 
     # the optimiser puts the scalar subquery in place of the column, so the array is never written into a row
     counted = docs.withColumn(model, log_ratios(docs, labels).scalar()).withColumn(into, let(words_of(text), body)).drop(model)
-    one = F.col(into)
-    failed = (one["n_words"] < MIN_WORDS) | (100 * one["n_repeat_words"] > MAX_REPEAT_PERCENT * one["n_words"])
-    return counted.withColumn(
-        into,
-        let(one, lambda j: j.withField("base_failed", failed).withField("kept", ~failed & (j["llr"] >= THRESHOLD))),
-    )
+
+    def verdict(j: Column) -> Column:
+        failed = (j["n_words"] < MIN_WORDS) | (100 * j["n_repeat_words"] > MAX_REPEAT_PERCENT * j["n_words"])
+        return j.withField("base_failed", failed).withField("kept", ~failed & (j["llr"] >= THRESHOLD))
+
+    # one reference, so that the counts are not worked out again where a filter is pushed through
+    return counted.withColumn(into, let(F.col(into), verdict))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
