@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ascentframe import contracts as C
 
@@ -91,6 +94,23 @@ def lower_keys(attrs: Column) -> Column:
     return F.map_from_entries(F.filter(folded, is_last))
 
 
+def jsonable(value: Column, kind: T.DataType) -> Column:
+    """A value as JSON attributes write it: times in ISO form (a fraction only if
+    there is one), bytes as UTF-8 text, anything else as it is."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
+        micros = F.date_format(value, "SSSSSS")
+        return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+    if isinstance(kind, T.BinaryType):
+        return F.decode(value, "UTF-8")
+    return value
+
+
+def typed_attributes_json(df: DataFrame, names: Sequence[str]) -> Column:
+    """The named columns of ``df`` as one JSON object."""
+    return F.to_json(F.struct(*[jsonable(F.col(f"`{n}`"), df.schema[n].dataType).alias(n) for n in names]))
+
+
 def attributes_json(attrs: Column) -> Column:
     return F.to_json(attrs)
 

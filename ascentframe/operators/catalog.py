@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ascentframe.functions import text, times
@@ -92,6 +92,32 @@ def launch_choices(labels: DataFrame, order: Sequence[str]) -> DataFrame:
     ).select("station_name", "launch_date", "display", "blocks", "serves.*")
 
 
+def fullest_launch(levels: DataFrame, station: str = "station_name", epoch: str = "epoch") -> DataFrame:
+    """One row (station_name, epoch): the named launch with the most levels.  Levels
+    are counted before they are made long."""
+    sizes = levels.where(F.col(station) != "").groupBy(F.col(station).alias("station_name"), F.col(epoch).alias("epoch")).count()
+    return sizes.orderBy(F.desc("count"), "station_name", "epoch").limit(1).drop("count")
+
+
+def profiles_of(long: DataFrame, wanted: DataFrame, code: int) -> DataFrame:
+    """One variable of the wanted launches (station_name, epoch) by height, in one plan."""
+    rows = long.where(F.col("observed_variable") == code)
+    station = F.col("`station_name|station_configuration`") == F.col("_w.station_name")
+    hit = rows.join(wanted.alias("_w"), station & (F.col("report_timestamp") == F.col("_w.epoch")), "left_semi")
+    return hit.select(
+        "z_coordinate", "observation_value", "uncertainty_value1", "uncertainty_value2", "uncertainty_value5"
+    ).orderBy("z_coordinate")
+
+
+def station_index(launch_rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Every block of every (station, launch date), numbered in order, with how many
+    the date has: all blocks, not only the one that serves."""
+    place = Window.partitionBy("station_name", "launch_date")
+    return launch_rows.select(
+        "station_name", "launch_date", *order, "start_idx", "end_idx",
+        F.row_number().over(place.orderBy(*order)).alias("nth"), F.count(F.lit(1)).over(place).alias("blocks"))
+
+
 def profile(long: DataFrame, station: str, epoch: int, code: int) -> DataFrame:
     """One variable of one launch by height, with its uncertainties.  All three
     filters reach the scan."""

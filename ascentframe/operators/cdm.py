@@ -65,13 +65,15 @@ def with_record_number(df: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def long_table(merged: DataFrame, stations: DataFrame, transform_units: bool = True,
-               arrange: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+               arrange: Callable[[DataFrame], DataFrame] | None = None,
+               codes: Sequence[int] | None = None) -> DataFrame:
     """Every level once per observed variable, missing values kept.
 
     One pass: the variables are an array of structs exploded in place, after the
     station look-up; ``arrange`` may deal the levels out just before, so nothing is
-    shuffled 15-fold.
+    shuffled 15-fold.  With ``codes`` only those variables are made.
     """
+    variables = [v for v in C.VARIABLES if codes is None or v.code in codes]
     have = merged.columns
     scale = C.UNIT_TRANSFORMS if transform_units else {}
 
@@ -94,7 +96,7 @@ def long_table(merged: DataFrame, stations: DataFrame, transform_units: bool = T
                 number(var.systematic_old, var.systematic_new).alias("u2"),
                 number(var.total_old, var.total_new).alias("u5"),
             ).alias(f"_v{var.code}")
-            for var in C.VARIABLES
+            for var in variables
         ],
     )
     base = with_record_number(base, stations)
@@ -102,7 +104,7 @@ def long_table(merged: DataFrame, stations: DataFrame, transform_units: bool = T
         base = arrange(base)
     pieces = F.array(*[
         F.struct(F.lit(var.code).alias("code"), F.lit(var.unit).alias("unit"), F.col(f"_v{var.code}").alias("m"))
-        for var in C.VARIABLES
+        for var in variables
     ])
     long = base.withColumn("_piece", F.explode(pieces))
     fixed = {

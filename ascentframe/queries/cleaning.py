@@ -147,6 +147,17 @@ def attribute_maps(spark, sf_dir):
                          F.size("m").alias("keys"), text.attributes_json(F.col("m")).alias("json"))
 
 
+@query("typed_attributes", """
+SELECT o_orderkey, '{"key":' || o_orderkey || ',"time":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+  || CASE WHEN o_orderkey%3=0 THEN '.000250' ELSE '' END || '","code":"' || o_orderstatus || '"}' AS json FROM orders""")
+def typed_attributes(spark, sf_dir):
+    orders = V.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderkey").alias("key"),
+        (F.col("o_orderdate") + F.expr("CASE WHEN o_orderkey % 3 = 0 THEN INTERVAL 0.00025 SECOND ELSE INTERVAL 0 SECOND END"))
+        .alias("time"), F.encode("o_orderstatus", "UTF-8").alias("code"))
+    return orders.select("o_orderkey", text.typed_attributes_json(orders, ["key", "time", "code"]).alias("json"))
+
+
 @query("labels_of_codes", """
 WITH t AS (SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS code FROM events),
 l AS (SELECT event_id, code, CASE code WHEN 73 THEN 'shortwave_radiation' ELSE 'Code ' || code END AS label FROM t)

@@ -371,6 +371,58 @@ def level_validity(spark, sf_dir):
     return P.over_soundings(V.sounding_levels(spark, sf_dir), work)
 
 
+ODD = LEVELS + """,
+od AS (
+  SELECT g_product_id, level_idx, press, alt, rh, conventions, CASE WHEN g_product_id%5<>0 THEN temp END AS temp,
+    CASE WHEN g_product_id%3=0 THEN alt+1e0 ELSE alt END AS z, coalesce(u, 5e0+0.4e0*level_idx) AS uw, coalesce(v, -2e0+0.1e0*level_idx) AS vw
+  FROM lv WHERE g_product_id%4<>1 OR level_idx<9),
+os AS (SELECT *, CASE WHEN conventions='CF-1.4' AND max(rh) OVER w <= 1.1e0 THEN rh*100e0 ELSE rh END AS rhp FROM od
+  WINDOW w AS (PARTITION BY g_product_id)),
+ov AS (SELECT *, press>0 AND temp IS NOT NULL AND rhp IS NOT NULL AS valid FROM os),
+oc AS (SELECT *, count(*) FILTER (valid) OVER (PARTITION BY g_product_id) AS n_valid FROM ov)"""
+
+
+def odd_soundings(spark, sf_dir):
+    """Soundings with other names for height and wind, without temperature, or with nine levels only."""
+    sid, k = F.col("g_product_id"), F.col("level_idx")
+    return V.sounding_levels(spark, sf_dir).withColumns({
+        "alt_amsl": F.when(sid % 3 == 0, F.col("alt") + 1.0),
+        "wzon": F.when(sid % 7 == 0, 5.0 + 0.4 * k),
+        "wmeri": F.when(sid % 7 == 0, -2.0 + 0.1 * k),
+        "temp": F.when(sid % 5 != 0, F.col("temp")),
+    }).where((sid % 4 != 1) | (k < 9))
+
+
+@query("odd_sounding_preferences", _with(ODD, """
+SELECT g_product_id, level_idx, round(z,6) AS z, round(uw,6) AS u_wind, round(vw,6) AS v_wind, valid, n_valid FROM oc"""))
+def odd_sounding_preferences(spark, sf_dir):
+    def work(group):
+        return group.df.select("g_product_id", "level_idx", _r("z", 6), _r("u_wind", 6), _r("v_wind", 6), "valid", "n_valid")
+
+    return P.over_soundings(odd_soundings(spark, sf_dir), work)
+
+
+@query("odd_sounding_diagnostics", _with(ODD, f"""
+SELECT g_product_id, level_idx, valid AND n_valid>={C.MIN_VALID_LEVELS} AS diagnosed, count(*) OVER (PARTITION BY g_product_id) AS levels
+FROM oc"""))
+def odd_sounding_diagnostics(spark, sf_dir):
+    """No level is lost where a sounding is too short or lacks a variable; its diagnostics are NULL."""
+    rows = D.diagnosed_levels(odd_soundings(spark, sf_dir))
+    sizes = rows.groupBy("g_product_id").agg(F.count(F.lit(1)).alias("levels"))
+    return rows.select("g_product_id", "level_idx", F.col("theta").isNotNull().alias("diagnosed")).join(sizes, "g_product_id")
+
+
+@query("nested_diagnostics", _with(_ALL, """
+SELECT sid AS g_product_id, round(trop_p,4) AS tropopause_p, round(pwat,4) AS pwat, CAST(frz AS INTEGER) AS freezing, base AS cloud_height,
+  kind AS cloud_type FROM cld JOIN msc USING (sid) LEFT JOIN trp USING (sid)"""))
+def nested_diagnostics(spark, sf_dir):
+    rows = D.full_sounding_diagnostics(V.sounding_levels(spark, sf_dir), C.MIN_VALID_LEVELS)
+    return rows.select(
+        "g_product_id", F.round("Tropopause.p", 4).alias("tropopause_p"), F.round("Misc.PWAT", 4).alias("pwat"),
+        F.col("Misc.FreezingLevelIndex").alias("freezing"), F.round("CloudBase.Height", 4).alias("cloud_height"),
+        F.col("CloudBase.Type").alias("cloud_type"))
+
+
 # -- ordered-profile building blocks on the raw event values -----------------------
 def _users(spark, sf_dir, work):
     return per_group(V.table(spark, sf_dir, "events"), ["user_id"], [F.asc("ts"), F.asc("event_id")], work)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ascentframe import contracts as C
+from ascentframe.functions import numeric, times
 from ascentframe.operators import catalog, cdm
 from ascentframe.queries import longtable
 from ascentframe.queries import views as V
@@ -104,14 +106,17 @@ SELECT round(z_coordinate,6) AS z_coordinate, round(observation_value,6) AS obse
 FROM lt JOIN one USING (station_name, epoch) WHERE observed_variable=126""")
 def profile_by_altitude(spark, sf_dir):
     """The air-temperature profile of the launch with the most rows (a top-1 report)."""
-    rows = longtable.long_table_of(spark, sf_dir)
-    station = F.col("`station_name|station_configuration`").alias("station_name")
-    top = (
-        rows.where("`station_name|station_configuration` <> ''")
-        .groupBy(station, "report_timestamp").count()
-        .orderBy(F.desc("count"), "station_name", "report_timestamp").first()
-    )
-    if top is None:
-        return catalog.profile(rows, "", 0, 126)
-    served = catalog.profile(rows, top["station_name"], top["report_timestamp"], 126)
+    levels, headers = longtable.levels(spark, sf_dir), longtable.headers(spark, sf_dir)
+    name = numeric.either_text(headers.columns, *C.HEADER_TEXT["station_name|station_configuration"])
+    named = headers.select("g_product_id", name.alias("station_name"))
+    counted = levels.select("g_product_id", times.epoch_seconds(F.col("report_timestamp")).alias("epoch")).join(named, "g_product_id")
+    served = catalog.profiles_of(longtable.long_table_of(spark, sf_dir, codes=[126]), catalog.fullest_launch(counted), 126)
     return served.select(*[F.round(name, 6).alias(name) for name in served.columns])
+
+
+@query("station_index", f"""WITH {BLOCKS}
+SELECT station_name, launch_date, user_id, block_id, start_idx, end_idx,
+  row_number() OVER (PARTITION BY station_name, launch_date ORDER BY user_id, block_id) AS nth,
+  count(*) OVER (PARTITION BY station_name, launch_date) AS blocks FROM ln""")
+def station_index(spark, sf_dir):
+    return catalog.station_index(launch_rows(spark, sf_dir), ["user_id", "block_id"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,11 +92,43 @@ def csv_dump_round_trip(spark, sf_dir):
 
 @query("dump_summary", """
 WITH y AS (SELECT unnest(range(1990, 2006)) AS year)
-SELECT CASE WHEN year IN (SELECT year(l_shipdate) FROM lineitem) THEN 'exported' ELSE 'skipped' END AS outcome, count(*) AS tables
-FROM y GROUP BY ALL""")
+SELECT CASE WHEN year NOT IN (SELECT year(l_shipdate) FROM lineitem) THEN 'skipped' WHEN year BETWEEN 1996 AND 1999 THEN 'exported'
+  ELSE 'error' END AS outcome, count(*) AS tables FROM y GROUP BY ALL""")
 def dump_summary(spark, sf_dir):
+    """A dump that broke off after four years, counted against the whole table."""
+    path = new_folder(spark, "summary")
     levels = V.table(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", "report_timestamp")
-    return writers.dump_summary(levels, 1990, 2005)
+    writers.dump_csv(levels, V.table(spark, sf_dir, "orders"), path, 1996, 1999, compress=False)
+    return writers.dump_summary(levels, path, 1990, 2005)
+
+
+@query("truncated_table", "SELECT count(*) AS before, 0 AS after, 5 AS columns FROM customer")
+def truncated_table(spark, sf_dir):
+    """A copied table, emptied: no row, the same columns."""
+    path = new_folder(spark, "emptied")
+    rows = V.table(spark, sf_dir, "customer")
+    rows.write.parquet(path)
+    before = spark.read.parquet(path).count()
+    writers.truncate(spark, path, rows.schema)
+    left = spark.read.parquet(path)
+    return left.agg(F.lit(before).alias("before"), F.count(F.lit(1)).cast("int").alias("after")).withColumn(
+        "columns", F.lit(len(left.columns)))
+
+
+@query("export_order", f"""WITH {L.LONG}
+SELECT year, month, count(*) AS rows_out, 0 AS misplaced FROM lt GROUP BY ALL""")
+def export_order(spark, sf_dir):
+    """Rows of an export that stand before a lesser one in their file, by (variable, time, observation)."""
+    path = new_folder(spark, "ordered")
+    levels = L.levels(spark, sf_dir)
+    headers = L.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
+    exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
+    back = spark.read.parquet(path).select(
+        "year", "month", F.struct("observed_variable", "report_timestamp", "observation_id").alias("place"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    before = F.lag("place").over(Window.partitionBy("file").orderBy("row"))
+    return back.withColumn("bad", F.coalesce(before > F.col("place"), F.lit(False))).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("rows_out"), F.count_if("bad").cast("int").alias("misplaced"))
 
 
 @query("sounding_export_check", """

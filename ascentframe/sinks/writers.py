@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ascentframe import contracts as C
 from ascentframe.functions.text import attributes_json
 from ascentframe.operators import cdm
+from ascentframe.sources.archives import exists
 
 MONTH = ("year", "month")
 #: The underscore keeps readers of the months from taking it for one.
@@ -132,13 +133,22 @@ def dump_csv(levels: DataFrame, headers: DataFrame, path: str, start_year: int,
         f"{path}/data", header=True, compression=codec)
 
 
-def dump_summary(levels: DataFrame, start_year: int, end_year: int) -> DataFrame:
-    """Per outcome the number of requested years: exported or not found."""
+def dump_summary(levels: DataFrame, path: str, start_year: int, end_year: int) -> DataFrame:
+    """Per outcome the number of requested years: exported (the dump holds every row
+    of the year), skipped (there is none) or error (rows are missing from the dump).
+    The dump is read back and counted, not only listed."""
     spark = levels.sparkSession
-    have = levels.select(F.year("report_timestamp").alias("year")).distinct()
-    want = spark.range(start_year, end_year + 1).select(F.col("id").cast("int").alias("year"))
-    joined = want.join(have.withColumn("found", F.lit(True)), "year", "left")
-    outcome = F.when(F.col("found"), F.lit("exported")).otherwise(F.lit("skipped"))
+    years = spark.range(start_year, end_year + 1).select(F.col("id").cast("int").alias("year"))
+    have = levels.groupBy(F.year("report_timestamp").alias("year")).agg(F.count(F.lit(1)).alias("rows"))
+    folder = f"{path}/data"
+    if exists(spark, folder) and spark.read.text(folder).limit(1).count():
+        dumped = spark.read.csv(folder, header=True, mode="PERMISSIVE").groupBy(F.col("year").cast("int").alias("year")).agg(
+            F.count(F.lit(1)).alias("dumped"))
+    else:
+        dumped = spark.createDataFrame([], "year int, dumped long")
+    joined = years.join(have, "year", "left").join(dumped, "year", "left")
+    rows, found = F.coalesce("rows", F.lit(0)), F.coalesce("dumped", F.lit(0))
+    outcome = F.when(rows != found, F.lit("error")).when(rows == 0, F.lit("skipped")).otherwise(F.lit("exported"))
     return joined.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("tables"))
 
 

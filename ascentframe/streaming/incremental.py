@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ascentframe.functions.naming import parse_archive_names
+from ascentframe.functions.naming import base_name, parse_archive_names
 from ascentframe.operators import tracking
 from ascentframe.plans.importing import plan_events, plan_import
 from ascentframe.sources.archives import exists
@@ -55,8 +55,12 @@ def start_planning(files: DataFrame, root: str, checkpoint: str, sonde: str):
         try:
             seen = read_files(spark, root).where(F.col("seq") < batch_id)
             touched = seen.join(fresh.select("station", "datetime").distinct(), ["station", "datetime"], "left_semi")
-            state = tracking.current_state(read_events(spark, root).where(F.col("seq") < batch_id))
-            plan = plan_import(fresh.select("path").unionByName(touched.select("path")), state, sonde)
+            paths = fresh.select("path").unionByName(touched.select("path"))
+            # the log is reduced to the files of this batch before anything is aggregated
+            names = paths.select(base_name(F.col("path")).alias("filename")).distinct()
+            events = read_events(spark, root).where((F.col("seq") < batch_id) & (F.col("sonde") == sonde))
+            state = tracking.current_state(events.join(names, "filename", "left_semi"))
+            plan = plan_import(paths, state, sonde)
             plan_events(plan, batch_id).write.mode("overwrite").parquet(f"{root}/events/batch={batch_id}")
             fresh.withColumn("seq", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
                 f"{root}/files/batch={batch_id}")
