@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,7 +29,22 @@ HEADLINE = [
     "header_reconciliation",
     "archive_member_revisions",
     "sounding_verdicts",
+    "monthly_export_round_trip",
 ]
+# a given table is one file with one row group, which no scan can split; a real store has many files
+LAID_OUT = ("lineitem", "orders", "customer", "events")
+
+
+def lay_out(spark, sf_dir: str, files: int) -> str:
+    """A folder with the given tables, the large ones in several files; its time is reported as a query of its own."""
+    folder = tempfile.mkdtemp(prefix="bench-")
+    for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
+        name = os.path.basename(path)
+        if name.removesuffix(".parquet") in LAID_OUT:
+            spark.read.parquet(path).repartition(files).write.parquet(f"{folder}/{name}")
+        else:
+            os.symlink(path, f"{folder}/{name}")
+    return folder
 
 
 def main() -> None:
@@ -46,10 +63,12 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()  # start-up is not part of any query
-    seconds = {}
+    start = time.perf_counter()
+    laid_out = lay_out(spark, sf_dir, 2 * int(cpus))
+    seconds = {"lay_out_tables": round(time.perf_counter() - start, 3)}
     for name in names:
         start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        QUERIES[name](spark, laid_out).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec",

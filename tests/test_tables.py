@@ -131,8 +131,10 @@ def test_dump_header_only(spark, store, tmp_path):
     writers.dump_csv(levels, headers, str(tmp_path / "b"), 2020, 2020)
     assert spark.read.csv(str(tmp_path / "b" / "data"), header=True).count() == 2
     assert list((tmp_path / "b" / "data" / "year=2020").glob("*.csv.bz2"))
-    summary = {r["outcome"]: r["tables"] for r in writers.dump_summary(levels, 2018, 2021).collect()}
-    assert summary == {"exported": 2, "skipped": 2}
+    summary = {r["outcome"]: r["tables"] for r in writers.dump_summary(levels, str(tmp_path / "b"), 2018, 2021).collect()}
+    assert summary == {"exported": 1, "error": 1, "skipped": 2}
+    nothing = writers.dump_summary(levels, str(tmp_path / "a"), 2018, 2021).collect()
+    assert {r["outcome"]: r["tables"] for r in nothing} == {"error": 2, "skipped": 2}
 
 
 def test_change_points(spark):
