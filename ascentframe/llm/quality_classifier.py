@@ -107,8 +107,8 @@ def _moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return mean, np.where(scale > 1e-9, scale, 1.0)
 
 
-def _weights(rows: DataFrame, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Ridge weights: each task sends its summed products (a triangle of fixed size), Spark adds them by cell."""
+def _weights(rows: DataFrame, mean: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, int]:
+    """Ridge weights, and from how many rows: each task sends its summed products (a triangle of fixed size), Spark adds them by cell."""
     n = FEATURES + 2  # features, intercept, label
 
     def parts(batches):
@@ -127,7 +127,7 @@ def _weights(rows: DataFrame, mean: np.ndarray, scale: np.ndarray) -> np.ndarray
     count = max(total[n - 2, n - 2], 1.0)
     penalty = np.full(n - 1, RIDGE * count)
     penalty[-1] = 1e-9 * count  # the intercept is hardly held back
-    return np.linalg.solve(total[: n - 1, : n - 1] + np.diag(penalty), total[: n - 1, n - 1])
+    return np.linalg.solve(total[: n - 1, : n - 1] + np.diag(penalty), total[: n - 1, n - 1]), int(total[n - 2, n - 2])
 
 
 def pool_adjacent(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +143,12 @@ def pool_adjacent(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -
 
 
 def fit(train: DataFrame, calibrate: DataFrame) -> Model:
-    """Model from rows (stats, quality). Without rows, or with one class only, its score is constant."""
+    """Model from rows (stats, quality). Without a row to learn from, nothing speaks against a text: its score is near 1.
+    Without rows to calibrate with, raw scores are cut to [0, 1]."""
     mean, scale = _moments(train)
-    weights = _weights(train, mean, scale)
+    weights, count = _weights(train, mean, scale)
+    if not count:
+        return Model(mean, scale, weights, np.array([0.0, 1.0]), np.array([1.0, 1.0]))
     raw = pandas_udf(lambda s: pd.Series(_lift(_as_rows(s), mean, scale) @ weights), DoubleType())
     binned = (
         calibrate.select(raw("stats").alias("raw"), F.col("quality").cast("double").alias("y"))
@@ -187,7 +190,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for each row of `docs`.
 
     NULL and empty texts have zero statistics and are scored like any row; a NULL id is not held out and not learned
-    from; repeated rows are scored alike; without usable labels the score is constant. Statistics come from the whole
+    from; repeated rows are scored alike; without usable labels every score is near 1. Statistics come from the whole
     text and nothing else.
     """
     stats = cut(docs.select("doc_id", document_statistics("text").alias("stats")))

@@ -13,6 +13,8 @@ def test_messy_rows_and_few_labels(spark):
         assert len(got) == docs(spark).count()
         assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
         assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert {r.predicted for r in C.score(docs(spark), labels(spark, [])).collect()} == {1}
+    assert C.keep_good(docs(spark), labels(spark, [])).count() == docs(spark).count()
     assert C.score(docs(spark, []), labels(spark)).count() == 0
     kept = C.keep_good(clashing(docs(spark)), labels(spark))
     assert kept.columns == clashing(docs(spark)).columns
@@ -47,6 +49,6 @@ def test_sums_and_isotonic_against_plain_numpy(spark):
     assert np.allclose(mean, x.mean(0)) and np.allclose(scale, x.std(0))
     z = C._lift(x, mean, scale)
     penalty = np.diag([C.RIDGE * 400] * C.FEATURES + [1e-9 * 400])
-    assert np.allclose(z @ C._weights(frame, mean, scale), z @ np.linalg.solve(z.T @ z + penalty, z.T @ y), atol=1e-6)
+    assert np.allclose(z @ C._weights(frame, mean, scale)[0], z @ np.linalg.solve(z.T @ z + penalty, z.T @ y), atol=1e-6)
     centres, values = C.pool_adjacent(np.array([0.0, 1, 2, 3]), np.array([0.5, 0.1, 0.9, 0.8]), np.ones(4))
     assert centres.tolist() == [0.5, 2.5] and np.allclose(values, [0.3, 0.85])
