@@ -4,36 +4,54 @@ Two interpolated bigram models, one of the trusted documents and one of the whol
 list of bigrams and their smoothing. A document's score is the mean over its tokens of target loss minus background loss
 (nats); below zero, it is more like the target.
 
-Counts cover every document. The vocabulary is every word, and the bigram list every pair of vocabulary words, whose share
-of the corpus reaches a fixed limit; the limit bounds both lists by its inverse at any size, so they can be sent to every
-task. Words below it are one unknown word, pairs below it back off to the single word.
+Counts cover every document, every word and every pair of neighbouring words; nothing is too rare. So the model grows with
+the corpus and is never gathered in one place. Documents are read once, into blocks of some million numbered words. Each
+block sends its distinct pairs, with its own counts, to buckets of pairs; a bucket adds up what all blocks sent and answers
+each block with the totals. Words go the same way. At last a block's documents meet the answers to that block. However
+common a pair, a block asks for it once, so no bucket is larger than others; the number of buckets grows with the input.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ascentframe.llm.common import cut, groups_by_size, with_trust, words_of
+from ascentframe.llm.common import groups_by_size, with_trust
+from ascentframe.session import shared_dir
 
-#: Least share of a word in all words, and of a pair in all pairs; so there are at most 1 / SHARE of either.
-SHARE = 2e-6
+#: Least share of a word in all words, and of a pair in all pairs, to be listed; with 0 all are.
+SHARE = 0.0
 DISCOUNT = 0.75
-#: Rows of pair counts that a task gathers before it sends them on; and characters worked on at once.
-GATHERED = 1 << 20
-GROUP = 1 << 21
+#: Words that a block gathers before it is closed; characters worked on at once; characters of the corpus for each bucket.
+GATHERED = 1 << 19
+GROUP = 1 << 20
+BUCKET_CHARS = 1 << 22
 SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, ce_diff double"
+#: Arrays are stored as their bytes, all but ids and checks compressed: lengths and places of words are int32, ids uint64
+#: and checks uint32.
+_BLOCKS = "block long, doc_ids array<long>, trusted array<boolean>, lengths binary, places binary, ids binary, checks binary, n long"
+#: Ids of words (and their checks), or of first and second words; counts of the block (int32), or in all (int64).
+_REQUESTS = "bucket int, block long, one binary, two binary, target binary, background binary"
+#: kind: word or pair (totals for a block), used (what the listed pairs of some words take, for a bucket of words), or sum.
+_ANSWERS = "kind string, bucket int, block long, one binary, two binary, target binary, background binary"
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Numbers(dict):
-    """Numbers of vocabulary words from 1; any other word is 0."""
+class _Places(dict):
+    """Words numbered as they come."""
 
     def __missing__(self, word: str) -> int:
-        return 0
+        self[word] = number = len(self)
+        return number
 
 
 def tokens_of(text: str | None) -> list[str]:
@@ -44,149 +62,253 @@ def tokens_of(text: str | None) -> list[str]:
 _GAPS = dict.fromkeys((9, 10, 11, 12, 13), " ")
 
 
-def _numbered(texts, numbers: _Numbers) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of all texts, and the length of each."""
-    words: list[str] = []
-    ends = [0]
-    for text in texts:
-        words += [w for w in tokens_of(text) if w]
-        ends.append(len(words))
-    return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), np.diff(np.array(ends, np.int64))
+def _array(parts, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), kind)
 
 
-def _pairs(numbers: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Key of the pair that ends at each word, and where there is one (not at a document's first word)."""
-    inner = np.ones(len(numbers), bool)
-    starts = np.cumsum(lengths) - lengths
-    inner[starts[lengths > 0]] = False
-    keys = np.zeros(len(numbers), np.int64)
-    keys[1:] = numbers[:-1] * size + numbers[1:]
-    return keys, inner
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, target, background) of every word of `docs` (text, trusted)."""
-    words = words_of(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    return (
-        docs.select("trusted", words.alias("words"))
-        .select("trusted", F.explode_outer("words").alias("word"))
-        .where("word is not null")
-        .groupBy("word")
-        .agg(F.count_if("trusted").alias("target"), F.count(F.lit(1)).alias("background"))
-    )
-
-
-class Model:
-    """Both models as arrays over word numbers (0: unknown) and over the sorted keys of the listed pairs."""
-
-    def __init__(self, words: list[str], singles: np.ndarray, keys: np.ndarray, pairs: np.ndarray):
-        """`singles` and `pairs`: counts in two columns, target and background; singles with the unknown word first."""
-        self.words, self.keys, self.size = words, keys, len(words) + 1
-        totals = singles.sum(axis=0)
-        share = (singles + 1.0) / (totals + self.size)
-        first = keys // self.size
-        held = np.maximum(pairs - DISCOUNT, 0)
-        used = np.zeros_like(share)
-        np.add.at(used, first, held)
-        seen = np.maximum(singles, 1)
-        self.single = -np.log(share)
-        self.backoff = 1 - used / seen  # what the listed pairs of a word leave
-        self.logged = -np.log(np.maximum(self.backoff, 1e-12))
-        second = keys % self.size
-        self.pair = -np.log(held / seen[first] + np.maximum(self.backoff[first], 1e-12) * share[second])
-
-    def losses(self, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Loss of each word under both models; a document's first word has no history."""
-        keys, inner = _pairs(numbers, lengths, self.size)
-        result = self.single[numbers]
-        before = np.concatenate([[0], numbers[:-1]]) if len(numbers) else numbers
-        result[inner] += self.logged[before[inner]]
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            listed = inner & (self.keys[at] == keys)
-            result[listed] = self.pair[at[listed]]
-        return result
-
-
-def _pair_counter(vocabulary):
-    """Sums the pairs of vocabulary words of its batches, and sends the sums on whenever enough have gathered."""
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    return zlib.compress(values.astype(kind).tobytes(), 1)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = vocabulary.value
-        numbers, size = _Numbers((w, k + 1) for k, w in enumerate(words)), len(words) + 1
 
-        def summed(keys, counts):
-            keys, place = np.unique(keys, return_inverse=True)
-            return keys, np.stack([np.bincount(place, c, len(keys)) for c in counts.T], axis=1).astype(np.int64)
+def _unpacked(parts, kind: str) -> np.ndarray:
+    return _array(map(zlib.decompress, parts), kind)
+
+
+def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
+    return ((ids * _MIX) >> np.uint64(33)).astype(np.int64) % buckets
+
+
+def _cuts(sorted_buckets: np.ndarray) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end) of each run."""
+    found, begins = np.unique(sorted_buckets, return_index=True)
+    return list(zip(found.tolist(), begins.tolist(), [*begins[1:].tolist(), len(sorted_buckets)]))
+
+
+def _block_writer(buckets: int, seed: int):
+    """Blocks of whole documents; the words of a block stand in the order of their buckets."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, number = TaskContext.get().partitionId(), 0
+        places, doc_ids, trusted, lengths, found = _Places(), [], [], [], []
+
+        def closed() -> pd.DataFrame:
+            hashes = _array((xxhash.xxh3_128_digest(w.encode(), seed) for w in places), "<u8").reshape(-1, 2)
+            order = np.argsort(_bucket(hashes[:, 0], buckets), kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            own = rank[np.concatenate(found)] if len(order) else np.empty(0, np.int32)
+            return pd.DataFrame({
+                "block": [part << 32 | number], "doc_ids": [doc_ids], "trusted": [trusted],
+                "lengths": [_packed(np.array(lengths), "<i4")], "places": [_packed(own, "<i4")],
+                "ids": [hashes[order, 0].tobytes()], "checks": [hashes[order, 1].astype("<u4").tobytes()], "n": [len(own)],
+            })
 
-        held = [np.empty(0, np.int64), np.empty((0, 2), np.int64)]
+        held = 0
         for batch in batches:
-            texts, trusted = batch["text"].tolist(), batch["trusted"].to_numpy(bool)
+            texts = batch["text"].tolist()
+            ids = [None if pd.isna(x) else int(x) for x in batch["own_id"]]
+            marks = batch["trusted"].tolist()
             for a, b in groups_by_size([len(x or "") for x in texts], GROUP):
-                found, lengths = _numbered(texts[a:b], numbers)
-                keys, inner = _pairs(found, lengths, size)
-                inner[1:] &= (found[1:] > 0) & (found[:-1] > 0)
-                flags = np.repeat(trusted[a:b], lengths)[inner]
-                counts = np.stack([flags, np.ones(len(flags), bool)], axis=1).astype(np.int64)
-                held = list(summed(np.concatenate([held[0], keys[inner]]), np.concatenate([held[1], counts])))
-            if len(held[0]) > GATHERED:
-                yield pd.DataFrame({"key": held[0], "target": held[1][:, 0], "background": held[1][:, 1]})
-                held = [np.empty(0, np.int64), np.empty((0, 2), np.int64)]
-        yield pd.DataFrame({"key": held[0], "target": held[1][:, 0], "background": held[1][:, 1]})
+                words: list[str] = []
+                for text in texts[a:b]:
+                    before = len(words)
+                    words += [w for w in tokens_of(text) if w]
+                    lengths.append(len(words) - before)
+                found.append(np.fromiter(map(places.__getitem__, words), np.int32, len(words)))
+                doc_ids += ids[a:b]
+                trusted += marks[a:b]
+                held += len(words)
+                if held >= GATHERED:
+                    yield closed()
+                    places, doc_ids, trusted, lengths, found, held, number = _Places(), [], [], [], [], 0, number + 1
+        if doc_ids:
+            yield closed()
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Both models from all rows of `docs` (doc_id, text); trusted rows are those that `labels` call good."""
-    spark = docs.sparkSession
-    marked = with_trust(docs, labels, "trusted", "text")
-    counts = cut(word_counts(marked))
-    totals = counts.agg(F.sum("target"), F.sum("background")).first()
-    all_words = np.array([x or 0 for x in totals], np.int64)
-    listed = counts.where(F.col("background") >= SHARE * int(all_words[1])).orderBy("word").toPandas()
-    known = listed[["target", "background"]].to_numpy(np.int64).reshape(-1, 2)
-    singles = np.vstack([all_words - known.sum(axis=0), known])
-    words = listed["word"].tolist()
-    sent = spark.sparkContext.broadcast(words)
-    sums = (
-        marked.mapInPandas(_pair_counter(sent), "key long, target long, background long")
-        .groupBy("key")
-        .agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-        .where(F.col("background") >= SHARE * int(all_words[1]))
-        .toPandas()
-        .sort_values("key")
-    )
-    return Model(words, singles, sums["key"].to_numpy(np.int64), sums[["target", "background"]].to_numpy(np.int64).reshape(-1, 2))
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss and ce_diff (means over the tokens) of each row of `docs`.
+def _pairs(places: np.ndarray, lengths: np.ndarray, ids: np.ndarray, buckets: int):
+    """Distinct pairs of a block in the order of their buckets (first and second place, bucket), where a pair ends (not at
+    a document's first word), and which pair that is."""
+    inner = np.ones(len(places), bool)
+    starts = np.cumsum(lengths) - lengths
+    inner[starts[lengths > 0]] = False
+    at = np.flatnonzero(inner)
+    size = max(len(ids), 1)
+    keys, which = np.unique(places[at - 1].astype(np.int64) * size + places[at], return_inverse=True)
+    first, second = keys // size, keys % size
+    bucket = _bucket(ids[first] * _MIX + (ids[second] ^ (ids[second] >> np.uint64(31))), buckets)
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return first[order], second[order], bucket[order], inner, rank[which]
 
-    NULL and wordless texts have no tokens and zeros; repeated rows come out repeatedly.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+def _opened(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _unpacked([row.lengths], "<i4").astype(np.int64), _unpacked([row.places], "<i4"), np.frombuffer(row.ids, "<u8")
+
+
+def _requests(buckets: int, of_pairs: bool):
+    """What each block asks for: its words, or its pairs, with its own counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = sent.value
-        numbers = _Numbers((w, k + 1) for k, w in enumerate(own.words))
         for batch in batches:
-            texts, parts = batch["text"].tolist(), []
-            for a, b in groups_by_size([len(x or "") for x in texts], GROUP):
-                found, lengths = _numbered(texts[a:b], numbers)
-                sums = np.concatenate([np.zeros((1, 2)), np.cumsum(own.losses(found, lengths), axis=0)])
-                ends = np.cumsum(lengths)
-                mean = (sums[ends] - sums[ends - lengths]) / np.maximum(lengths, 1)[:, None]
-                parts.append(np.column_stack([lengths, mean, mean[:, 0] - mean[:, 1]]))
-            table = np.concatenate(parts) if parts else np.empty((0, 4))
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": table[:, 0].astype(np.int64),
-                "target_loss": table[:, 1], "background_loss": table[:, 2], "ce_diff": table[:, 3],
-            })
+            for row in batch.itertuples():
+                lengths, places, ids = _opened(row)
+                flags = np.repeat(np.array(row.trusted, bool), lengths)
+                if of_pairs:
+                    first, second, bucket, inner, which = _pairs(places, lengths, ids, buckets)
+                    one, two, flags = ids[first], ids[second], flags[inner]
+                else:
+                    one, two, bucket, which = ids, np.frombuffer(row.checks, "<u4"), _bucket(ids, buckets), places
+                counts = [np.bincount(which[flags], minlength=len(one)), np.bincount(which, minlength=len(one))]
+                rows = [
+                    (k, row.block, one[a:b].tobytes(), two[a:b].tobytes(), *(_packed(x[a:b], "<i4") for x in counts))
+                    for k, a, b in _cuts(bucket)
+                ]
+                yield pd.DataFrame(rows, columns=["bucket", "block", "one", "two", "target", "background"])
+
+    return run
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, SCORES)
+def _runs(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where a new key begins."""
+    new = np.ones(len(sorted_keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_keys])
+    return np.flatnonzero(new)
+
+
+def _answers(rows: list) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["kind", "bucket", "block", "one", "two", "target", "background"])
+
+
+def _pair_totals(buckets: int, limit: float):
+    """Adds up one bucket of pairs, answers its blocks, and tells the buckets of words what the pairs of a word take."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        first, second = _array(group["one"], "<u8"), _array(group["two"], "<u8")
+        order = np.lexsort((second, first))
+        begins = _runs(first[order], second[order])
+        sizes = np.diff(np.append(begins, len(order)))
+        sums, back = [], []
+        for name in ("target", "background"):
+            counts = _unpacked(group[name], "<i4").astype(np.int64)
+            sums.append(np.add.reduceat(counts[order], begins))
+            whole = np.empty(len(order), np.int64)
+            whole[order] = np.repeat(sums[-1], sizes)
+            back.append(whole)
+        ends = np.cumsum([len(x) // 8 for x in group["one"]])
+        bucket = int(group["bucket"].iloc[0])
+        rows = [
+            ("pair", bucket, block, None, None, _packed(back[0][a:b], "<i8"), _packed(back[1][a:b], "<i8"))
+            for block, a, b in zip(group["block"].tolist(), [0, *ends[:-1].tolist()], ends.tolist())
+        ]
+        words = first[order][begins]
+        heads = _runs(words)
+        used = [np.add.reduceat(np.where(sums[1] >= limit, np.maximum(x - DISCOUNT, 0), 0), heads) for x in sums]
+        words = words[heads]
+        to = _bucket(words, buckets)
+        order = np.argsort(to, kind="stable")
+        for k, a, b in _cuts(to[order]):
+            some = order[a:b]
+            rows.append(("used", k, None, words[some].tobytes(), None, _packed(used[0][some], "<f8"), _packed(used[1][some], "<f8")))
+        return _answers(rows)
+
+    return run
+
+
+def _word_totals(limit: float):
+    """Adds up one bucket of words and answers its blocks; its sum row has the listed words, their counts, all counts, and
+    how many words share the id of another."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        asked, taken = group[group["kind"] == "word"], group[group["kind"] == "used"]
+        ids, begins, where = np.unique(_array(asked["one"], "<u8"), return_index=True, return_inverse=True)
+        checks = _array(asked["two"], "<u4")
+        sums = []
+        for name in ("target", "background"):
+            counts = _unpacked(asked[name], "<i4")
+            sums.append(np.bincount(where, counts, len(ids)).astype(np.int64))
+        at = np.searchsorted(ids, _array(taken["one"], "<u8"))
+        used = [np.bincount(at, _unpacked(taken[name], "<f8"), len(ids)) for name in ("target", "background")]
+        ends = np.cumsum([len(x) // 8 for x in asked["one"]])
+        bucket = int(group["bucket"].iloc[0])
+        rows = []
+        for block, a, b in zip(asked["block"].tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+            some = where[a:b]
+            rows.append(("word", bucket, int(block), *(_packed(x[some], "<f8") for x in used), *(_packed(x[some], "<i8") for x in sums)))
+        listed = sums[1] >= limit
+        known = [listed.sum(), sums[0][listed].sum(), sums[1][listed].sum(), sums[0].sum(), sums[1].sum(), (checks != checks[begins][where]).sum()]
+        rows.append(("sum", bucket, None, np.array(known, "<i8").tobytes(), None, None, None))
+        return _answers(rows)
+
+    return run
+
+
+def _scorer(buckets: int, limit: float, known: np.ndarray):
+    """Scores of the documents of one block from the answers to it."""
+    size = known[0] + 1
+    rest, totals = known[3:5] - known[1:3], known[3:5]
+    unknown = (rest + 1.0) / (totals + size)
+
+    def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = next(blocks.itertuples())
+        lengths, places, ids = _opened(row)
+        first, second, _, inner, which = _pairs(places, lengths, ids, buckets)
+        answers = answers.sort_values("bucket")
+        words, pairs = answers[answers["kind"] == "word"], answers[answers["kind"] == "pair"]
+        listed_word = _unpacked(words["background"], "<i8") >= limit
+        listed_pair = _unpacked(pairs["background"], "<i8") >= limit
+        losses = []
+        for k, (name, taken) in enumerate((("target", "one"), ("background", "two"))):
+            counts = _unpacked(words[name], "<i8")
+            share = np.where(listed_word, (counts + 1.0) / (totals[k] + size), unknown[k])
+            seen = np.maximum(np.where(listed_word, counts, rest[k]), 1)
+            left = np.maximum(1 - _unpacked(words[taken], "<f8") / seen, 1e-12)  # what the listed pairs of a word leave
+            held = np.where(listed_pair, np.maximum(_unpacked(pairs[name], "<i8") - DISCOUNT, 0), 0)
+            loss = -np.log(share)[places]
+            loss[inner] = -np.log(held / seen[first] + left[first] * share[second])[which]
+            losses.append(loss)
+        sums = np.concatenate([np.zeros((1, 2)), np.cumsum(np.stack(losses, axis=1), axis=0)])
+        ends = np.cumsum(lengths)
+        mean = (sums[ends] - sums[ends - lengths]) / np.maximum(lengths, 1)[:, None]
+        return pd.DataFrame({
+            "doc_id": pd.array(list(row.doc_ids), "Int64"), "n_tokens": lengths,
+            "target_loss": mean[:, 0], "background_loss": mean[:, 1], "ce_diff": mean[:, 0] - mean[:, 1],
+        })
+
+    return run
 
 
 def difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Trains both models on `docs` and scores every row of it."""
-    return score(docs, train(docs, labels))
+    """doc_id, n_tokens, target_loss, background_loss and ce_diff (means over the tokens) of each row of `docs`.
+
+    Both models are made of all rows of `docs` (doc_id, text); trusted rows are those that `labels` call good. NULL and
+    wordless texts have no tokens and zeros; repeated rows come out repeatedly.
+    """
+    spark = docs.sparkSession
+    folder = f"{shared_dir(spark)}/bigrams-{uuid.uuid4().hex}"
+
+    def stored(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = 1 + chars // BUCKET_CHARS
+    rows = docs.select("doc_id", F.col("doc_id").cast("long").alias("own_id"), "text")
+    marked = with_trust(rows, labels, "trusted", "own_id", "text")
+    for seed in count():
+        blocks = stored(marked.mapInPandas(_block_writer(buckets, seed), _BLOCKS), f"blocks-{seed}")
+        limit = SHARE * (blocks.agg(F.sum("n")).first()[0] or 0)
+        asked = blocks.mapInPandas(_requests(buckets, True), _REQUESTS)
+        pairs = stored(asked.groupBy("bucket").applyInPandas(_pair_totals(buckets, limit), _ANSWERS), f"pairs-{seed}")
+        asked = blocks.mapInPandas(_requests(buckets, False), _REQUESTS).select(F.lit("word").alias("kind"), "*")
+        asked = asked.unionByName(pairs.where("kind = 'used'"))
+        words = stored(asked.groupBy("bucket").applyInPandas(_word_totals(limit), _ANSWERS), f"words-{seed}")
+        sums = [np.frombuffer(r.one, "<i8") for r in words.where("kind = 'sum'").select("one").collect()]
+        known = np.sum(sums, axis=0) if sums else np.zeros(6, np.int64)
+        if not known[5]:  # else two words share an id, and other hashes are taken
+            break
+    answers = words.where("kind = 'word'").unionByName(pairs.where("kind = 'pair'"))
+    own = blocks.select("block", "doc_ids", "lengths", "places", "ids")
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scorer(buckets, limit, known), SCORES)

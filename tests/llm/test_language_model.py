@@ -79,3 +79,14 @@ def test_given_table(spark, monkeypatch):
     rows = [(r.doc_id, r.text) for r in frame.collect()]
     good = {r.doc_id for r in marks.collect() if r.quality == 1}
     same(M.difference(frame, marks).collect(), rows, brute(rows, good, 5e-5))
+
+
+def test_no_word_or_pair_is_too_rare(spark, monkeypatch):
+    """Words and pairs that stand once among 600,000 words, below the share that was once needed (2e-6)."""
+    monkeypatch.setattr(M, "GATHERED", 100_000)
+    monkeypatch.setattr(M, "BUCKET_CHARS", 1_000_000)
+    rows = [(k, "common words fill most of it " * 1000) for k in range(100)] + [(k, f"common rare{k} twin{k} words rare{k} twin{k}") for k in range(100, 104)]
+    rows += [(200, "rare100 twin100 words"), (201, None), (None, "twin100 rare100")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = labels(spark, [(k, 1, 0) for k in (1, 100, 101)])
+    same(M.difference(frame, marks).collect(), rows, brute(rows, {1, 100, 101}, 0))
