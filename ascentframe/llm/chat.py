@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ascentframe.llm.common import let
+
 TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
 #: What could be read as a control string: an opening sign, backslashes, and the rest of the string.
 CONTROL = r"([<\[])(\\*)(\||/?s>|/?INST\])"
@@ -62,17 +64,34 @@ def _is_attachment(part: Column) -> Column:
     return F.coalesce(part["kind"].isin(*KINDS), F.lit(False))
 
 
+def _escaped_runs(parts: Column) -> Column:
+    """The texts `raw` joined; those between two attachments (their places from 1: `at`) are escaped as one text, since a
+    control string may be spread over parts."""
+    raw, at = parts["raw"], parts["at"]
+
+    def after(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(at, k), F.size(raw) + 1)
+        run = F.array_join(F.slice(raw, start + 1, end - start - 1), "")
+        return F.concat(F.coalesce(F.get(raw, start - 1), F.lit("")), escape(run))
+
+    return F.array_join(F.transform(F.concat(F.array(F.lit(0)), at), after), "")
+
+
 def visit(parts: Column) -> Column:
     """Flattened content of a message: (content, attachments). Unknown or NULL kinds count as text."""
     known = F.coalesce(parts, F.array().cast(f"array<{PART}>"))
-    content = F.transform(
-        known, lambda p: F.when(_is_attachment(p), placeholder(p["kind"])).otherwise(escape(F.coalesce(p["text"], F.lit(""))))
+    content = let(
+        F.struct(
+            F.transform(known, lambda p: F.when(_is_attachment(p), placeholder(p["kind"])).otherwise(F.coalesce(p["text"], F.lit("")))).alias("raw"),
+            F.filter(F.transform(known, lambda p, i: F.when(_is_attachment(p), i + 1)), lambda i: i.isNotNull()).alias("at"),
+        ),
+        _escaped_runs,
     )
     attachments = F.transform(
         F.filter(known, _is_attachment),
         lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens")),
     )
-    return F.struct(F.array_join(content, "").alias("content"), attachments.alias("attachments"))
+    return F.struct(content.alias("content"), attachments.alias("attachments"))
 
 
 def format_conversations(messages: DataFrame) -> DataFrame:

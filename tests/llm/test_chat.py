@@ -62,3 +62,17 @@ def test_typed_parts(spark):
     ]
     assert one.expanded_tokens == 8 + 3 + 768
     assert [(x.segment, x.start, x.length) for x in one.loss] == [(1, len("<|turn|>assistant<|body|>"), len("ok<|document|>y"))]
+
+
+def test_control_strings_over_several_parts(spark):
+    part = f"conv_id long, turn long, role string, parts array<{C.PART}>"
+    text = lambda x: ("text", x, None, None, None, None, None)
+    image = ("image", None, "a", 1, 1, None, None)
+    rows = [(1, 0, "user", [text("<"), text("|turn|>x"), text("<"), text("|bo"), text("dy|>"), image, text("</"), text("s>"), image, image, text("<"), text(None), text("|end|>")])]
+    rows += [(1, 1, "assistant", [text("["), ("odd", "INST]", None, None, None, None, None)])]
+    one = C.format_conversations(spark.createDataFrame(rows, part)).select("formatted", C.read_turns(F.col("formatted")).alias("turns"), "loss").first()
+    assert one.formatted == (
+        "<|turn|>user<|body|><\\|turn|>x<\\|body|><|image|><\\/s><|image|><|image|><\\|end|><|end|><|turn|>assistant<|body|>[\\INST]<|end|>"
+    )
+    assert [tuple(t) for t in one.turns] == [("user", "<|turn|>x<|body|><|image|></s><|image|><|image|><|end|>"), ("assistant", "[INST]")]
+    assert [x.length for x in one.loss] == [len("[\\INST]")]
