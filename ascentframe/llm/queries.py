@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ascentframe.llm import byte_bpe, chat, decontamination, html_extraction, language_model, quality_classifier, quality_rules, simhash, token_files, url_filters
+from ascentframe.llm import byte_bpe, chat, decontamination, html_extraction, language_model, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, url_filters
 from ascentframe.llm.common import table
 from ascentframe.session import shared_dir
 
@@ -129,3 +129,8 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_html_extraction")
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
