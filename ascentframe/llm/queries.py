@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ascentframe.llm import byte_bpe, chat, decontamination, html_extraction, language_model, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, url_filters
+from ascentframe.llm import byte_bpe, chat, decontamination, html_extraction, language_model, lexical_search, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, url_filters, vector_codes
 from ascentframe.llm.common import table
 from ascentframe.session import shared_dir
 
@@ -134,3 +134,56 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_sentencepiece")
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def _op12_sql(rounds: int = 4) -> str:
+    """Codebooks and assignments round by round, over all distances."""
+    steps = ["""
+kept as materialized (select vec_id, label, list_transform(embedding, lambda v: floor(v::double * 1024)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0),
+parts as materialized (select vec_id, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] as x from kept, range(4) t(p)),
+c0 as materialized (select p, row_number() over (partition by p order by vec_id) - 1 as e, x from parts
+  where vec_id in (select vec_id from kept order by vec_id limit 256))"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} as materialized (select vec_id, p, min(struct_pack(d := d, e := e)) as near from (
+  select vec_id, p, e, list_sum(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - c.x[i]) * (a.x[i] - c.x[i])))::bigint as d
+  from parts a join c{k} c using (p)) group by vec_id, p)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} as materialized (select p, e, list((s - ((s % n) + n) % n) // n order by i) as x from (
+  select p, near.e as e, i, sum(x[i])::bigint as s, count(*) as n from a{k} join parts using (vec_id, p), range(1, 1025) t(i)
+  where i <= len(x) group by all) group by p, e),
+c{k + 1} as materialized (select p, e, coalesce(m.x, c.x) as x from c{k} c left join m{k} m using (p, e))""")
+    return f"""with {",".join(steps)},
+digest as (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) as codebooks_sha256 from c{rounds}),
+coded as (select vec_id, string_agg(format('{{:02x}}', near.e), '' order by p) as code, sum(near.d)::bigint as error from a{rounds} group by vec_id)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from coded join kept using (vec_id), digest"""
+
+
+@query("op12_vector_codes", _op12_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+_TERMS_SQL = r"""select {id}, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from {table}"""
+
+OP13_SQL = f"""
+with t as ({_TERMS_SQL.format(id="doc_id", table="documents")}),
+q as (select item_id, term, count(*) as times from ({_TERMS_SQL.format(id="item_id", table="benchmark")}) group by all),
+n as (select doc_id, count(*) as n from t group by doc_id),
+c as (select count(*) as documents, sum(n)::bigint as length from n),
+tf as (select doc_id, term, count(*) as tf from t where term in (select term from q) group by all),
+w as (select term, floor(1000 * ln((2 * documents + 2)::double / (2 * count(*) + 1)))::bigint as w from tf, c group by term, documents),
+s as (select item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // length))))::bigint as score
+      from q join tf using (term) join w using (term) join n using (doc_id), c group by item_id, doc_id)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from s where score > 0 qualify rank <= 20
+"""
+
+
+@query("op13_lexical_search", OP13_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
