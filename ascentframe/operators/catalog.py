@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ascentframe.functions import text, times
@@ -92,21 +92,48 @@ def launch_choices(labels: DataFrame, order: Sequence[str]) -> DataFrame:
     ).select("station_name", "launch_date", "display", "blocks", "serves.*")
 
 
-def fullest_launch(levels: DataFrame, station: str = "station_name", epoch: str = "epoch") -> DataFrame:
-    """One row (station_name, epoch): the named launch with the most levels.  Levels
-    are counted before they are made long."""
-    sizes = levels.where(F.col(station) != "").groupBy(F.col(station).alias("station_name"), F.col(epoch).alias("epoch")).count()
-    return sizes.orderBy(F.desc("count"), "station_name", "epoch").limit(1).drop("count")
-
-
-def profiles_of(long: DataFrame, wanted: DataFrame, code: int) -> DataFrame:
-    """One variable of the wanted launches (station_name, epoch) by height, in one plan."""
-    rows = long.where(F.col("observed_variable") == code)
-    station = F.col("`station_name|station_configuration`") == F.col("_w.station_name")
-    hit = rows.join(wanted.alias("_w"), station & (F.col("report_timestamp") == F.col("_w.epoch")), "left_semi")
-    return hit.select(
-        "z_coordinate", "observation_value", "uncertainty_value1", "uncertainty_value2", "uncertainty_value5"
-    ).orderBy("z_coordinate")
+#: Beside the months of an export; the underscore keeps readers of the months from taking it for one.
+LAUNCHES = "_launches"
+_STATION = "`station_name|station_configuration`"
+
+
+def write_launch_index(spark: SparkSession, path: str) -> None:
+    """Writes the launch index of a stored export beside its months: for each launch and variable the files that hold it,
+    and in each file the first row and the one behind the last.
+
+    One pass over three columns; a row for each (file, launch) is summed before the shuffle.  The index is laid out by
+    ranges of (station, time), so a look-up opens the files whose least and greatest values hold its launch.
+    """
+    rows = spark.read.parquet(path).select(
+        F.col("year"), F.col("month"), F.col("observed_variable").cast("int").alias("code"), F.col(_STATION).alias("station_name"),
+        F.col("report_timestamp").alias("epoch"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    slices = rows.groupBy("station_name", "epoch", "code", "year", "month", "file").agg(
+        F.min("row").alias("start_idx"), (F.max("row") + 1).alias("end_idx"), F.count(F.lit(1)).alias("rows"))
+    slices.repartitionByRange("station_name", "epoch").sortWithinPartitions("station_name", "epoch", "code").write.mode(
+        "overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{LAUNCHES}")
+
+
+def launch_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/{LAUNCHES}")
+
+
+def launch_slice(spark: SparkSession, path: str, station: str, epoch: int, code: int) -> DataFrame:
+    """One variable of one launch by height, with its uncertainties, from a stored export and its launch index.
+
+    Only the files that the index names are opened; of these the rows between start and end are taken, and the launch's
+    time and station are tested in the scan too, so other row groups and pages are left out.
+    """
+    hit = (F.col("station_name") == station) & (F.col("epoch") == epoch) & (F.col("code") == code)
+    slices = launch_index(spark, path).where(hit).select("file", "start_idx", "end_idx").collect()  # a launch lies in few files
+    wanted = ["z_coordinate", "observation_value", "uncertainty_value1", "uncertainty_value2", "uncertainty_value5"]
+    if not slices:
+        return spark.read.parquet(path).select(*wanted).limit(0)
+    rows = spark.read.option("basePath", path).parquet(*sorted(s["file"] for s in slices))
+    inside = F.lit(False)
+    for s in slices:
+        inside = inside | ((F.col("_metadata.file_path") == s["file"]) & F.col("_metadata.row_index").between(s["start_idx"], s["end_idx"] - 1))
+    own = (F.col(_STATION) == station) & (F.col("report_timestamp") == epoch)
+    return rows.where(own & inside).select(*wanted).orderBy("z_coordinate")
 
 
 def station_index(launch_rows: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -178,20 +178,14 @@ class Group:
         one axis and swept once from the far end, so the cost is that of a sort;
         a frame with an unbounded end would be quadratic in the group.
         """
-        rows = self.df
-        place = list(self.keys)
         look = F.struct(F.lit(True).alias("_ask"), (F.col(at) + F.lit(delta)).alias("_x"))
         stay = F.struct(F.lit(False).alias("_ask"), F.col(at).alias("_x"))
-        if self.parts:
-            rows = self._cut()
-            # cells of width delta/m: a look-up from cell c always lands in c + m
-            width = F.lit(float(delta)) / F.col(CELLS)
-            cell = F.floor(F.col(at) / width).cast("long")
-            look = F.struct(look["_ask"].alias("_ask"), look["_x"].alias("_x"), (cell + F.col(CELLS)).alias("_cell"))
-            stay = F.struct(stay["_ask"].alias("_ask"), stay["_x"].alias("_x"), cell.alias("_cell"))
-            place.append("_cell")
+        rows = self._cut() if self.parts else self.df
         both = rows.withColumn("_on", F.explode(F.when(asking, F.array(stay, look)).otherwise(F.array(stay))))
         both = both.select("*", "_on.*").drop("_on")
+        place = list(self.keys)
+        if self.parts:
+            both, place = self._dealt_on_axis(both, position), [*place, "_range"]
         seen = F.when(~F.col("_ask") & F.col("_x").isNotNull(), F.struct(*payload))
         # far end first; at equal x the rows come before the look-ups, and among
         # equal rows the earliest in group order comes last
@@ -200,33 +194,29 @@ class Group:
             .orderBy(F.desc("_x"), F.asc("_ask"), F.desc(position))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        swept = both.withColumn(name, F.last(seen, ignorenulls=True).over(sweep))
-        answered = swept.where("_ask")
+        answered = both.withColumn(name, F.last(seen, ignorenulls=True).over(sweep)).where("_ask")
         if self.parts:
-            # nothing in the landing cell: the lowest row of the next cell in use
-            landing = rows.where(asking).select(*self.keys, (cell + F.col(CELLS)).alias("_cell")).distinct()
-            beyond = self._next_cells(rows, landing, at, cell, payload, position)
-            answered = join_same(answered, beyond, place, "left")
-            answered = answered.withColumn(name, F.coalesce(name, "_beyond")).drop("_beyond")
+            # nothing further on in the own range: the first row of the next range that has one
+            beyond = self._first_beyond(both, payload, position)
+            answered = join_same(answered, self._beside(beyond, len(payload)), place, "left")
+            answered = answered.withColumn(name, F.coalesce(name, "_beyond")).drop("_beyond", "_range")
         answered = answered.withColumn(name, F.when(F.col("_x").isNotNull(), F.col(name)))
-        return answered.drop("_ask", "_x", "_cell")
-
-    def _next_cells(self, rows, landing, at, cell, payload, position):
-        """(group, landing cell) -> lowest row of the first used cell above it.
-        Rows are first reduced to one per used cell (map-side combined)."""
-        low = rows.where(F.col(at).isNotNull()).groupBy(*self.keys, cell.alias("_cell")).agg(
-            F.min_by(F.struct(*payload), F.struct(at, position)).alias("_low")
-        )
-        marks = low.withColumn("_used", F.lit(1)).unionByName(
-            landing.withColumn("_used", F.lit(0)), allowMissingColumns=True
-        )
-        from_top = (
-            Window.partitionBy(*self.keys)
-            .orderBy(F.desc("_cell"), F.asc("_used"))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return answered.drop("_ask", "_x")
+
+    def _dealt_on_axis(self, both: DataFrame, position: str) -> DataFrame:
+        """Rows and look-ups on their axis in ranges of about equal size (``_range``), cut by what Spark samples; rows at
+        one place of the axis are cut by their position.  Written down, since a range is where a row came to lie."""
+        ranges = both.repartitionByRange(2 * self.parts, *self.keys, F.asc("_x"), F.desc("_ask"), F.asc(position))
+        return ranges.withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+
+    def _first_beyond(self, both: DataFrame, payload: Sequence[str], position: str) -> DataFrame:
+        """(group, range) -> the lowest row of the nearest later range that has rows: one row for each range."""
+        row = ~F.col("_ask") & F.col("_x").isNotNull()
+        low = both.groupBy(*self.keys, "_range").agg(
+            F.min_by(F.struct(*payload), F.when(row, F.struct("_x", position))).alias("_low")
         )
-        marks = marks.withColumn("_beyond", F.last("_low", ignorenulls=True).over(from_top))
-        return marks.where("_used = 0").select(*self.keys, "_cell", "_beyond")
+        later = Window.partitionBy(*self.keys).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+        return low.select(*self.keys, "_range", F.last("_low", ignorenulls=True).over(later).alias("_beyond"))
 
 
 def _type(df: DataFrame, name: str):

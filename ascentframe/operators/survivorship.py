@@ -1,16 +1,19 @@
 """Which file of a sounding, and which members of an archive, are kept.
 
-The survivor of a launch and the choices inside archives are aggregates,
-combined before their shuffle and joined back to the rows; a launch shared by
-very many files is split by the adaptive skew join.
+The survivor of a launch is found by a window over its few files; launches over a
+fixed number of files are aggregates, combined before their shuffle and joined
+back.  The outcome of an archive is folded from one state per (archive, revision),
+so no archive's members ever gather in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ascentframe.functions import naming as N
+from ascentframe.functions.text import short_error
+from ascentframe.operators.ordered import hot_limit, join_same
 
 KEEP, SKIP = "keep", "skip"
 
@@ -27,8 +30,17 @@ def select_survivors(files: DataFrame, pattern_name: str = "archive") -> DataFra
     )
     rank = F.struct(F.col("priority"), (-F.col("group_no")).alias("g"), (-F.col("rev_no")).alias("r"), F.col("path"))
     best = F.min_by(F.struct("path", "filename", "priority", "group_no", "rev_no"), rank)
-    bests = parsed.groupBy("_site", "_launch").agg(best.alias("best"))
-    judged = parsed.join(bests, ["_site", "_launch"])
+    launch = ["_site", "_launch"]
+    hot = parsed.where("matches").groupBy(*launch).count().where(F.col("count") > hot_limit(files.sparkSession)).drop("count")
+    cold = parsed
+    if held := hot.collect():  # launches shared by a million files and more
+        hot = files.sparkSession.createDataFrame(held, hot.schema)
+        cold = join_same(parsed, hot, launch, "left_anti")
+    judged = cold.withColumn("best", best.over(Window.partitionBy(*launch)))
+    if held:
+        crowded = join_same(parsed, hot, launch, "left_semi")
+        bests = crowded.groupBy(*launch).agg(best.alias("best"))
+        judged = judged.unionByName(crowded.join(bests, launch))
     # fixed values: the reason texts, here and below
     reason = (
         F.when(~F.col("matches"), F.lit(f"Filename does not match {pattern_name} pattern"))
@@ -49,20 +61,14 @@ def select_survivors(files: DataFrame, pattern_name: str = "archive") -> DataFra
     return judged.withColumn("outcome", outcome).drop("best", "_site", "_launch")
 
 
-def select_members(members: DataFrame) -> DataFrame:
-    """Every ``(archive, member)`` with ``outcome``, ``reason`` and ``latest_rev``.
-
-    Archives with revisions (a ``revNNN/`` folder or a ``_revNNN.nc`` name) keep
-    the data members of the highest one.  Archives without keep their root data
-    members.
-    """
-    members = members.dropDuplicates(["archive", "member"])
+def _marked(members: DataFrame) -> DataFrame:
+    """What a member's name says: data or not, in the root or not, revisions of its folder and of its name, and the one
+    it counts under."""
     member = F.col("member")
-    is_data = member.endswith(".nc")
-    in_root = ~member.contains("/")
+    is_data, in_root = member.endswith(".nc"), ~member.contains("/")
     folder_rev = F.regexp_extract(member, r"rev(\d{3})/", 1).try_cast("int")
     name_rev = F.regexp_extract(member, r"_rev(\d{3})\.nc$", 1).try_cast("int")
-    marked = members.withColumns(
+    return members.withColumns(
         {
             "is_data": is_data,
             "in_root": in_root,
@@ -71,6 +77,17 @@ def select_members(members: DataFrame) -> DataFrame:
             "rev": F.coalesce(folder_rev, F.when(is_data & in_root, name_rev)),
         }
     )
+
+
+def select_members(members: DataFrame) -> DataFrame:
+    """Every ``(archive, member)`` with ``outcome``, ``reason`` and ``latest_rev``.
+
+    Archives with revisions (a ``revNNN/`` folder or a ``_revNNN.nc`` name) keep
+    the data members of the highest one.  Archives without keep their root data
+    members.
+    """
+    marked = _marked(members.dropDuplicates(["archive", "member"]))
+    member, is_data, in_root = F.col("member"), F.col("is_data"), F.col("in_root")
     latest = marked.groupBy("archive").agg(F.max("rev").alias("latest_rev"))
     marked = marked.join(latest, "archive", "left")
     top = F.format_string("rev%03d/", F.col("latest_rev"))
@@ -122,21 +139,6 @@ def latest_per_base_name(members: DataFrame) -> DataFrame:
     )
 
 
-def choose_members(members: DataFrame) -> DataFrame:
-    """Both choices in one: the members of the latest revision of an archive that
-    has revisions; else its root members, the latest of each base name."""
-    first = select_members(members)
-    plain = first.where(F.col("latest_rev").isNull() & (F.col("outcome") == KEEP))
-    names = latest_per_base_name(plain.select("archive", "member")).select(
-        "archive", "member", F.col("outcome").alias("_outcome"), F.col("reason").alias("_reason"))
-    joined = first.join(names, ["archive", "member"], "left")
-    return joined.select(
-        "archive", "member", "latest_rev", "rev",
-        F.coalesce("_outcome", "outcome").alias("outcome"),
-        F.when(F.col("_outcome").isNotNull(), F.col("_reason")).otherwise(F.col("reason")).alias("reason"),
-    )
-
-
 def archives_without_members(archives: DataFrame, judged: DataFrame) -> DataFrame:
     """Archives that have nothing to load, with the reason."""
     found = judged.groupBy("archive").agg(
@@ -151,22 +153,85 @@ def archives_without_members(archives: DataFrame, judged: DataFrame) -> DataFram
     return joined.where(F.coalesce(F.col("kept"), F.lit(0)) == 0).select("archive", reason.alias("reason"))
 
 
-def archive_outcomes(members: DataFrame) -> DataFrame:
-    """One verdict per archive from its processed members.
+#: Entries of an archive: its members by revision, its choice for each revision that could be the latest, damage.
+_MEMBERS, _CHOICE, _DAMAGE = "members", "choice", "damage"
+#: The revision of members without one; their choice counts where the archive has no revisions.
+_NONE = -1
 
-    Input: ``archive, member, ord, ok, error, skipped, latest_rev`` (one row per
-    chosen member; ``skipped`` is the archive's count of older members).
+
+def archive_states(members: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """(archive, kind, k, ...) states: how many members revision k has, and what its choice would come to.
+
+    ``members``: archive, member, ord, loaded, reason; one row per member.  ``errors``: archive, error.  A member adds to
+    the revision it counts under and to those it would be chosen for; which one is the latest is seen only when an
+    archive's states meet.  Names carry three digits, so an archive has a bounded number of states.
     """
-    from ascentframe.functions.text import short_error
+    marked = _marked(members)
+    chosen_for = F.array(
+        F.when(F.col("is_data") & F.col("in_root"), F.lit(_NONE)),
+        F.when(F.col("is_data"), F.regexp_extract("member", r"^rev(\d{3})/", 1).try_cast("int")),
+        F.when(F.col("is_data"), F.col("name_rev")),
+    )
+    choices = F.transform(F.array_distinct(F.filter(chosen_for, lambda k: k.isNotNull())),
+                          lambda k: F.struct(F.lit(_CHOICE).alias("kind"), k.alias("k")))
+    own = F.array(F.struct(F.lit(_MEMBERS).alias("kind"), F.coalesce("rev", F.lit(_NONE)).alias("k")))
+    failed = ~F.col("loaded") & F.col("reason").isNotNull()
+    entries = marked.select(
+        "archive", F.explode(F.concat(own, choices)).alias("at"), "is_data", "loaded", failed.alias("failed"), "rev",
+        F.when(failed, F.struct("ord", short_error(F.col("reason")).alias("text"))).alias("error"),
+    ).select("archive", "at.*", "is_data", "loaded", "failed", "rev", "error")
+    if errors is not None:
+        broken = errors.where(F.col("error").isNotNull()).select(
+            "archive", F.lit(_DAMAGE).alias("kind"), F.lit(_NONE).alias("k"),
+            F.struct(F.lit(None).cast(entries.schema["error"].dataType["ord"].dataType).alias("ord"), F.col("error").alias("text")).alias("error"))
+        entries = entries.unionByName(broken, allowMissingColumns=True)
+    return entries.groupBy("archive", "kind", "k").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("is_data").alias("data"),
+        F.count_if("loaded").alias("loaded"),
+        F.count_if("failed").alias("failed"),
+        F.count_if(F.col("rev") < F.col("k")).alias("older"),
+        F.min("error").alias("error"),
+    )
 
-    per = members.groupBy("archive").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("ok")).alias("processed"),
-        F.count(F.when(~F.col("ok"), F.col("error"))).alias("errors"),
-        F.min_by("error", F.when(~F.col("ok") & F.col("error").isNotNull(), F.col("ord"))).alias("first_error"),
-        F.max("skipped").alias("skipped"),
-        F.max("latest_rev").alias("latest_rev"),
+
+def fold_archives(states: DataFrame) -> DataFrame:
+    """One verdict per archive from its states (archive, success, note): the choice of its latest revision counts."""
+    per = states.groupBy("archive").agg(F.collect_list(F.struct("kind", "k", "n", "data", "loaded", "failed", "older", "error")).alias("states"))
+
+    def of(kind: str):
+        return F.filter("states", lambda s: s["kind"] == kind)
+
+    latest = F.nullif(F.array_max(F.transform(of(_MEMBERS), lambda s: s["k"])), F.lit(_NONE))
+    per = per.withColumn("latest_rev", latest).withColumns(
+        {
+            "choice": F.get(F.filter(of(_CHOICE), lambda s: s["k"] == F.coalesce("latest_rev", F.lit(_NONE))), F.lit(0)),
+            "data": F.aggregate(of(_MEMBERS), F.lit(0).cast("long"), lambda sum_, s: sum_ + s["data"]),
+            "below": F.aggregate(of(_MEMBERS), F.lit(0).cast("long"), lambda sum_, s: sum_ + F.when(
+                (s["k"] > _NONE) & (s["k"] < F.col("latest_rev")), s["data"]).otherwise(0)),
+            "damage": F.get(of(_DAMAGE), F.lit(0))["error"]["text"],
+        }
+    )
+    zero = F.lit(0).cast("long")
+    per = per.select(
+        "archive", "latest_rev", "data", "damage",
+        F.coalesce("choice.n", zero).alias("total"),
+        F.coalesce("choice.loaded", zero).alias("processed"),
+        F.coalesce("choice.failed", zero).alias("errors"),
+        F.col("choice.error.text").alias("first_error"),
+        (F.col("below") - F.coalesce("choice.older", zero)).cast("int").alias("skipped"),
+    )
+    ok, told = _verdict()
+    nothing = (
+        F.when(F.col("data") == 0, F.concat(F.lit("No data files found in "), F.col("archive")))
+        .when(F.col("total") == 0, F.concat(F.lit("No valid data files to process after revision filtering in "), F.col("archive")))
     )
+    whole = F.col("damage").isNull()
+    return per.select("archive", (ok & whole).alias("success"), F.coalesce("damage", nothing, told).alias("note"))
+
+
+def _verdict():
+    """Success and note of an archive from total, processed, errors, first_error, skipped and latest_rev."""
     ok = (F.col("processed") == F.col("total")) & (F.col("processed") > 0)
     older = F.format_string("Skipped %d files from older revisions", F.col("skipped"))
     good = F.concat(
@@ -186,8 +251,22 @@ def archive_outcomes(members: DataFrame) -> DataFrame:
         .otherwise(F.format_string("Partially processed %d/%d files", F.col("processed"), F.col("total")))
     )
     bad = F.concat(bad, F.when(F.col("skipped") > 0, F.concat(F.lit(". "), older)).otherwise(F.lit("")))
-    return per.select(
-        "archive", "total", "processed", "errors",
-        ok.alias("success"),
-        F.when(ok, good).otherwise(bad).alias("note"),
+    return ok, F.when(ok, good).otherwise(bad)
+
+
+def archive_outcomes(members: DataFrame) -> DataFrame:
+    """One verdict per archive from its processed members.
+
+    Input: ``archive, member, ord, ok, error, skipped, latest_rev`` (one row per
+    chosen member; ``skipped`` is the archive's count of older members).
+    """
+    per = members.groupBy("archive").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("ok")).alias("processed"),
+        F.count(F.when(~F.col("ok"), F.col("error"))).alias("errors"),
+        F.min_by("error", F.when(~F.col("ok") & F.col("error").isNotNull(), F.col("ord"))).alias("first_error"),
+        F.max("skipped").alias("skipped"),
+        F.max("latest_rev").alias("latest_rev"),
     )
+    ok, told = _verdict()
+    return per.select("archive", "total", "processed", "errors", ok.alias("success"), told.alias("note"))

@@ -7,6 +7,8 @@ gather in one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +64,23 @@ def current_state(events: DataFrame) -> DataFrame:
     )
 
 
+def standing_events(events: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """The events that ``current_state`` looks at, at most four for each file: its latest move, import and failure, and a
+    registration.  Reduced events give the same state, also together with later ones."""
+    fields = ["kind", "seq", "at", "text"]
+    whole = F.struct(*fields)
+    # the order in which current_state takes them
+    picks = {
+        "moved": F.max_by(whole, F.when(F.col("kind") != REGISTERED, F.struct("seq", "kind"))),
+        "done": F.max_by(whole, F.when(F.col("kind") == IMPORTED, F.col("seq"))),
+        "bad": F.max_by(whole, F.when(F.col("kind") == FAILED, F.col("seq"))),
+        "known": F.max_by(whole, F.when(F.col("kind") == REGISTERED, F.col("seq"))),
+    }
+    kept = events.groupBy(*KEYS, *also).agg(*[pick.alias(name) for name, pick in picks.items()])
+    rows = F.array_distinct(F.filter(F.array(*[F.col(name) for name in picks]), lambda e: e.isNotNull()))
+    return kept.select(*KEYS, F.explode(rows).alias("e"), *also).select(*KEYS, *[f"e.{name}" for name in fields], *also)
+
+
 def imported(state: DataFrame, sonde: str | None = None) -> DataFrame:
     done = state.where("date_of_import IS NOT NULL")
     return done.where(F.col("sonde") == sonde) if sonde else done

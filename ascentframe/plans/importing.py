@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,10 +14,11 @@ from ascentframe.functions import naming, text
 from ascentframe.operators import diagnostics, gates, schema, survivorship, tracking
 from ascentframe.operators.ordered import per_group
 from ascentframe.session import ensure_checkpoint_dir
-from ascentframe.sinks import writers
-from ascentframe.sources.archives import exists
+from ascentframe.sinks import snapshots, writers
 
 IMPORT, SKIP = "import", "skip"
+#: Tables of a store.
+LEVELS, HEADERS, REJECTS = "levels", "headers", "rejects"
 
 
 def plan_import(files: DataFrame, state: DataFrame, sonde: str, pattern_name: str = "archive") -> DataFrame:
@@ -88,13 +90,13 @@ def first_ids(good: DataFrame, start: int) -> DataFrame:
     return rows.withColumn("first_observation_id", first).drop("_all", "_upto")
 
 
-def _start_id(good: DataFrame, header_path: str, batch: str) -> int:
+def _start_id(good: DataFrame, root: str, batch: str) -> int:
     """The observation id before the batch's first: what it had, if it is loaded again with as many levels; else the
     greatest of the other batches.  Read from the header table."""
     spark = good.sparkSession
-    if not exists(spark, header_path):
+    if not snapshots.current(spark, root).runs:
         return 0
-    headers = spark.read.parquet(header_path).withColumn("_own", F.col("batch").cast("string") == batch)
+    headers = snapshots.read(spark, root, HEADERS).withColumn("_own", F.col(snapshots.BATCH) == batch)
     seen = headers.agg(
         F.min(F.when(F.col("_own"), F.col("first_observation_id"))).alias("first"),
         F.sum(F.when(F.col("_own"), F.col("n_levels"))).alias("levels"),
@@ -105,24 +107,26 @@ def _start_id(good: DataFrame, header_path: str, batch: str) -> int:
     return seen["last"] or 0
 
 
-def load_soundings(levels: DataFrame, attrs: DataFrame, stations: DataFrame, network: str, header_path: str,
-                   level_path: str, reject_path: str, sonde: str = "", batch: str = "0",
-                   header_contract: T.StructType = HEADER_CONTRACT, level_contract: T.StructType | None = None,
-                   order: str = "level_idx") -> Loaded:
-    """Validates, numbers, diagnoses and stores one batch of soundings.
+def load_soundings(levels: DataFrame, attrs: DataFrame, stations: DataFrame, network: str, root: str, sonde: str = "",
+                   batch: str = "0", header_contract: T.StructType = HEADER_CONTRACT,
+                   level_contract: T.StructType | None = None, order: str = "level_idx") -> Loaded:
+    """Validates, numbers, diagnoses and stores one batch of soundings below ``root`` (tables levels, headers, rejects).
 
-    Everything is written under the batch's name and replaces what a broken attempt or an earlier run of the same batch
-    left there, so a retry adds nothing; load batches one after the other.  Verdicts are settled (checkpoint) before any
-    table is touched.  Levels are derived and written once; the scalars of the headers are computed from what is stored.
-    Headers are written last but for the rejects: a batch whose headers are there is complete.
+    A run writes into folders of its own and is published in one step when all three tables are there
+    (``sinks.snapshots``).  Until then readers see what the batch held before, afterwards only the new rows, also where
+    soundings are no longer rejected, lie in another month, or none is accepted.  A broken run is never read.  Load
+    batches one after the other.  Verdicts are settled (checkpoint) before anything is written.  Levels are derived and
+    written once; the scalars of the headers are computed from what is stored.
     """
     spark = levels.sparkSession
     ensure_checkpoint_dir(spark)
+    run = uuid.uuid4().hex
+    place = {name: snapshots.folder(root, name, batch, run) for name in (LEVELS, HEADERS, REJECTS)}
     has_time = F.count("time") if "time" in levels.columns else F.count(F.lit(1))
     counts = levels.groupBy("g_product_id").agg(F.count(F.lit(1)).alias("n_levels"), has_time.alias("n_times"))
     judged = gates.judge_soundings(attrs, counts, stations, network, sonde).checkpoint(eager=True)
     good = gates.accepted(judged)
-    good = first_ids(good, _start_id(good, header_path, batch)).checkpoint(eager=True)
+    good = first_ids(good, _start_id(good, root, batch)).checkpoint(eager=True)
 
     keys = good.select("g_product_id", "conventions", "station_key", "idstation_pk", "report_timestamp", "first_observation_id")
     numbered = per_group(levels.join(keys, "g_product_id"), ["g_product_id"], [F.asc(order)], lambda g: g.number("_nth").df)
@@ -133,12 +137,13 @@ def load_soundings(levels: DataFrame, attrs: DataFrame, stations: DataFrame, net
     out_levels = diagnostics.diagnosed_levels(kept).drop("valid", "n_valid", "conventions")
     if level_contract is not None:
         out_levels = schema.align_to_contract(out_levels, level_contract).df
-    writers.store_levels(out_levels, level_path, batch)
+    schemas = {LEVELS: writers.write_run(out_levels, place[LEVELS], monthly=True)}
 
-    stored = spark.read.parquet(level_path).where(F.col("batch").cast("string") == batch)
+    stored = spark.read.schema(schemas[LEVELS]).parquet(place[LEVELS])
     scalars = diagnostics.sounding_scalars(stored)  # stored humidity is in percent already
-    writers.store_batch(header_of(good, header_contract).join(scalars, "g_product_id", "left"), header_path, batch)
-    writers.store_batch(gates.rejected(judged).select("g_product_id", "reason"), reject_path, batch)
+    schemas[HEADERS] = writers.write_run(header_of(good, header_contract).join(scalars, "g_product_id", "left"), place[HEADERS])
+    schemas[REJECTS] = writers.write_run(gates.rejected(judged).select("g_product_id", "reason"), place[REJECTS])
+    snapshots.publish(spark, root, batch, run, schemas)
     tally = judged.agg(F.count_if(F.col("reason").isNull()).alias("a"), F.count("reason").alias("r")).first()
     return Loaded(tally["a"], tally["r"])
 
@@ -146,36 +151,23 @@ def load_soundings(levels: DataFrame, attrs: DataFrame, stations: DataFrame, net
 def process_archives(members: DataFrame, verdicts: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """Outcome of every archive: members -> revision choice -> verdict of each chosen member -> note.
 
-    ``members``: archive, member, ord.  ``verdicts``: archive, member, reason (NULL: loaded).  ``errors``: archive, error of
-    archives that could not be opened.  An archive with nothing to load, or damaged, fails with its reason.  A chosen
-    member without a verdict has failed.
+    ``members``: archive, member, ord.  ``verdicts``: archive, member, reason (NULL: loaded), and optionally ``loaded``
+    (false without a reason: never finished) and ``attempt``: the last attempt settles a member that has several, a reason
+    wins among equal ones.  ``errors``: archive, error of archives that could not be opened.  An archive with nothing to
+    load, or damaged, fails with its reason.  A chosen member without a verdict has failed.
+
+    Three exchanges in all: members and verdicts are stacked and meet by member, member states are summed by (archive,
+    revision) before they are sent, and the few states of an archive meet.
     """
-    listed = members.where(F.col("member").isNotNull())
-    judged = survivorship.choose_members(listed)
-    older = judged.groupBy("archive").agg(
-        F.count_if(F.col("reason").startswith("Older revision")).cast("int").alias("skipped"),
-        F.max("latest_rev").alias("latest_rev"),
-    )
-    chosen = judged.where(F.col("outcome") == survivorship.KEEP).select("archive", "member")
-    places = listed.groupBy("archive", "member").agg(F.min("ord").alias("ord"))
-    known = verdicts.select("archive", "member", "reason", F.lit(True).alias("_known"))
-    done = (
-        chosen.join(places, ["archive", "member"])
-        .join(known, ["archive", "member"], "left")
-        .join(older, "archive")
-        .select("archive", "member", "ord", (F.col("_known") & F.col("reason").isNull()).alias("ok"),
-                F.col("reason").alias("error"), "skipped", "latest_rev")
-        .withColumn("ok", F.coalesce("ok", F.lit(False)))
-    )
-    outcomes = survivorship.archive_outcomes(done).select("archive", "success", "note")
-    empty = survivorship.archives_without_members(listed, judged).select(
-        "archive", F.lit(False).alias("success"), F.col("reason").alias("note"))
-    result = outcomes.unionByName(empty)
-    if errors is not None:
-        broken = errors.where(F.col("error").isNotNull()).groupBy("archive").agg(F.min("error").alias("note"))
-        result = result.join(broken.select("archive"), "archive", "left_anti").unionByName(
-            broken.select("archive", F.lit(False).alias("success"), "note"))
-    return result
+    listed = members.where(F.col("member").isNotNull()).select("archive", "member", F.struct("ord").alias("place"))
+    attempt = F.col("attempt") if "attempt" in verdicts.columns else F.lit(0)
+    loaded = F.col("loaded") if "loaded" in verdicts.columns else F.col("reason").isNull()
+    tried = verdicts.select("archive", "member", F.struct(
+        attempt.alias("attempt"), F.col("reason").isNotNull().alias("told"), "reason", loaded.alias("loaded")).alias("last"))
+    met = listed.unionByName(tried, allowMissingColumns=True).groupBy("archive", "member").agg(
+        F.min("place").alias("place"), F.max("last").alias("last")).where(F.col("place").isNotNull())
+    rows = met.select("archive", "member", "place.ord", F.coalesce("last.loaded", F.lit(False)).alias("loaded"), "last.reason")
+    return survivorship.fold_archives(survivorship.archive_states(rows, errors))
 
 
 def archive_events(outcomes: DataFrame, sonde: str, seq: int, at: Column | None = None) -> DataFrame:

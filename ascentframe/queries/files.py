@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 
 import pandas as pd
@@ -13,6 +14,7 @@ from ascentframe.operators import gates, survivorship, tracking
 from ascentframe.plans import importing
 from ascentframe.queries import views as V
 from ascentframe.queries.registry import query
+from ascentframe.session import ensure_checkpoint_dir, shared_dir
 from ascentframe.sources import archives
 
 _RE = N.ARCHIVE_PATTERN
@@ -151,12 +153,11 @@ def archives_without_members(spark, sf_dir):
 
 
 def _member_verdicts(spark, sf_dir):
-    """The last order of a member settles it: loaded, rejected with a reason, or (no row) never finished."""
-    last = order_members(spark, sf_dir).groupBy("archive", "member").agg(
-        F.max_by(F.struct("o_orderstatus", "o_orderpriority"), "o_orderkey").alias("o"))
-    bad, text = F.col("o.o_orderstatus") == "P", F.concat(F.repeat("o.o_orderpriority", 30), F.lit(" in "), "member")
-    return last.where(~bad | ~F.col("o.o_orderpriority").startswith("5")).select(
-        "archive", "member", F.when(bad, text).alias("reason"))
+    """Every order is an attempt at its member; the last one settles it: loaded, rejected with a reason, or not finished."""
+    bad, text = F.col("o_orderstatus") == "P", F.concat(F.repeat("o_orderpriority", 30), F.lit(" in "), "member")
+    return order_members(spark, sf_dir).select(
+        "archive", "member", F.col("o_orderkey").alias("attempt"), (~bad).alias("loaded"),
+        F.when(bad & ~F.col("o_orderpriority").startswith("5"), text).alias("reason"))
 
 
 OUTCOMES = MEMBERS + """,
@@ -204,21 +205,21 @@ def archive_import_state(spark, sf_dir):
         "filename", F.col("date_of_import").isNotNull().alias("imported"), "note", "detail")
 
 
+def _archive_of(doc_id: int, text: str | None) -> bytes:
+    """A small archive of a document, its text in one to three members by the document's number; every tenth archive is
+    cut short (damaged)."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for rev in range(1, doc_id % 3 + 2):
+            z.writestr(f"rev{rev:03d}/doc{doc_id}.nc", text or "")
+        z.writestr("readme.txt", "about")
+    return buffer.getvalue()[:20] if doc_id % 10 == 0 else buffer.getvalue()
+
+
 def _zipped(batches):
-    """One small archive per document, its text split over members by the
-    document's number; every tenth archive is cut short (damaged)."""
     for pdf in batches:
-        names, contents = [], []
-        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w") as z:
-                for rev in range(1, int(doc_id) % 3 + 2):
-                    z.writestr(f"rev{rev:03d}/doc{doc_id}.nc", text or "")
-                z.writestr("readme.txt", "about")
-            data = buffer.getvalue()
-            names.append(f"doc{doc_id}.jar")
-            contents.append(data[:20] if doc_id % 10 == 0 else data)
-        yield pd.DataFrame({"archive": names, "content": contents})
+        yield pd.DataFrame({"archive": [f"doc{i}.jar" for i in pdf["doc_id"]],
+                            "content": [_archive_of(int(i), t) for i, t in zip(pdf["doc_id"], pdf["text"])]})
 
 
 @query("archive_member_listing", """
@@ -234,6 +235,53 @@ def archive_member_listing(spark, sf_dir):
         "archive", "member", "ord", "size", F.col("error").isNotNull().alias("damaged"))
 
 
+def _archives_in(folder: str):
+    """Writes the archive of every document below ``folder``, in a hundred folders; yields their names and sizes."""
+
+    def write(batches):
+        store, place = archives.open_store(folder)
+        for pdf in batches:
+            sizes = []
+            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+                data = _archive_of(int(doc_id), text)
+                store.create_dir(f"{place}/{doc_id % 100}", recursive=True)
+                with store.open_output_stream(f"{place}/{doc_id % 100}/doc{doc_id}.jar") as file:
+                    file.write(data)
+                sizes.append(len(data))
+            yield pd.DataFrame({"archive": [f"doc{i}.jar" for i in pdf["doc_id"]], "length": sizes})
+
+    return write
+
+
+@query("archive_discovery", """
+WITH d AS (SELECT doc_id, 'doc' || doc_id || '.jar' AS archive, strlen(text) AS n FROM documents),
+m AS (SELECT archive, doc_id, n, unnest(range(1, CAST(doc_id%3+2 AS BIGINT))) AS rev FROM d WHERE doc_id%10<>0)
+SELECT 'file' AS kind, archive, NULL AS member, NULL AS ord, NULL AS size, true AS fits FROM d
+UNION ALL SELECT 'absent root', 'files', NULL, NULL, 0, true
+UNION ALL SELECT 'absent root', 'members', NULL, NULL, 0, true
+UNION ALL SELECT 'member', archive, 'rev' || lpad(rev::VARCHAR,3,'0') || '/doc' || doc_id || '.nc', CAST(rev-1 AS INTEGER), CAST(n AS BIGINT), true FROM m
+UNION ALL SELECT 'member', archive, 'readme.txt', CAST(doc_id%3+1 AS INTEGER), 5, true FROM d WHERE doc_id%10<>0
+UNION ALL SELECT 'damaged', archive, NULL, NULL, NULL, true FROM d WHERE doc_id%10=0""")
+def archive_discovery(spark, sf_dir):
+    """Archives of all documents on disk: found with the length they were written with (``fits``), members listed from
+    their tails (``fits``: less than a kilobyte was read of each, however long), damaged ones, and a root that is absent."""
+    root = f"{shared_dir(spark)}/archives-{uuid.uuid4().hex[:12]}"
+    written = V.table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(_archives_in(root), "archive string, length long")
+    ensure_checkpoint_dir(spark)
+    written = written.checkpoint(eager=True)
+    name = F.substring_index("path", "/", -1)
+    files = archives.discover(spark, root).select(name.alias("archive"), F.col("length").alias("found")).join(written, "archive", "left").select(
+        F.lit("file").alias("kind"), "archive", F.coalesce(F.col("found") == F.col("length"), F.lit(False)).alias("fits"))
+    listed = archives.read_members(spark, root).select(
+        F.when(F.col("error").isNull(), "member").otherwise("damaged").alias("kind"), F.substring_index("archive", "/", -1).alias("archive"),
+        "member", "ord", "size", (F.col("bytes_read") < 1000).alias("fits"))
+    absent = [rows.agg(F.count(F.lit(1)).alias("size")).select(F.lit("absent root").alias("kind"), F.lit(what).alias("archive"), "size", F.lit(True).alias("fits"))
+              for what, rows in (("files", archives.discover(spark, f"{root}/nowhere")), ("members", archives.read_members(spark, f"{root}/nowhere")))]
+    for part in (files, *absent):
+        listed = listed.unionByName(part, allowMissingColumns=True)
+    return listed
+
+
 # -- tracking ---------------------------------------------------------------------
 @query("import_monitor", f"""WITH {V.STATE_SQL}
 SELECT sonde, count(*) FILTER (date_of_import IS NULL AND note IS NULL) AS to_import,

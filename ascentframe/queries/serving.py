@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ascentframe import contracts as C
-from ascentframe.functions import numeric, times
 from ascentframe.operators import catalog, cdm
+from ascentframe.plans import exporting
 from ascentframe.queries import longtable
 from ascentframe.queries import views as V
 from ascentframe.queries.registry import query
+from ascentframe.queries.storage import new_folder
 
 FILE = ["user_id"]
 
@@ -98,20 +98,40 @@ def launch_choices(spark, sf_dir):
     return catalog.launch_choices(labels, ["user_id", "block_id"])
 
 
+_STORED = "round(CAST(CAST({} AS FLOAT) AS DOUBLE),3)"
+
+
 @query("profile_by_altitude", f"""WITH {longtable.LONG},
 one AS (SELECT station_name, epoch FROM lt WHERE station_name<>'' GROUP BY ALL
   ORDER BY count(*) DESC, station_name, epoch LIMIT 1)
-SELECT round(z_coordinate,6) AS z_coordinate, round(observation_value,6) AS observation_value,
-  round(u1,6) AS uncertainty_value1, round(u2,6) AS uncertainty_value2, round(u5,6) AS uncertainty_value5
+SELECT {_STORED.format("z_coordinate")} AS z_coordinate, {_STORED.format("observation_value")} AS observation_value,
+  {_STORED.format("u1")} AS uncertainty_value1, {_STORED.format("u2")} AS uncertainty_value2, {_STORED.format("u5")} AS uncertainty_value5
 FROM lt JOIN one USING (station_name, epoch) WHERE observed_variable=126""")
 def profile_by_altitude(spark, sf_dir):
-    """The air-temperature profile of the launch with the most rows (a top-1 report)."""
-    levels, headers = longtable.levels(spark, sf_dir), longtable.headers(spark, sf_dir)
-    name = numeric.either_text(headers.columns, *C.HEADER_TEXT["station_name|station_configuration"])
-    named = headers.select("g_product_id", name.alias("station_name"))
-    counted = levels.select("g_product_id", times.epoch_seconds(F.col("report_timestamp")).alias("epoch")).join(named, "g_product_id")
-    served = catalog.profiles_of(longtable.long_table_of(spark, sf_dir, codes=[126]), catalog.fullest_launch(counted), 126)
-    return served.select(*[F.round(name, 6).alias(name) for name in served.columns])
+    """The air-temperature profile of the launch with the most rows (a top-1 report), from a stored export: the launch
+    index names it and its file, and the file's slice is read by start and end."""
+    path = new_folder(spark, "served")
+    levels, headers = longtable.levels(spark, sf_dir), longtable.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
+    exporting.export_months(levels, headers, longtable.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
+    catalog.write_launch_index(spark, path)
+    named = catalog.launch_index(spark, path).where("station_name <> ''")
+    one = named.groupBy("station_name", "epoch").agg(F.sum("rows").alias("rows")).orderBy(F.desc("rows"), "station_name", "epoch").first()
+    if one is None:
+        return catalog.launch_slice(spark, path, "", 0, 126)
+    served = catalog.launch_slice(spark, path, one["station_name"], one["epoch"], 126)
+    return served.select(*[F.round(F.nanvl(F.col(name).cast("double"), F.lit(None)), 3).alias(name) for name in served.columns])
+
+
+@query("launch_slices", f"""WITH {longtable.LONG}
+SELECT station_name, epoch, observed_variable AS code, year, month, count(*) AS rows, true AS inside FROM lt GROUP BY ALL""")
+def launch_slices(spark, sf_dir):
+    """The launch index of a stored export: rows of every launch and variable by month, all inside their slices."""
+    path = new_folder(spark, "sliced")
+    levels, headers = longtable.levels(spark, sf_dir), longtable.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
+    exporting.export_months(levels, headers, longtable.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
+    catalog.write_launch_index(spark, path)
+    return catalog.launch_index(spark, path).groupBy("station_name", "epoch", "code", "year", "month").agg(
+        F.sum("rows").alias("rows"), F.bool_and(F.col("rows") <= F.col("end_idx") - F.col("start_idx")).alias("inside"))
 
 
 @query("station_index", f"""WITH {BLOCKS}

@@ -17,7 +17,7 @@ from ascentframe.queries import profiles as P
 from ascentframe.queries import views as V
 from ascentframe.queries.registry import query
 from ascentframe.session import shared_dir
-from ascentframe.sinks import writers
+from ascentframe.sinks import snapshots, writers
 from ascentframe.sources import tables
 from ascentframe.streaming import incremental
 
@@ -118,19 +118,57 @@ def truncated_table(spark, sf_dir):
 @query("export_order", f"""WITH {L.LONG}
 SELECT year, month, count(*) AS rows_out, 0 AS misplaced FROM lt GROUP BY ALL""")
 def export_order(spark, sf_dir):
-    """Rows of an export that stand before a lesser one in their file, by (variable, time, observation)."""
+    """Rows of a month's export that stand behind a greater one, by (variable, time, observation), over all its files."""
     path = new_folder(spark, "ordered")
     levels = L.levels(spark, sf_dir)
     headers = L.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
     exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
     back = spark.read.parquet(path).select(
         "year", "month", F.struct("observed_variable", "report_timestamp", "observation_id").alias("place"),
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    before = F.lag("place").over(Window.partitionBy("file").orderBy("row"))
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    # a month has a folder for each variable, and in it files whose names follow the ranges of time
+    files = Window.partitionBy("year", "month").orderBy("place.observed_variable", "file", "row")
+    before = F.lag("place").over(files)
     return back.withColumn("bad", F.coalesce(before > F.col("place"), F.lit(False))).groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("rows_out"), F.count_if("bad").cast("int").alias("misplaced"))
 
 
+#: A box over two tiles and parts of others, and one over the antimeridian.
+BOXES = {"near": (0.0, 24.5, 35.0, 61.25), "around": (-10.0, 40.0, 100.0, 12.0)}
+
+
+@query("tiled_boxes", f"""WITH {L.LONG},
+box AS (SELECT * FROM (VALUES {', '.join(f"('{n}', {', '.join(f'{x}::DOUBLE' for x in b)})" for n, b in BOXES.items())}) AS t(box, s, n, w, e))
+SELECT box, CAST(floor(slat/10)*10 AS INTEGER) AS lat_tile, CAST(floor(slon/10)*10 AS INTEGER) AS lon_tile, count(*) AS rows_out,
+  count(DISTINCT g_product_id) AS reports, round(sum(observation_value),3) AS total
+FROM lt JOIN box ON slat BETWEEN s AND n AND CASE WHEN w<=e THEN slon BETWEEN w AND e ELSE slon>=w OR slon<=e END
+WHERE observed_variable=126 GROUP BY ALL""")
+def tiled_boxes(spark, sf_dir):
+    """Air temperatures of all stations laid out by tile, two boxes read back."""
+    path = new_folder(spark, "tiles")
+    writers.write_tiles(L.long_table_of(spark, sf_dir, codes=[126]), path)
+    result = None
+    for name, box in BOXES.items():
+        part = tables.read_box(spark, path, *box).groupBy("lat_tile", "lon_tile").agg(
+            F.count(F.lit(1)).alias("rows_out"), F.count_distinct("report_id").alias("reports"),
+            F.round(F.sum("observation_value"), 3).alias("total")).withColumn("box", F.lit(name))
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+@query("published_dictionary", " UNION ALL ".join(
+    f"SELECT {v.code} AS code, '{v.label}' AS label, {v.unit} AS units, count(*) AS levels FROM lineitem JOIN orders ON l_orderkey=o_orderkey"
+    f" JOIN customer ON o_custkey=c_custkey" for v in C.VARIABLES))
+def published_dictionary(spark, sf_dir):
+    """The dictionary that an export publishes beside its months, with the rows of each variable."""
+    path = new_folder(spark, "published")
+    levels = L.levels(spark, sf_dir)
+    headers = L.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
+    exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
+    rows = spark.read.parquet(path).groupBy(F.col("observed_variable").cast("int").alias("code")).agg(F.count(F.lit(1)).alias("levels"))
+    return spark.read.parquet(f"{path}/{writers.DICTIONARY}").join(rows, "code", "left")
+
+
 @query("sounding_export_check", """
 SELECT CASE event_type WHEN 'view' THEN 'RS-11G' WHEN 'click' THEN 'IMS-100' ELSE event_type END AS sonde_type,
   count(*) AS n, true AS complete FROM events GROUP BY ALL""")
@@ -168,7 +206,9 @@ hs AS (SELECT *, {_SITE} AS site, {_TIME} AS ts FROM ob)"""
 
 
 def _load(spark, sf_dir, again: bool):
-    """Loads all soundings in two batches; with ``again`` the first one runs a second time, as after a broken attempt."""
+    """Loads all soundings in two batches.  With ``again`` the first batch was loaded before from bad sources (stations
+    unknown, every launch a month late, soundings of the other batch among them), is loaded rightly, and once more the
+    same; each run replaces the one before."""
     levels = V.sounding_levels(spark, sf_dir)
     sid = F.col("g_product_id")
     station = F.when(sid % 9 == 0, F.lit("NATION_30")).otherwise(F.concat(F.lit("NATION_"), (sid % 25).cast("string")))
@@ -181,13 +221,15 @@ def _load(spark, sf_dir, again: bool):
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in entries.items()])
     attrs = levels.groupBy("g_product_id").agg(F.max("conventions").alias("c")).select(
         "g_product_id", F.map_from_entries(F.filter(pairs, lambda x: x["value"].isNotNull())).alias("attrs"))
-    base = new_folder(spark, "store")
-    paths = [f"{base}/{name}" for name in ("header", "levels", "rejected")]
-    for part in (0, 1, 0) if again else (0, 1):
-        chosen = sid % 2 == part
-        importing.load_soundings(levels.where(chosen).drop("conventions"), attrs.where(chosen), Q.nation_stations(spark, sf_dir),
-                                 "NET", *paths, sonde="RS41", batch=str(part))
-    return paths
+    late = F.transform_values("attrs", lambda k, v: F.when(k.endswith("StandardTime"), F.date_format(
+        F.add_months(v.try_cast("timestamp"), 1), "yyyy-MM-dd HH:mm:ss")).when(k.isin("g.Site.Key", "g.General.SiteCode") & (sid % 4 == 0), "").otherwise(v))
+    bad = attrs.withColumn("attrs", late)
+    root = new_folder(spark, "store")
+    runs = [("0", sid % 4 < 3, bad)] * again + [("0", sid % 2 == 0, attrs), ("1", sid % 2 == 1, attrs)] + [("0", sid % 2 == 0, attrs)] * again
+    for batch, chosen, given in runs:
+        importing.load_soundings(levels.where(chosen).drop("conventions"), given.where(chosen), Q.nation_stations(spark, sf_dir),
+                                 "NET", root, sonde="RS41", batch=batch)
+    return root
 
 
 @query("loaded_soundings", f"""
@@ -201,8 +243,10 @@ SELECT u.user_id AS g_product_id, CASE WHEN u.user_id%9=0 THEN 'Station ''NATION
   CASE WHEN u.user_id%9<>0 AND u.user_id%2=0 THEN 'NATION_' || (u.user_id%25) END AS wmo
 FROM u LEFT JOIN (SELECT g_product_id, min(observation_id) AS first_id FROM hs GROUP BY ALL) f ON f.g_product_id=u.user_id""")
 def loaded_soundings(spark, sf_dir):
-    """Validates, numbers, diagnoses and stores all soundings (one batch twice), then reads the three tables."""
-    header, stored, bad = (spark.read.parquet(path) for path in _load(spark, sf_dir, again=True))
+    """Validates, numbers, diagnoses and stores all soundings (one batch three times, first from bad sources), then reads
+    the three tables."""
+    root = _load(spark, sf_dir, again=True)
+    header, stored, bad = (snapshots.read(spark, root, name) for name in (importing.HEADERS, importing.LEVELS, importing.REJECTS))
     counts = stored.groupBy("g_product_id").agg(F.count(F.lit(1)).alias("stored_levels"), F.min("observation_id").alias("first_id"))
     good = header.join(counts, "g_product_id").select(
         "g_product_id", F.lit(None).cast("string").alias("reason"), "stored_levels",
@@ -224,10 +268,10 @@ FROM hs, (""" + " UNION ALL ".join(f"SELECT {v.code} AS code" for v in C.VARIABL
 LATERAL (SELECT CASE {' '.join(f'WHEN code={k} THEN {x}' for k, x in _OF_LEVEL.items())} END AS x) v""")
 def exported_store(spark, sf_dir):
     """Loads a store, exports it, and reads the long table back."""
-    header, level, _ = _load(spark, sf_dir, again=False)
+    root = _load(spark, sf_dir, again=False)
     out = new_folder(spark, "exported")
     for _ in range(2):  # the second run finds nothing to do
-        exporting.export_store(spark, level, header, Q.nation_stations(spark, sf_dir), out)
+        exporting.export_store(spark, root, Q.nation_stations(spark, sf_dir), out)
     back = spark.read.parquet(out)
     value = F.round(F.nanvl(F.col("observation_value").cast("double"), F.lit(None)), 2)
     return back.select(
@@ -243,9 +287,9 @@ FILE_LIST = T.StructType([T.StructField("path", T.StringType()), T.StructField("
 @query("streamed_import_state", f"""WITH {Q.SURVIVORS}
 SELECT filename, left(reason,255) AS note FROM sv""")
 def streamed_import_state(spark, sf_dir):
-    """All archives arrive in four lots; the state after the last one."""
+    """All archives arrive in ten lots, with a snapshot after the eighth; the state after the last one."""
     base = new_folder(spark, "stream")
-    V.archive_files(spark, sf_dir).repartition(4, "length").write.parquet(f"{base}/arrivals")
+    V.archive_files(spark, sf_dir).repartition(10, "path").write.parquet(f"{base}/arrivals")
     arriving = spark.readStream.schema(FILE_LIST).option("maxFilesPerTrigger", 1).parquet(f"{base}/arrivals")
     incremental.start_planning(arriving, f"{base}/plan", f"{base}/checkpoint", "RS41").awaitTermination()
     return tracking.current_state(incremental.read_events(spark, f"{base}/plan")).select("filename", "note")

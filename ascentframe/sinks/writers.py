@@ -14,6 +14,7 @@ from ascentframe.operators import cdm
 from ascentframe.sources.archives import exists
 
 MONTH = ("year", "month")
+TILE = ("lat_tile", "lon_tile")
 #: The underscore keeps readers of the months from taking it for one.
 DICTIONARY = "_observed_variables"
 
@@ -24,9 +25,20 @@ def by_month(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *[F.col(name) for name in MONTH])
 
 
-def levels_by_month(base: DataFrame) -> DataFrame:
-    """Levels with an epoch ``report_timestamp``, gathered by month."""
-    return by_month(cdm.with_month(base)).drop(*MONTH)
+#: Order of the rows of one variable.
+IN_TIME = ("report_timestamp", "observation_id")
+WRITERS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+#: Files a task may write side by side: the variables of a dozen months.
+WRITERS = 15 * 12
+
+
+def levels_in_time(base: DataFrame) -> DataFrame:
+    """Levels dealt out by ranges of (time, observation), which Spark cuts from a sample, and sorted inside them.
+
+    Done before the levels are made long, so a fifteenth of the rows is shuffled and sorted; what is made of them keeps
+    their order.  A range holds few months, a large month many ranges.
+    """
+    return base.repartitionByRange(*IN_TIME).sortWithinPartitions(*IN_TIME)
 
 
 def append_levels(levels: DataFrame, path: str) -> None:
@@ -35,18 +47,14 @@ def append_levels(levels: DataFrame, path: str) -> None:
     by_month(rows).write.mode("append").partitionBy(*MONTH).parquet(path)
 
 
-def store_levels(levels: DataFrame, path: str, batch: str) -> None:
-    """Level rows of one batch by month; what the batch had there before is replaced."""
-    rows = levels.withColumns({"year": F.year("report_timestamp"), "month": F.month("report_timestamp")})
-    store_batch(by_month(rows), path, batch, MONTH)
-
-
-def store_batch(rows: DataFrame, path: str, batch: str, by: tuple[str, ...] = ()) -> None:
-    """Rows of one batch, in place of what it had there before."""
-    (
-        rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by, "batch").parquet(path)
-    )
+def write_run(rows: DataFrame, path: str, monthly: bool = False) -> T.StructType:
+    """Rows of one run in a new folder, by month of their report if asked; gives the schema they are read with."""
+    if monthly:
+        rows = rows.withColumns({"year": F.year("report_timestamp"), "month": F.month("report_timestamp")})
+        by_month(rows).write.partitionBy(*MONTH).parquet(path)
+    else:
+        rows.write.parquet(path)
+    return rows.schema
 
 
 def write_tab_text(df: DataFrame, path: str) -> None:
@@ -55,21 +63,21 @@ def write_tab_text(df: DataFrame, path: str) -> None:
 
 
 def write_long_table(long: DataFrame, path: str) -> None:
-    """Encoded long table by month, with its dictionary beside the months.  Months
-    that are written are replaced, the others stay (dynamic overwrite), so a re-run
-    is safe.  Rows are ordered by (variable, time, observation) inside each file.
-
-    The rows are written where they are: gather the levels by month before they are
-    made long (``levels_by_month``)."""
-    write_variable_dim(long.sparkSession, f"{path}/{DICTIONARY}")
+    """Encoded long table by month and variable, with its dictionary beside the months.  Months
+    that are written are replaced, the others stay (dynamic overwrite), so a re-run is safe.
+
+    The rows are written where they are, each to the file of its variable, and are not sorted: order the levels before
+    they are made long (``levels_in_time``).  Then the files of a month, by variable and by name, hold its rows in the
+    order of (variable, time, observation)."""
+    spark = long.sparkSession
+    write_variable_dim(spark, f"{path}/{DICTIONARY}")
     rows = cdm.with_month(cdm.encoded_long_table(long))
-    (
-        rows.sortWithinPartitions(*MONTH, "observed_variable", "report_timestamp", "observation_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*MONTH)
-        .parquet(path)
-    )
+    before = spark.conf.get(WRITERS_CONF)
+    spark.conf.set(WRITERS_CONF, str(WRITERS))  # a task's files stay open side by side, else Spark would sort the long rows
+    try:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH, "observed_variable").parquet(path)
+    finally:
+        spark.conf.set(WRITERS_CONF, before)
 
 
 def written_months(spark: SparkSession, path: str) -> DataFrame:
@@ -82,6 +90,17 @@ def written_months(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(months, "year int, month int")  # at most 12 per year
 
 
+def write_tiles(rows: DataFrame, path: str, degrees: float = C.TILE_DEGREES) -> None:
+    """Rows with a station position, laid out by latitude and longitude tile; tiles that are written are replaced, the
+    others stay.  A large tile is cut into many files, small ones are joined into one task.  Rows without a position lie
+    in the tile of missing values."""
+    tiled = cdm.with_tiles(rows, degrees)
+    (
+        tiled.hint("rebalance", *[F.col(name) for name in TILE])
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*TILE).parquet(path)
+    )
+
+
 def write_variable_dim(spark: SparkSession, path: str) -> None:
     cdm.variable_dim(spark).coalesce(1).write.mode("overwrite").parquet(path)
 

@@ -1,14 +1,23 @@
-"""Archive files: discovery and members."""
+"""Archive files: discovery and members.
+
+``read_members`` lists members from the tail of each archive: a Python data source opens the files where its partitions
+run and seeks to the end record and the directory, so an archive's data are never read.  ``list_members`` does the same
+on contents that Spark has read, for stores that only Spark can open.
+"""
 
 from __future__ import annotations
 
+import fnmatch
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FILES_SCHEMA = "path string, length long, modificationTime timestamp"
 MEMBERS_SCHEMA = "archive string, member string, ord int, size long, error string"
@@ -45,11 +54,93 @@ def read_archives(spark: SparkSession, root: str, pattern: str = "*.jar") -> Dat
     return files.select(F.col("path").alias("archive"), "content")
 
 
-def _entries(content: bytes):
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+def _entries(file):
+    with zipfile.ZipFile(file) as archive:
         return [(info.filename, info.file_size) for info in archive.infolist()]
 
 
+def _damage(name: str, exc: Exception) -> str:
+    return f"Corrupted zip file: {name} - {exc}"
+
+
+class _Counted:
+    """A file that counts the bytes read from it."""
+
+    def __init__(self, file):
+        self.file, self.bytes = file, 0
+        self.tell, self.seekable = file.tell, file.seekable
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self.file.seek(offset, whence)
+        except pa.ArrowInvalid as exc:  # before the start of a short file
+            raise OSError(str(exc)) from exc
+
+    def read(self, size: int = -1) -> bytes:
+        data = self.file.read(None if size < 0 else size)
+        self.bytes += len(data)
+        return data
+
+
+def open_store(path: str) -> tuple[fs.FileSystem, str]:
+    """File system of a path or URI and the path in it, without Spark."""
+    return fs.FileSystem.from_uri(re.sub("^file:/*", "file:///", path))
+
+
+class _Files(InputPartition):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
+
+
+class _MemberReader(DataSourceReader):
+    def __init__(self, root: str, pattern: str, at_once: int):
+        self.root, self.pattern, self.at_once = root, pattern, at_once
+
+    def partitions(self):
+        store, place = open_store(self.root)
+        found = store.get_file_info(fs.FileSelector(place, recursive=True, allow_not_found=True))
+        paths = sorted(f.path for f in found if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, self.pattern))
+        return [_Files(paths[k : k + self.at_once]) for k in range(0, len(paths), self.at_once)] or [_Files([])]
+
+    def read(self, partition: _Files):
+        store, _ = open_store(self.root)
+        for path in partition.paths:
+            name, counted = path.rsplit("/", 1)[-1], None
+            try:
+                with store.open_input_file(path) as file:
+                    counted = _Counted(file)
+                    found = _entries(counted)
+            except Exception as exc:  # any damage rejects this archive only
+                yield path, None, None, None, _damage(name, exc), counted.bytes if counted else 0
+                continue
+            for place, (member, size) in enumerate(found):
+                yield path, member, place, size, None, counted.bytes
+            if not found:
+                yield path, None, None, None, None, counted.bytes
+
+
+class MemberSource(DataSource):
+    """``spark.read.format("archive_members").option("pattern", "*.jar").load(root)``: one row per member of every archive
+    below ``root``.  A damaged archive gives one row with ``error``, an empty one a row without a member.  ``bytes_read`` is
+    what was read of the archive.  A partition takes ``filesPerPartition`` files; a root that is absent gives no rows."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "archive_members"
+
+    def schema(self) -> str:
+        return f"{MEMBERS_SCHEMA}, bytes_read long"
+
+    def reader(self, schema) -> DataSourceReader:
+        get = self.options.get
+        return _MemberReader(get("path"), get("pattern", "*.jar"), int(get("filesPerPartition", "256")))
+
+
+def read_members(spark: SparkSession, root: str, pattern: str = "*.jar") -> DataFrame:
+    spark.dataSource.register(MemberSource)
+    return spark.read.format(MemberSource.name()).option("pattern", pattern).load(root)
+
+
 def list_members(archives: DataFrame) -> DataFrame:
     """One row per archive member; a damaged archive gives one row with only
     ``error``.  Archives are opened where their partition lives."""
@@ -60,9 +151,9 @@ def list_members(archives: DataFrame) -> DataFrame:
             for archive, content in zip(batch.column("archive"), batch.column("content")):
                 name = archive.as_py()
                 try:
-                    found = _entries(content.as_py())
+                    found = _entries(io.BytesIO(content.as_py()))
                 except Exception as exc:  # any damage rejects this archive only
-                    out.append((name, None, None, None, f"Corrupted zip file: {name} - {exc}"))
+                    out.append((name, None, None, None, _damage(name, exc)))
                     continue
                 out += [(name, member, ord_, size, None) for ord_, (member, size) in enumerate(found)]
             cols = list(zip(*out)) if out else [[]] * 5

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,21 @@ def read_headers(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
+def read_box(spark: SparkSession, path: str, south: float, north: float, west: float, east: float,
+             degrees: float = C.TILE_DEGREES) -> DataFrame:
+    """Rows of a tiled table (``writers.write_tiles``) whose station lies in the box, borders included; only its tiles are
+    opened.  A box whose west is greater than its east reaches over the antimeridian."""
+    df = spark.read.parquet(path)
+    lat, lon = (F.col(f"`{axis}|station_configuration`") for axis in ("latitude", "longitude"))
+    low = {edge: int(math.floor(value / degrees) * degrees) for edge, value in (("s", south), ("n", north), ("w", west), ("e", east))}
+    rows = F.col("lat_tile").between(low["s"], low["n"]) & lat.between(south, north)
+    if west <= east:
+        columns = F.col("lon_tile").between(low["w"], low["e"]) & lon.between(west, east)
+    else:
+        columns = ((F.col("lon_tile") >= low["w"]) | (F.col("lon_tile") <= low["e"])) & ((lon >= west) | (lon <= east))
+    return df.where(rows & columns)
+
+
 def read_tab_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Tab-separated text with ``\\N`` for missing values, no header."""
     return spark.read.csv(path, sep="\t", nullValue="\\N", schema=schema, quote="", header=False)

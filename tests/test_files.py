@@ -58,6 +58,53 @@ def test_root_file_next_to_revisions_is_reported(spark):
     assert got == {"a.nc": "No revision, archive has revisions", "rev002/a.nc": None}
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_survivors_parse_every_name_once(spark):
+    plan = _plan(survivorship.select_survivors(files(spark, [name("RS-01", 1, 0, 1)])))
+    assert plan.count("regexp_replace(") == 1 and plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_a_launch_of_very_many_files_takes_the_aggregate_way(spark, hot_groups):
+    paths = [name("RS-0%d" % (i % 2 + 1), i % 7, i % 5, i) for i in range(60)] + [name("RS-01", 1, 0, 500 + i, "SYO", "2024010%dT000000" % (i % 9 + 1)) for i in range(20)]
+    rows = files(spark, [*paths, "/a/x.jar", "/b/x.jar"])
+    usual = sorted(map(tuple, survivorship.select_survivors(rows).collect()), key=repr)
+    hot_groups(10)
+    assert sorted(map(tuple, survivorship.select_survivors(rows).collect()), key=repr) == usual
+
+
+def test_outcome_of_archives_folds_states(spark):
+    listed = spark.createDataFrame(
+        [("a", "rev001/x.nc", 0), ("a", "rev003/x.nc", 1), ("a", "rev003/y.nc", 2), ("a", "rev001/z_rev003.nc", 3), ("a", "rev004x/q.nc", 4),
+         ("b", "rev002/only.txt", 0), ("b", "rev001/x.nc", 1), ("c", "s.nc", 0), ("c", "t.nc", 1), ("c", "t.nc", 5), ("c", "u/v_rev009.nc", 2),
+         ("d", "read.me", 0), ("e", None, None), ("f", "n_rev002.nc", 0), ("f", "n_rev001.nc", 1), ("f", "n.nc", 2)],
+        "archive string, member string, ord int")
+    tried = spark.createDataFrame(
+        [("a", "rev003/x.nc", 1, True, None), ("a", "rev003/y.nc", 1, False, "bad y"), ("a", "rev003/y.nc", 2, True, None),
+         ("a", "rev001/z_rev003.nc", 1, True, None), ("c", "s.nc", 1, False, "bad s"), ("c", "t.nc", 1, False, None), ("f", "n_rev002.nc", 3, True, None),
+         ("f", "n_rev002.nc", 3, False, "late"), ("zz", "not listed.nc", 1, True, None)],
+        "archive string, member string, attempt int, loaded boolean, reason string")
+    broken = spark.createDataFrame([("g", "Corrupted"), ("c2", None)], "archive string, error string")
+    got = {r["archive"]: (r["success"], r["note"]) for r in importing.process_archives(listed, tried, broken).collect()}
+    assert got == {
+        "a": (True, "Successfully processed 3 data files. from revision rev003. Skipped 1 files from older revisions."),
+        "b": (False, "No valid data files to process after revision filtering in b"),
+        "c": (False, "bad s"), "d": (False, "No data files found in d"),
+        "f": (False, "late. Skipped 1 files from older revisions"), "g": (False, "Corrupted"),
+    }
+    plain = tried.where("attempt = 1 AND loaded").select("archive", "member", "reason")
+    assert {r["archive"]: r["success"] for r in importing.process_archives(listed, plain).collect()}["a"] is False
+
+
+def test_outcome_plan_has_two_scans_and_three_exchanges(spark):
+    from ascentframe.queries import QUERIES
+
+    plan = _plan(QUERIES["archive_outcomes"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan") <= 2 and plan.count("Exchange hashpartitioning") <= 3 and "Join" not in plan
+
+
 def test_archives_on_disk(spark, tmp_path):
     folder = tmp_path / "LIN-RS-01" / "2024"
     folder.mkdir(parents=True)
@@ -80,8 +127,38 @@ def test_archives_on_disk(spark, tmp_path):
     assert [(r["archive"], r["reason"]) for r in none] == [("empty.jar", "No data files found in empty.jar")]
 
 
+def test_members_are_listed_from_the_tail(spark, tmp_path):
+    folder = tmp_path / "LIN-RS-01" / "20 24"
+    folder.mkdir(parents=True)
+    for k in range(5):
+        with zipfile.ZipFile(folder / f"big{k}.jar", "w") as z:
+            z.writestr("rev001/a.nc", b"x" * 300_000)
+            z.writestr("rev002/é.nc", b"123")
+    with zipfile.ZipFile(folder / "empty.jar", "w"):
+        pass
+    with zipfile.ZipFile(folder / "commented.jar", "w") as z:
+        z.writestr("a.nc", b"y" * 300_000)
+        z.comment = b"c" * 500
+    (folder / "bad.jar").write_bytes(b"PK no zip" * 50_000)
+    (folder / "none.jar").write_bytes(b"")
+    (folder / "other.txt").write_text("x")
+    rows = archives.read_members(spark, str(tmp_path)).withColumn("archive", F.substring_index("archive", "/", -1)).collect()
+    got = {(r["archive"], r["member"]): (r["ord"], r["size"]) for r in rows if r["member"]}
+    assert got == {("commented.jar", "a.nc"): (0, 300_000)} | {
+        (f"big{k}.jar", m): x for k in range(5) for m, x in (("rev001/a.nc", (0, 300_000)), ("rev002/é.nc", (1, 3)))}
+    assert all(r["bytes_read"] < 400 for r in rows if r["archive"].startswith("big"))
+    assert all(r["bytes_read"] < 70_000 for r in rows)
+    assert sorted(r["archive"] for r in rows if r["error"]) == ["bad.jar", "none.jar"]
+    assert [(r["member"], r["error"]) for r in rows if r["archive"] == "empty.jar"] == [(None, None)]
+    spread = spark.read.format("archive_members").option("filesPerPartition", "2").load(str(tmp_path))
+    assert spread.rdd.getNumPartitions() == 5 and spread.count() == len(rows)
+    both = archives.list_members(archives.read_archives(spark, str(tmp_path))).where("member IS NOT NULL")
+    assert {(r["archive"].split("/")[-1], r["member"]): (r["ord"], r["size"]) for r in both.collect()} == got
+
+
 def test_missing_root_is_empty(spark, tmp_path):
     assert archives.discover(spark, str(tmp_path / "nowhere")).count() == 0
+    assert archives.read_members(spark, str(tmp_path / "nowhere")).count() == 0
 
 
 def state(spark, rows):

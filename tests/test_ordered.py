@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ascentframe.operators.ordered import per_group
+from ascentframe.operators.ordered import Group, per_group
 
 
 def rows(seed=5, hot=400):
@@ -104,3 +104,44 @@ def test_cuts_follow_the_rows_not_the_width(spark, hot_groups):
     df = spark.range(4000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, 1e15).otherwise(F.col("id") / 1e6).alias("x"))
     sizes = per_group(df, ["k"], [F.asc("x")], lambda g: g.df.withColumn("part", F.spark_partition_id()))
     assert sizes.groupBy("part").count().agg(F.max("count")).first()[0] < 800
+
+
+def _reach(df, limit, hot_groups, spark):
+    if limit:
+        hot_groups(limit)
+
+    def work(group):
+        group = group.number("n")
+        return group.reach_ahead("alt", 2000.0, ["n", "alt"], "up", F.lit(True), "n")
+
+    return per_group(df, ["k"], [F.asc("alt"), F.asc("id")], work).select("k", "id", "up.n", F.col("up.alt").alias("to"))
+
+
+def test_very_many_rows_at_one_altitude_are_cut(spark, hot_groups, monkeypatch):
+    """Two million rows at one altitude: the plain answer, and no range much over the limit."""
+    limit, count = 100_000, 2_000_000
+    sizes = []
+    dealt = Group._dealt_on_axis
+
+    def watched(self, both, position):
+        out = dealt(self, both, position)
+        sizes.append(out.groupBy("k", "_range").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(Group, "_dealt_on_axis", watched)
+    df = spark.range(count).select(F.lit(1).alias("k"), "id", F.lit(500.0).alias("alt")).unionByName(
+        spark.createDataFrame([(1, count, 2499.0), (1, count + 1, 2500.0), (1, count + 2, 2500.0), (1, count + 3, 4499.5)], "k int, id long, alt double"))
+    out = _reach(df, limit, hot_groups, spark)
+    got = out.groupBy("n", "to").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("first")).collect()
+    assert {(r["n"], r["to"]): (r["rows"], r["first"]) for r in got} == {
+        (count + 2, 2500.0): (count, 0), (count + 4, 4499.5): (1, count), (None, None): (3, count + 1)}
+    assert sizes and max(sizes) <= limit
+
+
+@pytest.mark.parametrize("limit", [7, 40])
+def test_reach_is_the_same_on_both_paths(spark, hot_groups, limit):
+    rows = [(k, i, None if i % 11 == 0 else float([100 * (i // 3), 500, 1000 * (i % 4), 37 * i][k])) for k in range(4) for i in range(120)]
+    df = spark.createDataFrame(rows, "k int, id long, alt double")
+    usual = sorted(map(tuple, _reach(df, None, hot_groups, spark).collect()), key=repr)
+    cut = sorted(map(tuple, _reach(df, limit, hot_groups, spark).collect()), key=repr)
+    assert cut == usual and any(r[2] for r in usual)

@@ -1,6 +1,6 @@
 """Long table, catalogue, reconciliation, stations, sinks."""
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ascentframe import contracts as C
 from ascentframe.operators import catalog, cdm, reconcile, schema, stations
 from ascentframe.plans import exporting, verifying
-from ascentframe.sinks import writers
+from ascentframe.sinks import snapshots, writers
 from ascentframe.sources import html, tables
 
 
@@ -88,10 +88,11 @@ def test_export_reads_only_its_months_and_deals_out_before_the_explode(spark, st
     writers.append_levels(levels, str(tmp_path / "levels"))
     stored = spark.read.parquet(str(tmp_path / "levels"))
     long = exporting.build_long_table(exporting.in_months(stored, [(2021, 1)]), exporting.in_months(headers, [(2021, 1)]), dim,
-                                      arrange=writers.levels_by_month)
+                                      arrange=writers.levels_in_time)
     plan = _plan(long)
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan and "month" in plan.split("PartitionFilters: [")[1][:80]
     assert plan.index("Generate") < plan.index("Exchange") and "Exchange" not in plan[: plan.index("Generate")]
+    assert "Sort" not in plan[: plan.index("Generate")] and plan.index("Sort") < plan.index("rangepartitioning")
     assert {r["report_id"] for r in long.collect()} == {2}
     assert exporting.month_runs([(2020, 12), (2021, 1), (2021, 3)]) == [
         ("2020-12-01 00:00:00", "2021-02-01 00:00:00"), ("2021-03-01 00:00:00", "2021-04-01 00:00:00")]
@@ -99,12 +100,15 @@ def test_export_reads_only_its_months_and_deals_out_before_the_explode(spark, st
 
 def test_export_of_a_store_writes_the_dictionary(spark, store, tmp_path):
     levels, headers, dim = store
-    writers.append_levels(levels, str(tmp_path / "levels"))
-    headers.write.parquet(str(tmp_path / "headers"))
-    out = str(tmp_path / "long")
-    done = exporting.export_store(spark, str(tmp_path / "levels"), str(tmp_path / "headers"), dim, out)
+    root, out = str(tmp_path / "store"), str(tmp_path / "long")
+    schemas = {
+        name: writers.write_run(rows, snapshots.folder(root, name, "a", "1"), monthly=name == "levels")
+        for name, rows in (("levels", levels), ("headers", headers))
+    }
+    snapshots.publish(spark, root, "a", "1", schemas)
+    done = exporting.export_store(spark, root, dim, out)
     assert sorted(map(tuple, done.collect())) == [(2020, 12), (2021, 1)]
-    assert exporting.export_store(spark, str(tmp_path / "levels"), str(tmp_path / "headers"), dim, out).count() == 0
+    assert exporting.export_store(spark, root, dim, out).count() == 0
     assert spark.read.parquet(f"{out}/{writers.DICTIONARY}").count() == len(C.VARIABLES)
     assert spark.read.parquet(out).count() == 3 * 15
 
@@ -168,32 +172,87 @@ def test_profile_filters_reach_the_scan(spark, store, tmp_path):
     assert pushed.startswith("IsNotNull(") and "DataFilters: [isnotnull(" in plan
 
 
-@pytest.mark.parametrize("actual, status", [(10.005, "OK"), (10.02, "ERR"), (float("nan"), None)])
-def test_profile_tolerance(spark, actual, status):
+@pytest.mark.parametrize("actual, status, lax", [(10.005, "OK", "OK"), (10.02, "ERR", "ERR"), (float("nan"), "ERR", None), (None, "ERR", None)])
+def test_profile_tolerance(spark, actual, status, lax):
     exp = spark.createDataFrame([(1, 1, 10.0)], "k int, pos int, t double")
     act = spark.createDataFrame([(1, 1, actual)], "k int, pos int, t double")
     rows = reconcile.compare_profiles(exp, act, ["k", "pos"], ["t"], "k").collect()
-    assert [r["status"] for r in rows] == ([status] if status else [])
-    if status == "ERR":
+    assert [r["status"] for r in rows] == [status]
+    if lax == "ERR":
         assert rows[0]["max_diff"] == pytest.approx(0.02)
+    rows = reconcile.compare_profiles(exp, act, ["k", "pos"], ["t"], "k", both_sides_only=True).collect()
+    assert [r["status"] for r in rows] == ([lax] if lax else [])
+    assert reconcile.compare_profiles(act.withColumn("t", F.lit(float("nan"))), act.withColumn("t", F.lit(None).cast("double")), ["k", "pos"], ["t"], "k").count() == 0
+
+
+def _levels(spark, rows):
+    return spark.createDataFrame(rows, "k long, id long, t double, p double")
+
+
+@pytest.mark.parametrize("limit", [None, 3])
+def test_digests_leave_the_comparison_as_it_is(spark, hot_groups, limit):
+    if limit:
+        hot_groups(limit)
+    base = [(k, 100 * k + i, float(i), None if i == 2 else -0.0) for k in range(1, 13) for i in range(5)]
+    change = {
+        2: lambda r: (*r[:2], r[2] + 0.005, r[3]), 3: lambda r: (*r[:2], None, r[3]), 4: lambda r: None,
+        5: lambda r: r if r[1] % 100 != 2 else None, 6: lambda r: (r[0], 507 + 100 * 5 - r[1], r[2], r[3]),  # reversed
+        7: lambda r: (r[0], r[1] + 77, r[2], r[3]), 8: lambda r: (r[0], 3 * r[1], r[2], r[3]), 9: lambda r: (*r[:3], 0.0 if r[3] == 0 else float("nan")),
+        10: lambda r: (*r[:2], 9.0, r[3]) if r[1] % 100 == 4 else r,
+    }
+    stored = [x for r in base if (x := change.get(r[0], lambda r: r)(r))] + [(99, 1, 1.0, 1.0), (None, 1, 1.0, 1.0)]
+    e, a = _levels(spark, base + [(None, 1, 1.0, 2.0)]), _levels(spark, stored)
+    plain = reconcile.compare_profiles(reconcile.positioned(e, "k", "id"), reconcile.positioned(a, "k", "id"), ["k", "pos"], ["t", "p"], "k")
+    columns = sorted(plain.columns)
+    fast = reconcile.compare_levels(e, a, "k", "id", ["t", "p"])
+    rows = lambda df: sorted((tuple(r) for r in df.select(columns).collect()), key=repr)
+    assert rows(fast) == rows(plain)
+    apart = {1: False, 2: True, 3: True, 4: True, 5: True, 6: True, 7: False, 8: True, 9: False, 10: True, 11: False, 12: False}
+    mine, theirs = (reconcile.digested(x, "k", "id", ["t", "p"]).where("k < 13") for x in (e, a))
+    met = mine.join(theirs.select("k", F.col("digest").alias("other")), "k", "left").select("k", ~F.coalesce(F.col("digest") == F.col("other"), F.lit(False)))
+    assert dict(map(tuple, met.collect())) == apart
+
+
+def test_equal_tables_exchange_one_row_a_sounding(spark):
+    rows = spark.range(4000).selectExpr("id % 10 AS k", "id", "CAST(id * 0.5 AS DOUBLE) AS t", "1D AS p").repartition(2)
+    out = reconcile.compare_levels(rows, rows, "k", "id", ["t", "p"])
+    assert "Window" not in _plan(out) and out.count() == 20 and out.where("status <> 'OK' OR compared <> 400").count() == 0
+
+
+def test_levels_that_differ_are_shuffled_once(spark):
+    rows = spark.range(4000).selectExpr("id % 10 AS k", "id", "CAST(id * 0.5 AS DOUBLE) AS t")
+    out = reconcile.compare_levels(rows, rows.withColumn("t", F.col("t") + 1), "k", "id", ["t"])
+    assert _plan(out).count("Exchange hashpartitioning") == 1 and out.where("off = 400").count() == 10
 
 
 @pytest.mark.parametrize(
     "name, expected, actual, match",
-    [("a", "12.5 hPa", "12.50001", True), ("a", "12.5", "12.6", False), ("a", "x ", " x", True), ("a", "x", "y", False),
+    [("a", "12.5 hPa", "12.50001 hPa", True), ("a", "12.5", "12.50001", True), ("a", "12.5 hPa", "12.50001", False), ("a", "12.5", "12.6", False),
+     ("a", "x ", " x", True), ("a", "x", "y", False), ("a", "5", "5 km", False),
      ("starttime", "2024-01-01 00:00:00", "2024-01-01 00:00:00.5", True),
      ("starttime", "2024-01-01 00:00:00", "2024-01-01 00:00:02", False), ("a", None, None, True), ("a", "1", None, False)],
 )
 def test_header_ladder(spark, name, expected, actual, match):
     df = spark.createDataFrame([(name, expected, actual)], "n string, e string, a string")
-    assert df.select(reconcile.header_match(F.col("n"), F.col("e"), F.col("a")).alias("m")).first()["m"] is match
+    assert df.select(reconcile.header_match(F.col("n"), F.col("e"), F.col("a"), F.lit(True)).alias("m")).first()["m"] is match
 
 
 def test_header_texts_that_only_share_digits_differ(spark):
-    pairs = [("N3 x", "S3"), ("RS41", "IMS41"), ("12 m", "12 km"), ("12 m", "12"), ("1e2", "100 K")]
+    pairs = [("N3 x", "S3"), ("RS41", "IMS41"), ("12 m", "12 km"), ("12 m", "12"), ("1e2", "100 K"), ("007", "7"), ("1.10", "1.1"), ("7", " 7 ")]
     df = spark.createDataFrame(pairs, "e string, a string")
     rows = df.select(reconcile.header_match(F.lit("serial"), F.col("e"), F.col("a")).alias("m")).collect()
-    assert [r.m for r in rows] == [False, False, False, True, True]
+    assert [r.m for r in rows] == [False] * 7 + [True]
+    rows = df.select(reconcile.header_match(F.lit("height"), F.col("e"), F.col("a"), F.lit(True)).alias("m")).collect()
+    assert [r.m for r in rows] == [False] * 5 + [True] * 3
+
+
+def test_numeric_header_columns_are_known_by_their_type(spark):
+    e = spark.createDataFrame([(1, "1.10", "7")], "k int, version string, height string")
+    a = spark.createDataFrame([(1, "1.1", 7.0)], "k int, version string, height double")
+    got = {r["column_name"]: r["status"] for r in reconcile.compare_headers(e, a, "k", ["version", "height"]).collect()}
+    assert got == {"version": "ERR", "height": "OK"}
+    got = {r["column_name"]: r["status"] for r in reconcile.compare_headers(e, a, "k", ["version", "height"], ["version"]).collect()}
+    assert got == {"version": "OK", "height": "ERR"}
 
 
 def test_verify_reports_missing_and_differing(spark):
@@ -246,6 +305,68 @@ def test_mandatory_and_required(spark):
     assert contract == T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
 
 
+def test_a_launch_is_read_by_its_slice(spark, tmp_path):
+    levels = spark.range(6000).select(
+        (F.col("id") % 30).alias("g_product_id"), ((F.col("id") % 30) * 1000 + F.floor(F.col("id") / 30)).alias("observation_id"),
+        F.expr("timestamp'2020-12-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 30 AS INT))").alias("report_timestamp"),
+        (F.col("id") * 1.0).alias("temp"), (6000.0 - F.col("id")).alias("alt"))
+    headers = spark.range(30).select(F.col("id").alias("g_product_id"), F.concat(F.lit("S"), F.col("id") % 3).alias("g_site_name"))
+    path = str(tmp_path / "long")
+    exporting.export_months(levels, headers, spark.createDataFrame([], "id int, idstation string"), path, months_of=levels)
+    catalog.write_launch_index(spark, path)
+    index = catalog.launch_index(spark, path)
+    assert index.count() == 30 * 15 and index.where("rows <> 200 OR end_idx - start_idx <> 200").count() == 0
+    seven = int(datetime(2020, 12, 8, tzinfo=timezone.utc).timestamp())
+    out = catalog.launch_slice(spark, path, "S1", seven, 126)
+    assert len(out.inputFiles()) == 1 and len(spark.read.parquet(path).inputFiles()) >= 15
+    rows = out.collect()
+    assert [r["z_coordinate"] for r in rows] == sorted(5993.0 - 30 * k for k in range(200))
+    assert rows[0]["observation_value"] == 5977.0
+    plan = _plan(out)
+    assert "row_index" in plan and "PushedFilters: [IsNotNull(" in plan
+    assert catalog.launch_slice(spark, path, "S2", seven, 126).count() == 0 and catalog.launch_slice(spark, path, "S1", seven, 9).count() == 0
+
+
+@pytest.mark.parametrize("limit", ["180", "3"])
+def test_rows_of_a_month_are_in_order_over_its_files(spark, store, tmp_path, monkeypatch, limit):
+    """Also where a task has more files than it may keep open, which makes Spark sort the rest."""
+    monkeypatch.setattr(writers, "WRITERS", int(limit))
+    levels, headers, dim = store
+    many = spark.range(3000).select(
+        (F.col("id") % 2 + 1).alias("g_product_id"), ((F.col("id") * 7919) % 3000).alias("observation_id"),
+        F.expr("timestamp'2020-12-31 00:00:00' + make_interval(0, 0, 0, 0, CAST((id * 7919) % 3000 DIV 40 AS INT))").alias("report_timestamp"),
+        (F.col("id") * 1.0).alias("temp"), F.lit(1.0).alias("alt")).repartition(5)
+    path = str(tmp_path / "long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        exporting.export_months(many, headers, dim, path, months_of=many)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = spark.read.parquet(path).select("year", "month", "observed_variable", "report_timestamp", "observation_id",
+                                           "_metadata.file_name", "_metadata.row_index").collect()
+    assert len(rows) == 15 * 3000 and len({(r.year, r.month) for r in rows}) == 2 and len({r.file_name for r in rows}) > 3
+    for month in (1, 12):
+        own = sorted((r for r in rows if r.month == month), key=lambda r: (r.observed_variable, r.file_name, r.row_index))
+        places = [(r.observed_variable, r.report_timestamp, r.observation_id) for r in own]
+        assert places == sorted(places)
+    assert spark.conf.get(writers.WRITERS_CONF) == "0"
+
+
+def test_boxes_open_only_their_tiles(spark, tmp_path):
+    path = str(tmp_path / "tiles")
+    names = "`latitude|station_configuration` double, `longitude|station_configuration` double, id int"
+    places = [(52.2, 14.1, 1), (47.0, 179.5, 2), (47.0, -179.5, 3), (-45.0, 169.7, 4), (None, 10.0, 5), (50.0, 20.0, 6), (49.99, 20.0, 7)]
+    writers.write_tiles(spark.createDataFrame(places, names), path)
+    box = lambda *edges: tables.read_box(spark, path, *edges)
+    ids = lambda *edges: sorted(r["id"] for r in box(*edges).collect())
+    assert ids(45, 55, 10, 20) == [1, 6, 7] and ids(50, 55, 10, 20) == [1, 6] and ids(-90, 90, -180, 180) == [1, 2, 3, 4, 6, 7]
+    assert ids(40, 48, 175, -175) == [2, 3] and ids(-50, -45, 160, 170) == [4]
+    plan = _plan(box(45, 55, 10, 20))
+    assert "PartitionFilters: [isnotnull(lat_tile" in plan and len(box(45, 55, 10, 20).inputFiles()) >= 3
+    writers.write_tiles(spark.createDataFrame([(52.0, 14.0, 9)], names), path)  # its tile is replaced, the others stay
+    assert ids(-90, 90, -180, 180) == [2, 3, 4, 6, 7, 9]
+
+
 def test_tiles(spark):
     df = spark.sql("SELECT 52.2D AS `latitude|station_configuration`, -3.1D AS `longitude|station_configuration`")
     row = cdm.with_tiles(df).first()
