@@ -171,11 +171,21 @@ def read_learned(formatted: Column, loss: Column) -> Column:
     ))[0]
 
 
-def digests(formatted: DataFrame) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars, read back from formatted texts."""
+def digests(formatted: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars, read back from formatted texts.
+
+    `also`: n_attachments, expanded_tokens, attachments_sha256 (kind:ref:tokens:turn of each, with commas).
+    """
     text = F.col("formatted")
+    told = F.transform("attachments", lambda a: F.concat(
+        a["kind"], F.lit(":"), F.coalesce(a["ref"], F.lit("")), F.lit(":"), a["tokens"].cast("string"), F.lit(":"), a["segment"].cast("string")))
+    more = {
+        "n_attachments": F.size("attachments"), "expanded_tokens": F.col("expanded_tokens"),
+        "attachments_sha256": F.sha2(F.array_join(told, ",").cast("binary"), 256),
+    }
     return formatted.select(
-        "conv_id", text, read_turns(text).alias("turns"), F.array_join(read_learned(text, F.col("loss")), "").alias("learned")
+        "conv_id", text, read_turns(text).alias("turns"), F.array_join(read_learned(text, F.col("loss")), "").alias("learned"),
+        *[more[name].alias(name) for name in also],
     ).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
@@ -183,4 +193,5 @@ def digests(formatted: DataFrame) -> DataFrame:
         F.length("learned").cast("long").alias("loss_chars"),
         F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        *also,
     )

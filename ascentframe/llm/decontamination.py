@@ -138,7 +138,8 @@ def find(docs: DataFrame, items: DataFrame, share: float = CONTAINMENT) -> DataF
     """Rows (doc_id, item_id, item_shingles, shared, containment): documents that hold the share of an item or more.
 
     Shingles are five words (all words of a shorter item), each counted once. NULL and wordless texts or items match
-    nothing. A document or item row that occurs twice gives its rows twice. Without items the result is empty.
+    nothing. A document or item row that occurs twice gives its rows twice. Texts of any length are searched whole. Without
+    items or documents the result is empty.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

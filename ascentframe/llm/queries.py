@@ -43,16 +43,16 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-_ITEM_SHINGLES_SQL = """
-select {id}, list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) as s
-from (select {id}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') as w from {table}) where len(w) >= 5
-"""
+_WORDS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+_SHINGLES_SQL = "list_distinct(list_transform(range(1, len(w) - width + 2), lambda i: array_to_string(w[i:i + width - 1], ' ')))"
 
 OP4_SQL = f"""
-with d as ({_ITEM_SHINGLES_SQL.format(id="doc_id", table="documents")}),
-b as ({_ITEM_SHINGLES_SQL.format(id="item_id", table="benchmark")}),
-n as (select doc_id, item_id, count(*) as shared
-      from (select doc_id, unnest(s) as x from d) join (select item_id, unnest(s) as x from b) using (x) group by 1, 2)
+with b as (select item_id, width, {_SHINGLES_SQL} as s from (
+  select item_id, w, least(5, len(w)) as width from (select item_id, {_WORDS_SQL} as w from benchmark)) where width > 0),
+d as (select doc_id, width, {_SHINGLES_SQL} as s from (select doc_id, {_WORDS_SQL} as w from documents), (select distinct width from b)
+  where len(w) >= width),
+n as (select doc_id, item_id, count(*) as shared from (select doc_id, width, unnest(s) as x from d)
+  join (select item_id, width, unnest(s) as x from b) using (width, x) group by 1, 2)
 select doc_id, item_id, len(s)::int as item_shingles, shared::int as shared, shared / len(s)::double as containment
 from n join b using (item_id) where shared >= 0.8 * len(s)
 """
@@ -85,18 +85,67 @@ select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, segment)) as turns_sha256,
   sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn nulls first, role, segment) filter (role = 'assistant'), '')) as loss_sha256,
-  sum(length(segment))::bigint as formatted_chars
+  sum(length(segment))::bigint as formatted_chars, 0 as n_attachments, 0::bigint as expanded_tokens
 from e group by conv_id
 """
 
+_SAYS = "'</s>[INST] ok [/INST]'"
+
 
 @query("op3_chat_formatting", OP3_SQL)
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    says = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], rows.schema)
+    extra = spark.sql(f"select * from values (-7, 0, 'user', {_SAYS}), (-7, 1, 'assistant', {_SAYS}) as t(conv_id, turn, role, text)")
     messages = rows.unionAll(extra).select("conv_id", "turn", "role", F.array(chat.text_part(F.col("text"))).alias("parts"))
-    return chat.digests(chat.format_conversations(messages))
+    return chat.digests(chat.format_conversations(messages), also=("n_attachments", "expanded_tokens"))
+
+
+_ESCAPED = r"regexp_replace({}, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')"
+
+CHAT_PARTS_SQL = f"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as t, length(coalesce(text, '')) as n from conversations),
+e as (select *, left(t, n // 2) as a, substring(t, n // 2 + 1) as b,
+    ceil((n % 500 + 1) / 28) * ceil((conv_id % 300) / 28) + 2 as image, ceil(n * 13 / 40) as audio, conv_id % 7 * 256 as pages,
+    case when turn % 2 = 1 then '<|audio|>' else '' end || case when turn % 3 = 2 then '<|document|>' else '' end as tail from c),
+s as (select *, a || '<|image|>' || b || tail as body, '<|turn|>' || {_ESCAPED.format("role")} || '<|body|>' || {_ESCAPED.format("a")}
+    || '<|image|>' || {_ESCAPED.format("b")} || tail || '<|end|>' as segment from e),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, segment) - 1 as place from s),
+r as (select conv_id, place, 'image:img-' || turn || ':' || image::bigint || ':' || place
+    || case when turn % 2 = 1 then ',audio::' || audio::bigint || ':' || place else '' end
+    || case when turn % 3 = 2 then ',document:doc.pdf:' || pages || ':' || place else '' end as refs,
+    1 + (turn % 2 = 1)::int + (turn % 3 = 2)::int as n_refs,
+    (image + case when turn % 2 = 1 then audio else 0 end + case when turn % 3 = 2 then pages else 0 end)::bigint as tokens from o)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || body || chr(10), '' order by place)) as turns_sha256,
+  sum(case when role = 'assistant' then length(body) else 0 end)::bigint as loss_chars,
+  sha256(coalesce(string_agg(body, '' order by place) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(length(segment))::bigint as formatted_chars, sum(n_refs)::int as n_attachments, sum(tokens)::bigint as expanded_tokens,
+  sha256(string_agg(refs, ',' order by place)) as attachments_sha256
+from o join r using (conv_id, place) group by conv_id
+"""
+
+
+@query("chat_typed_parts", CHAT_PARTS_SQL)
+def chat_typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, every message with an image in the middle of its text, some with audio and documents behind."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("t"))
+    conv, turn, size = F.col("conv_id"), F.col("turn"), F.length("t")
+    half = F.floor(size / 2).cast("int")
+
+    def part(kind: str, ref=None, **sizes):
+        kinds = {"width": "int", "height": "int", "millis": "long", "pages": "int"}
+        return F.struct(
+            F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("text"), (F.lit(None) if ref is None else ref).cast("string").alias("ref"),
+            *[sizes.get(name, F.lit(None)).cast(k).alias(name) for name, k in kinds.items()])
+
+    parts = F.array(
+        chat.text_part(F.substring("t", F.lit(1), half)),
+        part("image", F.concat(F.lit("img-"), turn.cast("string")), width=size % 500 + 1, height=conv % 300),
+        chat.text_part(F.substring("t", half + 1, size)),
+        F.when(turn % 2 == 1, part("audio", millis=size * 13)),
+        F.when(turn % 3 == 2, part("document", F.lit("doc.pdf"), pages=conv % 7)),
+    )
+    messages = rows.select("conv_id", "turn", "role", F.filter(parts, lambda p: p.isNotNull()).alias("parts"))
+    return chat.digests(chat.format_conversations(messages), also=("n_attachments", "expanded_tokens", "attachments_sha256"))
 
 
 OP5_SQL = r"""
