@@ -12,6 +12,8 @@ from ascentframe.session import ensure_checkpoint_dir
 GAPS = "\t\n\v\f\r"
 #: A side of a join is broadcast up to so many rows of one or two numbers (some 32 bytes each in a task).
 BROADCAST_ROWS = 2_000_000
+#: Rows are handed to Python in batches of so many bytes and rows, where `small_batches` was asked for.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +42,13 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands rows to Python in batches of a few megabytes: whole texts come by thousands otherwise,
+    and a worker that has held such a batch stays that large beside the next one's heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def sized(frame: DataFrame, rows: int) -> DataFrame:
     """A join side with a broadcast hint if its counted rows allow it; Spark chooses otherwise."""
     return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame

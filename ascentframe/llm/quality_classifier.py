@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
-from ascentframe.llm.common import cut
+from ascentframe.llm.common import cut, sized
 
 STATISTICS = (
     "log_words", "log_chars", "word_length", "distinct_share", "top_word_share", "repeated_pair_share", "line_words",
@@ -179,10 +179,16 @@ def remainder(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (doc_id, ...) that a model may learn from, with their label and remainder (never 2)."""
+    marks = cut(labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality")))
+    usable = rows.withColumn("part", remainder(F.col("doc_id"))).where("part != 2")
+    return usable.join(sized(marks, marks.count()), "doc_id")
+
+
 def learn(stats: DataFrame, labels: DataFrame) -> Model:
     """Model from labelled rows of (doc_id, stats): remainders 0 and 1 fit, 3 calibrates, 2 is never looked at."""
-    marks = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    known = cut(stats.select("doc_id", "stats").withColumn("part", remainder(F.col("doc_id"))).where("part != 2").join(marks, "doc_id"))
+    known = cut(_labelled(stats.select("doc_id", "stats"), labels))
     return fit(known.where("part in (0, 1)"), known.where("part = 3"))
 
 
@@ -201,7 +207,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of `docs`, unchanged, whose score reaches the limit."""
-    stats = docs.select("doc_id", document_statistics("text").alias("stats"))
-    scores = scorer(learn(stats, labels))
+    """Rows of `docs`, unchanged, whose score reaches the limit.
+
+    Statistics are worked out once for every row that is scored, and before that for the labelled rows alone.
+    """
+    known = _labelled(docs.select("doc_id", "text"), labels).select("doc_id", "quality", "part", document_statistics("text").alias("stats"))
+    known = cut(known)
+    scores = scorer(fit(known.where("part in (0, 1)"), known.where("part = 3")))
     return docs.where(scores(document_statistics("text")) >= POSITIVE)

@@ -96,7 +96,8 @@ def roots(edges: DataFrame) -> DataFrame:
 def label(prints: DataFrame) -> DataFrame:
     """(fp, least, root, component_id) for each distinct fingerprint of `prints` (doc_id, fp): its least doc_id, the
     least fingerprint of its component, and the least doc_id of its component."""
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    # few bytes, but each row emits its whole ball: dealt out over all tasks
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).repartition("fp"))
     tree = roots(links(distinct))
     placed = distinct.join(tree.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
@@ -119,23 +120,21 @@ def components(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with all its columns: the one with the least doc_id.
 
-    NULL ids come last; of rows with that id the least fingerprint stays, and of rows that agree in both one stays.
+    NULL ids come last; of rows with that id the least fingerprint stays, then the least row number (a hash of all columns),
+    and of rows that agree in every column one stays. Fingerprints are worked out once, on narrow rows; whole rows meet the
+    chosen ones by id and number.
     """
-    prints = cut(docs.select("doc_id", fingerprints("text").alias("fp")))
-    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first")
-    keys = ["__fp", "__none", "__id"]
-    stay = (
-        label(prints)
-        .groupBy("root")
-        .agg(first)
-        .select(F.col("first.fp").alias("__fp"), F.col("first.none").alias("__none"), F.coalesce("first.least", F.lit(0)).alias("__id"))
+    number = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    prints = cut(docs.select("doc_id", number.alias("row"), fingerprints("text").alias("fp")))
+    named = label(prints.select("doc_id", "fp")).select("fp", "root")
+    ranked = prints.join(named, "fp").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "fp", "row")).alias("first")
     )
+    keys = ["__none", "__id", "__row"]
+    stay = ranked.select(F.col("first.none").alias("__none"), F.col("first.id").alias("__id"), F.col("first.row").alias("__row"))
     keyed = docs.select(
-        "*",
-        fingerprints("text").alias("__fp"),
-        F.col("doc_id").isNull().alias("__none"),
-        F.coalesce(F.col("doc_id"), F.lit(0)).alias("__id"),
+        "*", F.col("doc_id").isNull().alias("__none"), F.coalesce(F.col("doc_id"), F.lit(0).cast("long")).alias("__id"), number.alias("__row")
     )
-    same = Window.partitionBy(*keys).orderBy(F.xxhash64("text"))
+    same = Window.partitionBy(*keys).orderBy(F.lit(0))
     one = keyed.join(stay, keys, "left_semi").withColumn("__turn", F.row_number().over(same))
     return one.where("__turn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
