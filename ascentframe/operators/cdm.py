@@ -146,14 +146,13 @@ def with_tiles(df: DataFrame, degrees: float = C.TILE_DEGREES) -> DataFrame:
     )
 
 
-def available_months(headers: DataFrame, start_year: int | None = None, end_year: int | None = None) -> DataFrame:
-    """Distinct (year, month) of the headers, in order."""
+def available_months(headers: DataFrame, start_year: int | None = None, end_year: int | None = None,
+                     counted: str | None = None) -> DataFrame:
+    """Distinct (year, month) of the headers, in order, and their rows as ``counted`` if asked."""
     rows = headers.where(times.in_month_range(F.col("report_timestamp"), start_year, end_year))
-    return (
-        rows.select(F.year("report_timestamp").alias("year"), F.month("report_timestamp").alias("month"))
-        .distinct()
-        .orderBy("year", "month")
-    )
+    months = rows.groupBy(F.year("report_timestamp").alias("year"), F.month("report_timestamp").alias("month")).agg(
+        F.count(F.lit(1)).alias(counted or "_rows"))
+    return (months if counted else months.drop("_rows")).orderBy("year", "month")
 
 
 def missing_months(requested: DataFrame, existing: DataFrame) -> DataFrame:

@@ -112,7 +112,7 @@ def profile_by_altitude(spark, sf_dir):
     index names it and its file, and the file's slice is read by start and end."""
     path = new_folder(spark, "served")
     levels, headers = longtable.levels(spark, sf_dir), longtable.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
-    exporting.export_months(levels, headers, longtable.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
+    exporting.export_months(levels, headers, longtable.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"), levels_timed=True)
     catalog.write_launch_index(spark, path)
     named = catalog.launch_index(spark, path).where("station_name <> ''")
     one = named.groupBy("station_name", "epoch").agg(F.sum("rows").alias("rows")).orderBy(F.desc("rows"), "station_name", "epoch").first()
@@ -128,7 +128,7 @@ def launch_slices(spark, sf_dir):
     """The launch index of a stored export: rows of every launch and variable by month, all inside their slices."""
     path = new_folder(spark, "sliced")
     levels, headers = longtable.levels(spark, sf_dir), longtable.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
-    exporting.export_months(levels, headers, longtable.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
+    exporting.export_months(levels, headers, longtable.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"), levels_timed=True)
     catalog.write_launch_index(spark, path)
     return catalog.launch_index(spark, path).groupBy("station_name", "epoch", "code", "year", "month").agg(
         F.sum("rows").alias("rows"), F.bool_and(F.col("rows") <= F.col("end_idx") - F.col("start_idx")).alias("inside"))

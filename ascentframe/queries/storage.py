@@ -35,7 +35,7 @@ def monthly_export_round_trip(spark, sf_dir):
     headers = L.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
     months = levels.select("report_timestamp")
     for years in ((1996, 1997), (None, None)):
-        exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, *years, months_of=months)
+        exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, *years, months_of=months, levels_timed=True)
     back = spark.read.parquet(path)
     return back.groupBy("year", "month", F.col("observed_variable").cast("int").alias("observed_variable")).agg(
         F.count(F.lit(1)).alias("rows_out"), F.count(F.nanvl("observation_value", F.lit(None))).alias("valued"))
@@ -118,19 +118,24 @@ def truncated_table(spark, sf_dir):
 @query("export_order", f"""WITH {L.LONG}
 SELECT year, month, count(*) AS rows_out, 0 AS misplaced FROM lt GROUP BY ALL""")
 def export_order(spark, sf_dir):
-    """Rows of a month's export that stand behind a greater one, by (variable, time, observation), over all its files."""
+    """Rows of an export that stand behind a greater one: in their file by (variable, time, observation), and over the files
+    of a month by (time, observation) of their variable."""
     path = new_folder(spark, "ordered")
     levels = L.levels(spark, sf_dir)
     headers = L.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
-    exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
+    exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"), levels_timed=True)
     back = spark.read.parquet(path).select(
         "year", "month", F.struct("observed_variable", "report_timestamp", "observation_id").alias("place"),
         F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    # a month has a folder for each variable, and in it files whose names follow the ranges of time
-    files = Window.partitionBy("year", "month").orderBy("place.observed_variable", "file", "row")
-    before = F.lag("place").over(files)
-    return back.withColumn("bad", F.coalesce(before > F.col("place"), F.lit(False))).groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias("rows_out"), F.count_if("bad").cast("int").alias("misplaced"))
+    month = ["year", "month"]
+    before = F.lag("place").over(Window.partitionBy(*month, "file").orderBy("row"))
+    inside = back.withColumn("bad", F.coalesce(before > F.col("place"), F.lit(False)))
+    # a variable's rows in a file as one row; the files' names follow the ranges of time
+    spans = inside.groupBy(*month, "file", "place.observed_variable").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("bad").alias("bad"), F.min("place").alias("low"), F.max("place").alias("high"))
+    last = F.lag("high").over(Window.partitionBy(*month, "observed_variable").orderBy("file"))
+    spans = spans.withColumn("late", F.coalesce(last > F.col("low"), F.lit(False)).cast("int"))
+    return spans.groupBy(*month).agg(F.sum("rows").alias("rows_out"), (F.sum("bad") + F.sum("late")).cast("int").alias("misplaced"))
 
 
 #: A box over two tiles and parts of others, and one over the antimeridian.
@@ -164,7 +169,7 @@ def published_dictionary(spark, sf_dir):
     path = new_folder(spark, "published")
     levels = L.levels(spark, sf_dir)
     headers = L.headers(spark, sf_dir).withColumnRenamed("launch_timestamp", "launched")
-    exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"))
+    exporting.export_months(levels, headers, L.stations(spark, sf_dir), path, months_of=levels.select("report_timestamp"), levels_timed=True)
     rows = spark.read.parquet(path).groupBy(F.col("observed_variable").cast("int").alias("code")).agg(F.count(F.lit(1)).alias("levels"))
     return spark.read.parquet(f"{path}/{writers.DICTIONARY}").join(rows, "code", "left")
 
@@ -287,9 +292,9 @@ FILE_LIST = T.StructType([T.StructField("path", T.StringType()), T.StructField("
 @query("streamed_import_state", f"""WITH {Q.SURVIVORS}
 SELECT filename, left(reason,255) AS note FROM sv""")
 def streamed_import_state(spark, sf_dir):
-    """All archives arrive in ten lots, with a snapshot after the eighth; the state after the last one."""
+    """All archives arrive in six lots, with a snapshot after the fourth; the state after the last one."""
     base = new_folder(spark, "stream")
-    V.archive_files(spark, sf_dir).repartition(10, "path").write.parquet(f"{base}/arrivals")
+    V.archive_files(spark, sf_dir).repartition(6, "path").write.parquet(f"{base}/arrivals")
     arriving = spark.readStream.schema(FILE_LIST).option("maxFilesPerTrigger", 1).parquet(f"{base}/arrivals")
     incremental.start_planning(arriving, f"{base}/plan", f"{base}/checkpoint", "RS41").awaitTermination()
     return tracking.current_state(incremental.read_events(spark, f"{base}/plan")).select("filename", "note")

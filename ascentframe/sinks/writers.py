@@ -28,8 +28,10 @@ def by_month(rows: DataFrame) -> DataFrame:
 #: Order of the rows of one variable.
 IN_TIME = ("report_timestamp", "observation_id")
 WRITERS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
-#: Files a task may write side by side: the variables of a dozen months.
-WRITERS = 15 * 12
+#: Files a task may write side by side, one for each month of its range.
+WRITERS = 24
+#: Bits of a row's number inside its partition, as Spark gives them, and room for the code of a variable.
+_ROW_BITS, _CODES = 33, 1024
 
 
 def levels_in_time(base: DataFrame) -> DataFrame:
@@ -62,20 +64,30 @@ def write_tab_text(df: DataFrame, path: str) -> None:
     df.write.mode("append").csv(path, sep="\t", nullValue="\\N", emptyValue="", header=False)
 
 
+def levels_by_month(base: DataFrame) -> DataFrame:
+    """Levels with one partition's worth of each month, sorted by (time, observation): for months that a task can hold."""
+    return cdm.with_month(base).repartition(*MONTH).sortWithinPartitions(*MONTH, *IN_TIME).drop(*MONTH)
+
+
 def write_long_table(long: DataFrame, path: str) -> None:
-    """Encoded long table by month and variable, with its dictionary beside the months.  Months
+    """Encoded long table by month, with its dictionary beside the months.  Months
     that are written are replaced, the others stay (dynamic overwrite), so a re-run is safe.
 
-    The rows are written where they are, each to the file of its variable, and are not sorted: order the levels before
-    they are made long (``levels_in_time``).  Then the files of a month, by variable and by name, hold its rows in the
-    order of (variable, time, observation)."""
+    The rows are written where they are: order the levels before they are made long (``levels_in_time``, or
+    ``levels_by_month`` where months are small).  Then each file of a month holds a range of time, by (variable, time, observation), and the files' names follow the ranges.  Rows come
+    in the order of their levels, so only (month, variable) is left to arrange: one number that ends with the row's place
+    is enough, which Spark arranges by its digits without comparing rows."""
     spark = long.sparkSession
     write_variable_dim(spark, f"{path}/{DICTIONARY}")
     rows = cdm.with_month(cdm.encoded_long_table(long))
+    group = (F.col("year") * 12 + F.col("month")).cast("long") * _CODES + F.col("observed_variable")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    rows = rows.withColumn("_place", F.shiftleft(F.coalesce(group, F.lit(0)), _ROW_BITS).bitwiseOR(place))
     before = spark.conf.get(WRITERS_CONF)
-    spark.conf.set(WRITERS_CONF, str(WRITERS))  # a task's files stay open side by side, else Spark would sort the long rows
+    spark.conf.set(WRITERS_CONF, str(WRITERS))  # a task's files stay open side by side, else Spark would sort by month again
     try:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH, "observed_variable").parquet(path)
+        rows.sortWithinPartitions("_place").drop("_place").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(*MONTH).parquet(path)
     finally:
         spark.conf.set(WRITERS_CONF, before)
 

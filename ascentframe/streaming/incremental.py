@@ -33,7 +33,7 @@ EVENT_SCHEMA = "sonde string, filename string, kind string, seq long, at timesta
 FILE_SCHEMA = "path string, station string, datetime string, seq long"
 EVENTS, FILES = "events", "files"
 SCHEMAS = {EVENTS: EVENT_SCHEMA, FILES: FILE_SCHEMA}
-BUCKET, BUCKETS, SNAPSHOT_EVERY = "bucket", 64, 8
+BUCKET, BUCKETS, SNAPSHOT_EVERY = "bucket", 16, 4
 
 
 def bucket_of(station: Column, datetime: Column, filename: Column) -> Column:

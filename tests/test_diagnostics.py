@@ -119,6 +119,20 @@ def test_saturated_temperature_inverts_theta_e(spark):
     assert worst["n"] == 200 and worst["d"] < 1e-9
 
 
+def test_ascent_without_a_start_or_a_solution_is_missing(spark):
+    rows = [(1000.0, 330.0, None), (1000.0, None, 290.0), (None, 330.0, 290.0), (-5.0, 330.0, 290.0), (500.0, 330.0, 290.0), (500.0, -1.0, 290.0)]
+    df = spark.createDataFrame(rows, "p double, e double, l double").select("p", th.saturated_temperature("p", "e", "l").alias("t"))
+    assert [r["t"] is None for r in df.collect()] == [True, True, True, True, False, True]
+
+
+def test_all_diagnostics_run_without_python_and_reuse_their_exchange(spark):
+    from ascentframe.queries import QUERIES
+
+    plan = QUERIES["sounding_diagnostics"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # one deals out the events that the fixture numbers, one the soundings
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange hashpartitioning") <= 2
+
+
 def test_smoothing_repeats_the_edges(spark):
     df = spark.createDataFrame([(1, i, float(i + 1)) for i in range(5)], "k int, i int, x double")
     group = Group(df, ["k"], [F.asc("i")]).neighbours(["x"], 2, 2)

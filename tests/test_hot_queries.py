@@ -6,7 +6,9 @@ from test_queries import QUERIES, SF_DIR
 from ascentframe.operators.ordered import HOT_ROWS_CONF
 
 NAMES = ["boxcar_smoothing", "cloud_base", "launch_segments", "level_validity", "local_maxima", "odd_sounding_preferences",
-         "profile_integral", "profile_reconciliation", "thermal_tropopause", "value_two_days_on", "wind_shear_helicity"]
+         "profile_integral", "profile_reconciliation", "thermal_tropopause", "value_two_days_on", "wind_shear_helicity",
+         "sounding_diagnostics", "enriched_levels", "parcel_levels_energy", "standard_level_interpolation",
+         "odd_sounding_diagnostics", "station_upsert", "launch_catalogue"]
 
 
 def rows(df):
