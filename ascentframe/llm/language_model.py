@@ -8,7 +8,8 @@ Counts cover every document, every word and every pair of neighbouring words; no
 the corpus and is never gathered in one place. Documents are read once, into blocks of some million numbered words. Each
 block sends its distinct pairs, with its own counts, to buckets of pairs; a bucket adds up what all blocks sent and answers
 each block with the totals. Words go the same way. At last a block's documents meet the answers to that block. However
-common a pair, a block asks for it once, so no bucket is larger than others; the number of buckets grows with the input.
+common a pair, a block asks for it once, and the number of buckets grows with the input; the bucket of the most common pair
+has one row of each block more than its fair share, that of the most common word one of each block and bucket of pairs.
 """
 
 from __future__ import annotations
@@ -28,8 +29,6 @@ from pyspark.sql import functions as F
 from ascentframe.llm.common import groups_by_size, with_trust
 from ascentframe.session import shared_dir
 
-#: Least share of a word in all words, and of a pair in all pairs, to be listed; with 0 all are.
-SHARE = 0.0
 DISCOUNT = 0.75
 #: Words that a block gathers before it is closed; characters worked on at once; characters of the corpus for each bucket.
 GATHERED = 1 << 19
@@ -42,7 +41,7 @@ _BLOCKS = "block long, doc_ids array<long>, trusted array<boolean>, lengths bina
 #: Ids of words (and their checks), or of first and second words; counts of the block (int32), or in all (int64).
 _REQUESTS = "bucket int, block long, one binary, two binary, target binary, background binary"
 #: kind: word or pair (totals for a block), used (what the listed pairs of some words take, for a bucket of words), or sum.
-_ANSWERS = "kind string, bucket int, block long, one binary, two binary, target binary, background binary"
+_ANSWERS = "kind string, bucket int, block long, one binary, two binary, target binary, background binary, known array<long>"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -179,10 +178,11 @@ def _runs(*sorted_keys: np.ndarray) -> np.ndarray:
 
 
 def _answers(rows: list) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["kind", "bucket", "block", "one", "two", "target", "background"])
+    names = ["kind", "bucket", "block", "one", "two", "target", "background"]
+    return pd.DataFrame([(*r[:7], r[7] if len(r) > 7 else None) for r in rows], columns=[*names, "known"])
 
 
-def _pair_totals(buckets: int, limit: float):
+def _pair_totals(buckets: int):
     """Adds up one bucket of pairs, answers its blocks, and tells the buckets of words what the pairs of a word take."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -205,7 +205,7 @@ def _pair_totals(buckets: int, limit: float):
         ]
         words = first[order][begins]
         heads = _runs(words)
-        used = [np.add.reduceat(np.where(sums[1] >= limit, np.maximum(x - DISCOUNT, 0), 0), heads) for x in sums]
+        used = [np.add.reduceat(np.maximum(x - DISCOUNT, 0), heads) for x in sums]
         words = words[heads]
         to = _bucket(words, buckets)
         order = np.argsort(to, kind="stable")
@@ -217,39 +217,31 @@ def _pair_totals(buckets: int, limit: float):
     return run
 
 
-def _word_totals(limit: float):
-    """Adds up one bucket of words and answers its blocks; its sum row has the listed words, their counts, all counts, and
+def _word_totals(group: pd.DataFrame) -> pd.DataFrame:
+    """Adds up one bucket of words and answers its blocks; its sum row has in `known` the number of words, their counts, and
     how many words share the id of another."""
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        asked, taken = group[group["kind"] == "word"], group[group["kind"] == "used"]
-        ids, begins, where = np.unique(_array(asked["one"], "<u8"), return_index=True, return_inverse=True)
-        checks = _array(asked["two"], "<u4")
-        sums = []
-        for name in ("target", "background"):
-            counts = _unpacked(asked[name], "<i4")
-            sums.append(np.bincount(where, counts, len(ids)).astype(np.int64))
-        at = np.searchsorted(ids, _array(taken["one"], "<u8"))
-        used = [np.bincount(at, _unpacked(taken[name], "<f8"), len(ids)) for name in ("target", "background")]
-        ends = np.cumsum([len(x) // 8 for x in asked["one"]])
-        bucket = int(group["bucket"].iloc[0])
-        rows = []
-        for block, a, b in zip(asked["block"].tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
-            some = where[a:b]
-            rows.append(("word", bucket, int(block), *(_packed(x[some], "<f8") for x in used), *(_packed(x[some], "<i8") for x in sums)))
-        listed = sums[1] >= limit
-        known = [listed.sum(), sums[0][listed].sum(), sums[1][listed].sum(), sums[0].sum(), sums[1].sum(), (checks != checks[begins][where]).sum()]
-        rows.append(("sum", bucket, None, np.array(known, "<i8").tobytes(), None, None, None))
-        return _answers(rows)
-
-    return run
-
-
-def _scorer(buckets: int, limit: float, known: np.ndarray):
-    """Scores of the documents of one block from the answers to it."""
-    size = known[0] + 1
-    rest, totals = known[3:5] - known[1:3], known[3:5]
-    unknown = (rest + 1.0) / (totals + size)
+    asked, taken = group[group["kind"] == "word"], group[group["kind"] == "used"]
+    ids, begins, where = np.unique(_array(asked["one"], "<u8"), return_index=True, return_inverse=True)
+    checks = _array(asked["two"], "<u4")
+    sums = []
+    for name in ("target", "background"):
+        counts = _unpacked(asked[name], "<i4")
+        sums.append(np.bincount(where, counts, len(ids)).astype(np.int64))
+    at = np.searchsorted(ids, _array(taken["one"], "<u8"))
+    used = [np.bincount(at, _unpacked(taken[name], "<f8"), len(ids)) for name in ("target", "background")]
+    ends = np.cumsum([len(x) // 8 for x in asked["one"]])
+    bucket = int(group["bucket"].iloc[0])
+    rows = []
+    for block, a, b in zip(asked["block"].tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+        some = where[a:b]
+        rows.append(("word", bucket, int(block), *(_packed(x[some], "<f8") for x in used), *(_packed(x[some], "<i8") for x in sums)))
+    known = [len(ids), sums[0].sum(), sums[1].sum(), (checks != checks[begins][where]).sum()]
+    rows.append(("sum", bucket, None, None, None, None, None, [int(x) for x in known]))
+    return _answers(rows)
+
+
+def _scorer(buckets: int, size: int, totals: list[int]):
+    """Scores of the documents of one block from the answers to it; `size` words and one more share what is smoothed."""
 
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = next(blocks.itertuples())
@@ -257,15 +249,13 @@ def _scorer(buckets: int, limit: float, known: np.ndarray):
         first, second, _, inner, which = _pairs(places, lengths, ids, buckets)
         answers = answers.sort_values("bucket")
         words, pairs = answers[answers["kind"] == "word"], answers[answers["kind"] == "pair"]
-        listed_word = _unpacked(words["background"], "<i8") >= limit
-        listed_pair = _unpacked(pairs["background"], "<i8") >= limit
         losses = []
         for k, (name, taken) in enumerate((("target", "one"), ("background", "two"))):
             counts = _unpacked(words[name], "<i8")
-            share = np.where(listed_word, (counts + 1.0) / (totals[k] + size), unknown[k])
-            seen = np.maximum(np.where(listed_word, counts, rest[k]), 1)
-            left = np.maximum(1 - _unpacked(words[taken], "<f8") / seen, 1e-12)  # what the listed pairs of a word leave
-            held = np.where(listed_pair, np.maximum(_unpacked(pairs[name], "<i8") - DISCOUNT, 0), 0)
+            share = (counts + 1.0) / (totals[k] + size)
+            seen = np.maximum(counts, 1)
+            left = np.maximum(1 - _unpacked(words[taken], "<f8") / seen, 1e-12)  # what the pairs of a word leave
+            held = np.maximum(_unpacked(pairs[name], "<i8") - DISCOUNT, 0)
             loss = -np.log(share)[places]
             loss[inner] = -np.log(held / seen[first] + left[first] * share[second])[which]
             losses.append(loss)
@@ -299,16 +289,14 @@ def difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marked = with_trust(rows, labels, "trusted", "own_id", "text")
     for seed in count():
         blocks = stored(marked.mapInPandas(_block_writer(buckets, seed), _BLOCKS), f"blocks-{seed}")
-        limit = SHARE * (blocks.agg(F.sum("n")).first()[0] or 0)
         asked = blocks.mapInPandas(_requests(buckets, True), _REQUESTS)
-        pairs = stored(asked.groupBy("bucket").applyInPandas(_pair_totals(buckets, limit), _ANSWERS), f"pairs-{seed}")
+        pairs = stored(asked.groupBy("bucket").applyInPandas(_pair_totals(buckets), _ANSWERS), f"pairs-{seed}")
         asked = blocks.mapInPandas(_requests(buckets, False), _REQUESTS).select(F.lit("word").alias("kind"), "*")
-        asked = asked.unionByName(pairs.where("kind = 'used'"))
-        words = stored(asked.groupBy("bucket").applyInPandas(_word_totals(limit), _ANSWERS), f"words-{seed}")
-        sums = [np.frombuffer(r.one, "<i8") for r in words.where("kind = 'sum'").select("one").collect()]
-        known = np.sum(sums, axis=0) if sums else np.zeros(6, np.int64)
-        if not known[5]:  # else two words share an id, and other hashes are taken
+        asked = asked.unionByName(pairs.where("kind = 'used'"), allowMissingColumns=True)
+        words = stored(asked.groupBy("bucket").applyInPandas(_word_totals, _ANSWERS), f"words-{seed}")
+        known = words.where("kind = 'sum'").agg(*[F.coalesce(F.sum(F.get("known", F.lit(k))), F.lit(0)).alias(f"k{k}") for k in range(4)]).first()
+        if not known.k3:  # else two words share an id, and other hashes are taken
             break
     answers = words.where("kind = 'word'").unionByName(pairs.where("kind = 'pair'"))
     own = blocks.select("block", "doc_ids", "lengths", "places", "ids")
-    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scorer(buckets, limit, known), SCORES)
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scorer(buckets, known.k0 + 1, [known.k1, known.k2]), SCORES)

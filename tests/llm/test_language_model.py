@@ -62,23 +62,21 @@ def same(got, rows, wanted):
         assert (r.target_loss, r.background_loss, r.ce_diff) == pytest.approx((t, b, t - b), abs=1e-9)
 
 
-def test_messy_rows(spark, monkeypatch):
-    monkeypatch.setattr(M, "SHARE", 1e-4)
+def test_messy_rows(spark):
     frame = docs(spark)
     rows = [(r.doc_id, r.text) for r in frame.collect()]
-    same(M.difference(clashing(frame), labels(spark)).collect(), rows, brute(rows, {1, 99}, 1e-4))
-    same(M.difference(frame, labels(spark, [])).collect(), rows, brute(rows, set(), 1e-4))
+    same(M.difference(clashing(frame), labels(spark)).collect(), rows, brute(rows, {1, 99}, 0))
+    same(M.difference(frame, labels(spark, [])).collect(), rows, brute(rows, set(), 0))
     assert M.difference(docs(spark, []), labels(spark)).count() == 0
 
 
 def test_given_table(spark, monkeypatch):
-    monkeypatch.setattr(M, "SHARE", 5e-5)
     monkeypatch.setattr(M, "GATHERED", 1000)
     d = "/root/testdata/sf0.001"
     frame, marks = table(spark, d, "documents"), table(spark, d, "labels")
     rows = [(r.doc_id, r.text) for r in frame.collect()]
     good = {r.doc_id for r in marks.collect() if r.quality == 1}
-    same(M.difference(frame, marks).collect(), rows, brute(rows, good, 5e-5))
+    same(M.difference(frame, marks).collect(), rows, brute(rows, good, 0))
 
 
 def test_no_word_or_pair_is_too_rare(spark, monkeypatch):
