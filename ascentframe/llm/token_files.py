@@ -14,6 +14,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -97,31 +98,41 @@ def unpack(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-_MARKS = re.compile("[\u0300-\u036f]").search
-#: Signs between a letter and white space are a piece of their own.
-_SIGNS = re.compile(r"(?<=[a-z])([^\w\s]+)(?=[ \n])").sub
 #: Lower-case Latin letters, which normalising leaves alone; the vocabulary writes their bytes as characters, those that
 #: do not print as characters from 256 on.
-_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+_LATIN = "[a-z\u00df-\u00f6\u00f8-\u00ff]+"
+_PLAIN = re.compile(_LATIN).fullmatch
+#: Signs behind the letters of a word are a piece of their own.
+_WITH_SIGNS = re.compile(rf"({_LATIN})([!-/:-@\[-^`{{-~\u00a1\u00ab\u00bb\u00bf\u2010-\u2027]+)").fullmatch
+#: The same inside a text, where a blank in front makes two words of them: fewer words to remember. The search looks for
+#: the sign first and then at the letter before it.
+_SIGNS = re.compile(r"([!-/:-@\[-^`{-~\u2010-\u2027](?<=[a-z].)[^\w\s]*)(?=[ \n])").sub
+#: First bytes of the combining marks that join Latin letters (U+0300 to U+036F); white space to Python alone; the end of
+#: the strings that the vocabulary takes for special tokens.
+_MARKS = (b"\xcc", b"\xcd")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_SPECIAL = "|>"
 _HIDDEN = [*range(33), *range(127, 161), 173]
 _AS_CHARACTERS = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 
 
 class WordCoder(dict):
-    """Ids of blank-separated words, remembered. The tokenizer never looks across white space, so words are enough."""
+    """Ids of words between white space, remembered. The tokenizer never looks across white space but for its special
+    tokens, so words are enough for all texts without one."""
 
-    REMEMBERED, LONGEST = 400_000, 64
+    REMEMBERED, LONGEST = 800_000, 64
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.signs: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
         self.clear()
+        self.signs.clear()
         self.new: list[str] = []
         self.first, self.count, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
 
@@ -130,6 +141,28 @@ class WordCoder(dict):
         self.new.append(word)
         return number
 
+    def _plain(self, word: str) -> list[int]:
+        """Ids of a word of plain letters: one piece, so the model may be asked directly."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_AS_CHARACTERS)
+        return [x.id for x in self.tokenizer.model.tokenize(word)]
+
+    def _learn(self) -> None:
+        split = [(w, "") if _PLAIN(w) else m.groups() if (m := _WITH_SIGNS(w)) else None for w in self.new]
+        ask = {s for x in split if x and (s := x[1]) and s not in self.signs} | {w for w, x in zip(self.new, split) if x is None}
+        ask = sorted(ask)
+        told = dict(zip(ask, (x.ids for x in self.tokenizer.encode_batch(ask, add_special_tokens=False))))
+        self.signs |= {s: told[s] for x in split if x and (s := x[1]) in told}
+        found = [told[w] if x is None else self._plain(x[0]) + (self.signs[x[1]] if x[1] else []) for w, x in zip(self.new, split)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))])
+        for word in self.new:
+            if len(word) > self.LONGEST:
+                del self[word]
+        self.new = []
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and the number of ids of each."""
         if len(self) > self.REMEMBERED:
@@ -137,24 +170,21 @@ class WordCoder(dict):
         words: list[str] = []
         ends = []
         for text in texts:
-            if not _MARKS(text):  # without combining marks the tokenizer lowers A-Z alone, so this may be done before
-                text = _SIGNS(r" \1", text.encode().lower().decode())
-            words += [w for w in text.replace("\n", " ").split(" ") if w]
+            if _SPECIAL in text:
+                words.append(text)  # the library looks for its special tokens in the whole text
+            else:
+                data = text.encode()
+                if not any(mark in data for mark in _MARKS):
+                    # then the tokenizer lowers A-Z alone, so this may be done before
+                    text = _SIGNS(r" \1", data.lower().decode())
+                if any(x in text for x in _SEPARATORS):
+                    words += filter(None, text.replace("\n", " ").split(" "))
+                else:
+                    words += text.split()
             ends.append(len(words))
         codes = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if self.new:
-            # a word of such letters is one piece, so the model may be asked directly
-            other = iter(self.tokenizer.encode_batch([w for w in self.new if not _PLAIN(w)], add_special_tokens=False))
-            merged = self.tokenizer.model.tokenize
-            found = [[x.id for x in merged(w.encode().decode("latin-1").translate(_AS_CHARACTERS))] if _PLAIN(w) else next(other).ids for w in self.new]
-            count = np.fromiter(map(len, found), np.int64, len(found))
-            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(count) - count])
-            self.count = np.concatenate([self.count, count])
-            self.flat = np.concatenate([self.flat, *(np.array(x, np.uint32) for x in found)])
-            for word in self.new:
-                if len(word) > self.LONGEST:
-                    del self[word]
-            self.new = []
+            self._learn()
         count = self.count[codes]
         total = np.concatenate([[0], np.cumsum(count)])
         upto = total[np.array([0, *ends])]

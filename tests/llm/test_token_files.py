@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -41,7 +42,6 @@ def test_as_few_words_as_greedy_packing():
 
 def library_ids(rows):
     own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
     return [(i, [*own.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in rows]
 
 
@@ -61,12 +61,26 @@ def written(spark, frame, folder):
 @pytest.mark.parametrize("block", [1 << 16, 7])
 def test_messy_rows(spark, tmp_path, monkeypatch, block):
     monkeypatch.setattr(T, "BLOCK_IDS", block)
-    odd = [(30, "ä b\u0301 J\u030c"), (31, "don't  'S x\t\ty z\u00a0\u3000q İSTANBUL ΣΑΣ Σ"), (32, "end. and, so... on!?. a1. B,")]
+    odd = [(40, "a <|endoftext|> b"), (41, "<|STARTOFTEXT|>x|><|startoftext|>"), (42, "x\x1cy\x1f z\x85w\u2028v"), (43, "caf\u00e9, caf\u00e9\u2026 end' it's. \u3042\u3002")]
+    odd += [(30, "ä b\u0301 J\u030c"), (31, "don't  'S x\t\ty z\u00a0\u3000q İSTANBUL ΣΑΣ Σ"), (32, "end. and, so... on!?. a1. B,")]
     rows = [*TEXTS, *odd]
     assert written(spark, docs(spark, rows), str(tmp_path / "a")) == expected(rows)
     assert written(spark, docs(spark, []), str(tmp_path / "b")) == []
 
 
+PIECES = ["a", "The", "é", "É", "ß", "straße", "ÿ.", "x,", "...", "'s", "'", "don't", "_", "b_", "1", "2nd", "漢字", "。", "\u0301", "\u0300", "J\u030c", "\u3099", "İ", "Σ", "ς",
+          " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\u00a0", "\u2003", "\u2028", "\u3000", "\u200b", "😀", "|>", "<|", "<|endoftext|>", "<|STARTOFTEXT|>", "K", "Å"]
+
+
+def test_random_texts_like_the_library():
+    rng, own, library = random.Random(9), T.WordCoder(PATH), Tokenizer.from_file(PATH)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randrange(25))) for _ in range(8000)]
+    for k in range(0, len(texts), 1000):
+        ids, lengths = own.encode(texts[k : k + 1000])
+        for text, i in zip(texts[k : k + 1000], np.split(ids, np.cumsum(lengths)[:-1])):
+            assert i.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], repr(text)
+
+
 def test_given_table(spark, tmp_path):
     frame = table(spark, "/root/testdata/sf0.001", "documents")
     assert written(spark, frame.repartition(5), str(tmp_path / "a")) == expected([(r.doc_id, r.text) for r in frame.collect()])
