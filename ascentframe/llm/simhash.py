@@ -96,8 +96,9 @@ def roots(edges: DataFrame) -> DataFrame:
 def label(prints: DataFrame) -> DataFrame:
     """(fp, least, root, component_id) for each distinct fingerprint of `prints` (doc_id, fp): its least doc_id, the
     least fingerprint of its component, and the least doc_id of its component."""
-    # few bytes, but each row emits its whole ball: dealt out over all tasks
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).repartition("fp"))
+    # few bytes, but each row emits its whole ball: a stated number of parts, which are not joined for being small
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).repartition(parts, "fp"))
     tree = roots(links(distinct))
     placed = distinct.join(tree.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
