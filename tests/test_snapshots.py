@@ -10,6 +10,13 @@ from ascentframe.plans import exporting, importing
 from ascentframe.sinks import snapshots, writers
 
 
+@pytest.fixture(autouse=True)
+def few_diagnostics(monkeypatch):
+    """What is derived from a sounding does not matter here; the queries over loaded stores derive all of it."""
+    monkeypatch.setattr(importing.diagnostics, "diagnosed_levels", lambda levels: levels)
+    monkeypatch.setattr(importing.diagnostics, "sounding_scalars", lambda levels: levels.groupBy("g_product_id").agg(F.max("temp").alias("diag_warmest")))
+
+
 def sources(spark, launches, levels=12):
     """Levels and attributes of soundings {id: (station, time)}."""
     rows = [(sid, k, 1000.0 * math.exp(-k / 25), 100.0 + 320 * k, 285.0 - 2 * k, 50.0, 5.0, 1.0) for sid in launches for k in range(levels)]

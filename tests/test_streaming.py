@@ -38,16 +38,16 @@ def test_state_over_many_batches_with_snapshots_and_replays(spark, tmp_path, mon
     monkeypatch.setattr(I, "BUCKETS", 4)
     root = str(tmp_path / "plan")
     opened = []
-    for k in range(7):
+    for k in range(5):
         I.plan_batch(lot(spark, k), k, root, "RS41")
         opened.append(len(I.folders(spark, root, I.EVENTS, k + 1)))
         if k in (2, 3):  # a replay, with and without a snapshot, replaces its own output
             before = state(spark, root)
             I.plan_batch(lot(spark, k), k, root, "RS41")
             assert state(spark, root) == before
-    assert {(f, note) for _, f, _, note, _ in state(spark, root)} == whole(spark, 7)
-    assert max(opened) <= 2 and opened[1] == opened[3] == opened[5] == 1
-    assert I.read_files(spark, root).count() == sum(lot(spark, k).count() for k in range(7))
+    assert {(f, note) for _, f, _, note, _ in state(spark, root)} == whole(spark, 5)
+    assert max(opened) <= 2 and opened[1] == opened[3] == 1
+    assert I.read_files(spark, root).count() == sum(lot(spark, k).count() for k in range(5))
 
 
 def test_files_opened_by_a_batch_do_not_grow_with_earlier_batches(spark, tmp_path, monkeypatch):
@@ -55,15 +55,15 @@ def test_files_opened_by_a_batch_do_not_grow_with_earlier_batches(spark, tmp_pat
     monkeypatch.setattr(I, "BUCKETS", 8)
     root = str(tmp_path / "plan")
     opened = []
-    for k in range(7):
+    for k in range(6):
         for table in (I.EVENTS, I.FILES):
             rows = I._read(spark, root, table, k, buckets=[3, 7])
             opened.append((k, len(rows.select(F.input_file_name()).where("input_file_name() <> ''").distinct().collect()) if k else 0))
         batch = spark.createDataFrame([(name("LIN", 1, d % 28 + 1, 1000 * k + d),) for d in range(40)], "path string")
         I.plan_batch(batch, k, root, "RS41")
     # two buckets of one snapshot and of one delta at most
-    assert max(n for _, n in opened) <= 2 * 2 and max(n for k, n in opened if k > 4) <= max(n for k, n in opened if k <= 4)
-    rows = I._read(spark, root, I.EVENTS, 7, buckets=[3, 7])
+    assert max(n for _, n in opened) <= 2 * 2 and max(n for k, n in opened if k > 3) <= max(n for k, n in opened if k <= 3)
+    rows = I._read(spark, root, I.EVENTS, 6, buckets=[3, 7])
     assert "PartitionFilters: [bucket" in rows._jdf.queryExecution().executedPlan().toString()
 
 
