@@ -361,6 +361,44 @@ def test_rows_of_a_month_are_in_order_over_its_files(spark, store, tmp_path, mon
     assert spark.conf.get(writers.WRITERS_CONF) == "0"
 
 
+@pytest.mark.parametrize("most, timed", [(700, True), (200, True), (200, False)])
+def test_a_large_month_is_the_work_of_many_tasks(spark, store, tmp_path, monkeypatch, most, timed):
+    """Whole days of up to PART_LEVELS levels in a part, sampled ranges where a day has more; before, a month was one task's."""
+    monkeypatch.setattr(exporting, "PART_LEVELS", most)
+    many = spark.range(3000).select(
+        F.lit(1).alias("g_product_id"), ((F.col("id") * 7919) % 3000).alias("observation_id"),
+        F.expr("timestamp'2020-12-01 00:00:00' + make_interval(0, 0, 0, CAST((id * 7919) % 3000 DIV 300 AS INT))").alias("report_timestamp"),
+        (F.col("id") * 1.0).alias("temp"), F.lit(1.0).alias("alt"))
+    path = str(tmp_path / "long")
+    exporting.export_months(many, store[1], store[2], path, months_of=many, levels_timed=timed)
+    rows = spark.read.parquet(path).select("observed_variable", "report_timestamp", "observation_id", "_metadata.file_name", "_metadata.row_index").collect()
+    files = {name: sum(r.file_name == name for r in rows) for name in {r.file_name for r in rows}}
+    assert sum(files.values()) == 15 * 3000 and len(files) >= 5 and max(files.values()) <= 15 * 2 * most
+    place = lambda r: (r.observed_variable, r.report_timestamp, r.observation_id)
+    own = sorted(rows, key=lambda r: (r.observed_variable, r.file_name, r.row_index))
+    assert [place(r) for r in own] == sorted(map(place, own))
+
+
+def test_days_fill_parts_in_their_order(monkeypatch):
+    monkeypatch.setattr(exporting, "PART_LEVELS", 10)
+    assert exporting.day_parts([(3, 5), (1, 4), (2, 6), (9, 10)]) == [(1, 0), (2, 0), (3, 1), (9, 2)]
+    assert exporting.day_parts([(1, 11)]) is None and exporting.day_parts([]) == []
+
+
+def test_code_of_the_long_table_is_small_enough_to_be_compiled(spark):
+    """Java's compiler leaves methods over 8000 bytes of code to the interpreter."""
+    from ascentframe.queries import longtable
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = longtable.long_table(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(plan)
+        sizes = [stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) <= 8000
+
+
 def test_boxes_open_only_their_tiles(spark, tmp_path):
     path = str(tmp_path / "tiles")
     names = "`latitude|station_configuration` double, `longitude|station_configuration` double, id int"
