@@ -399,6 +399,14 @@ def test_code_of_the_long_table_is_small_enough_to_be_compiled(spark):
     assert sizes and max(sizes) <= 8000
 
 
+def test_reports_of_a_month_are_counted_without_a_group_for_each(spark):
+    """A distinct count would keep all sums for each report and variable; before, it took four aggregates."""
+    from ascentframe.queries import longtable
+
+    plan = _plan(longtable.long_table_by_month(spark, "/root/testdata/sf0.001"))
+    assert plan.split("Initial Plan")[-1].count("HashAggregate") == 2
+
+
 def test_boxes_open_only_their_tiles(spark, tmp_path):
     path = str(tmp_path / "tiles")
     names = "`latitude|station_configuration` double, `longitude|station_configuration` double, id int"
