@@ -30,14 +30,16 @@ def with_registered(known: DataFrame, found: DataFrame) -> DataFrame:
     return known.unionByName(register(known, found), allowMissingColumns=True)
 
 
-def event(files: DataFrame, kind: str, seq: Column, at: Column | None = None, text: Column | None = None) -> DataFrame:
-    """Event rows (sonde, filename, kind, seq, at, text) for ``files``."""
+def event(files: DataFrame, kind: str | Column, seq: Column, at: Column | None = None, text: Column | None = None,
+          also: Sequence[str] = ()) -> DataFrame:
+    """Event rows (sonde, filename, kind, seq, at, text) for ``files``, with the columns ``also`` of theirs."""
     return files.select(
         *KEYS,
         F.lit(kind).alias("kind"),
         seq.cast("long").alias("seq"),
         (at if at is not None else F.lit(None)).cast("timestamp").alias("at"),
         (text if text is not None else F.lit(None)).cast("string").alias("text"),
+        *also,
     )
 
 

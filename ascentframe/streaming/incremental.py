@@ -95,21 +95,22 @@ def plan_batch(batch: DataFrame, number: int, root: str, sonde: str) -> None:
     parsed = parse_archive_names(batch.select("path"))
     launch = bucket_of(F.col("station"), F.col("datetime"), F.col("filename"))
     fresh = parsed.select("path", "station", "datetime", launch.alias(BUCKET)).persist()
+    paths = None
     try:
         buckets = [r[0] for r in fresh.select(BUCKET).distinct().collect()]  # at most BUCKETS
         seen = _read(spark, root, FILES, number, buckets)
         touched = seen.join(fresh.select("station", "datetime").distinct(), ["station", "datetime"], "left_semi")
-        paths = fresh.select("path", BUCKET).unionByName(touched.select("path", BUCKET))
+        paths = fresh.select("path").unionByName(touched.select("path")).persist()  # survivors look at them twice
         # the log is reduced to the files of this batch before anything is aggregated
         names = paths.select(base_name(F.col("path")).alias("filename")).distinct()
         events = _read(spark, root, EVENTS, number, buckets).where(F.col("sonde") == sonde)
         state = tracking.current_state(events.join(names, "filename", "left_semi"))
-        plan = plan_import(paths.select("path"), state, sonde)
-        named = parse_archive_names(plan_events(plan, number).withColumn("path", F.col("filename")))
-        own = named.withColumn(BUCKET, launch).select("sonde", "filename", "kind", "seq", "at", "text", BUCKET)
-        _write(own, f"{root}/{EVENTS}/batch={number}")
+        plan = plan_import(paths, state, sonde).withColumn(BUCKET, launch)
+        _write(plan_events(plan, number, [BUCKET]), f"{root}/{EVENTS}/batch={number}")
         _write(fresh.withColumn("seq", F.lit(number).cast("long")), f"{root}/{FILES}/batch={number}")
     finally:
+        if paths is not None:
+            paths.unpersist()
         fresh.unpersist()
     if number % SNAPSHOT_EVERY == SNAPSHOT_EVERY - 1:
         fold(spark, root, number)

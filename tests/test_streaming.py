@@ -79,6 +79,16 @@ def test_an_unfinished_snapshot_is_not_read(spark, tmp_path, monkeypatch):
     assert state(spark, str(root)) == before
 
 
+def test_a_plan_becomes_events_in_one_pass(spark):
+    """The plan is worked out once for its registrations and skips together."""
+    nothing = spark.createDataFrame([], "sonde string, filename string, date_of_import timestamp, note string")
+    plan = importing.plan_import(lot(spark, 2), nothing, "RS41")
+    events = importing.plan_events(plan, 7)
+    assert events._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    expected = {(r["filename"], "registered" if r["outcome"] == "import" else "skipped", 7, r["reason"]) for r in plan.collect()}
+    assert {(r["filename"], r["kind"], r["seq"], r["text"]) for r in events.collect()} == expected
+
+
 @pytest.mark.parametrize("cut", [2, 4, 6])
 def test_standing_events_give_the_same_state(spark, cut):
     rows = [("RS41", f"f{i % 5}", kind, seq, None if kind != "imported" else f"2024-01-0{seq % 9 + 1}", f"t{seq}")
