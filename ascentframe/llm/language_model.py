@@ -7,9 +7,10 @@ list of bigrams and their smoothing. A document's score is the mean over its tok
 Counts cover every document, every word and every pair of neighbouring words; nothing is too rare. So the model grows with
 the corpus and is never gathered in one place. Documents are read once, into blocks of some million numbered words. Each
 block sends its distinct pairs, with its own counts, to buckets of pairs; a bucket adds up what all blocks sent and answers
-each block with the totals. Words go the same way. At last a block's documents meet the answers to that block. However
-common a pair, a block asks for it once, and the number of buckets grows with the input; the bucket of the most common pair
-has one row of each block more than its fair share, that of the most common word one of each block and bucket of pairs.
+each block with the totals. Words go the same way. Buckets are asked in a few rounds, and what was sent is deleted once a
+round's answers are stored. At last a block's documents meet the answers to that block. However common a pair, a block asks
+for it once, and the number of buckets grows with the input; the bucket of the most common pair has one row of each block
+more than its fair share, that of the most common word one of each block and bucket of pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ascentframe.llm.common import groups_by_size, with_trust
+from ascentframe.llm.common import deleted, groups_by_size, shuffles_dropped, with_trust
 from ascentframe.session import shared_dir
 
 DISCOUNT = 0.75
@@ -34,12 +35,15 @@ DISCOUNT = 0.75
 GATHERED = 1 << 19
 GROUP = 1 << 20
 BUCKET_CHARS = 1 << 22
+#: Buckets are asked in so many rounds, every bucket in one of them: only the requests of one round are on disk at a time.
+ROUNDS = 3
 SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, ce_diff double"
 #: Arrays are stored as their bytes, all but ids and checks compressed: lengths and places of words are int32, ids uint64
 #: and checks uint32.
 _BLOCKS = "block long, doc_ids array<long>, trusted array<boolean>, lengths binary, places binary, ids binary, checks binary, n long"
-#: Ids of words (and their checks), or of first and second words; counts of the block (int32), or in all (int64).
-_REQUESTS = "bucket int, block long, one binary, two binary, target binary, background binary"
+#: Ids of words (and their checks), or of pairs: each first word once with the number of its second words (runs, int32), and
+#: the second words; counts of the block (int32), or in all (int64).
+_REQUESTS = "bucket int, block long, one binary, two binary, target binary, background binary, runs binary"
 #: kind: word or pair (totals for a block), used (what the listed pairs of some words take, for a bucket of words), or sum.
 _ANSWERS = "kind string, bucket int, block long, one binary, two binary, target binary, background binary, known array<long>"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -127,8 +131,8 @@ def _block_writer(buckets: int, seed: int):
 
 
 def _pairs(places: np.ndarray, lengths: np.ndarray, ids: np.ndarray, buckets: int):
-    """Distinct pairs of a block in the order of their buckets (first and second place, bucket), where a pair ends (not at
-    a document's first word), and which pair that is."""
+    """Distinct pairs of a block in the order of their buckets, then of their places (first and second place, bucket), where
+    a pair ends (not at a document's first word), and which pair that is."""
     inner = np.ones(len(places), bool)
     starts = np.cumsum(lengths) - lengths
     inner[starts[lengths > 0]] = False
@@ -147,8 +151,8 @@ def _opened(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _unpacked([row.lengths], "<i4").astype(np.int64), _unpacked([row.places], "<i4"), np.frombuffer(row.ids, "<u8")
 
 
-def _requests(buckets: int, of_pairs: bool):
-    """What each block asks for: its words, or its pairs, with its own counts."""
+def _requests(buckets: int, of_pairs: bool, turn: int):
+    """What each block asks the buckets of a round for: its words, or its pairs, with its own counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -161,11 +165,16 @@ def _requests(buckets: int, of_pairs: bool):
                 else:
                     one, two, bucket, which = ids, np.frombuffer(row.checks, "<u4"), _bucket(ids, buckets), places
                 counts = [np.bincount(which[flags], minlength=len(one)), np.bincount(which, minlength=len(one))]
-                rows = [
-                    (k, row.block, one[a:b].tobytes(), two[a:b].tobytes(), *(_packed(x[a:b], "<i4") for x in counts))
-                    for k, a, b in _cuts(bucket)
-                ]
-                yield pd.DataFrame(rows, columns=["bucket", "block", "one", "two", "target", "background"])
+                rows = []
+                for k, a, b in _cuts(bucket):
+                    if k % ROUNDS != turn:
+                        continue
+                    own, runs = one[a:b], None
+                    if of_pairs:  # second words of a first word stand together
+                        heads = _runs(own)
+                        own, runs = own[heads], _packed(np.diff(np.append(heads, b - a)), "<i4")
+                    rows.append((k, row.block, own.tobytes(), two[a:b].tobytes(), *(_packed(x[a:b], "<i4") for x in counts), runs))
+                yield pd.DataFrame(rows, columns=["bucket", "block", "one", "two", "target", "background", "runs"])
 
     return run
 
@@ -186,7 +195,7 @@ def _pair_totals(buckets: int):
     """Adds up one bucket of pairs, answers its blocks, and tells the buckets of words what the pairs of a word take."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        first, second = _array(group["one"], "<u8"), _array(group["two"], "<u8")
+        first, second = np.repeat(_array(group["one"], "<u8"), _unpacked(group["runs"], "<i4")), _array(group["two"], "<u8")
         order = np.lexsort((second, first))
         begins = _runs(first[order], second[order])
         sizes = np.diff(np.append(begins, len(order)))
@@ -197,7 +206,7 @@ def _pair_totals(buckets: int):
             whole = np.empty(len(order), np.int64)
             whole[order] = np.repeat(sums[-1], sizes)
             back.append(whole)
-        ends = np.cumsum([len(x) // 8 for x in group["one"]])
+        ends = np.cumsum([len(x) // 8 for x in group["two"]])
         bucket = int(group["bucket"].iloc[0])
         rows = [
             ("pair", bucket, block, None, None, _packed(back[0][a:b], "<i8"), _packed(back[1][a:b], "<i8"))
@@ -279,21 +288,30 @@ def difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/bigrams-{uuid.uuid4().hex}"
 
-    def stored(frame: DataFrame, name: str) -> DataFrame:
-        frame.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+    def stored(name: str, *frames: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+        for frame in frames:  # one after the other
+            with shuffles_dropped(spark):
+                frame.write.mode("append").partitionBy(*by).parquet(f"{folder}/{name}")
+        return spark.read.schema(frames[0].schema).parquet(f"{folder}/{name}")
 
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = 1 + chars // BUCKET_CHARS
     rows = docs.select("doc_id", F.col("doc_id").cast("long").alias("own_id"), "text")
     marked = with_trust(rows, labels, "trusted", "own_id", "text")
     for seed in count():
-        blocks = stored(marked.mapInPandas(_block_writer(buckets, seed), _BLOCKS), f"blocks-{seed}")
-        asked = blocks.mapInPandas(_requests(buckets, True), _REQUESTS)
-        pairs = stored(asked.groupBy("bucket").applyInPandas(_pair_totals(buckets), _ANSWERS), f"pairs-{seed}")
-        asked = blocks.mapInPandas(_requests(buckets, False), _REQUESTS).select(F.lit("word").alias("kind"), "*")
-        asked = asked.unionByName(pairs.where("kind = 'used'"), allowMissingColumns=True)
-        words = stored(asked.groupBy("bucket").applyInPandas(_word_totals, _ANSWERS), f"words-{seed}")
+        blocks = stored(f"blocks-{seed}", marked.mapInPandas(_block_writer(buckets, seed), _BLOCKS))
+
+        def asked(of_pairs: bool, turn: int) -> DataFrame:
+            return blocks.mapInPandas(_requests(buckets, of_pairs, turn), _REQUESTS)
+
+        def with_used(turn: int) -> DataFrame:
+            used = pairs.where((F.col("kind") == "used") & (F.col("bucket") % ROUNDS == turn))
+            return asked(False, turn).withColumn("kind", F.lit("word")).drop("runs").unionByName(used, allowMissingColumns=True)
+
+        turns = range(min(ROUNDS, buckets))
+        pairs = stored(f"pairs-{seed}", *[asked(True, k).groupBy("bucket").applyInPandas(_pair_totals(buckets), _ANSWERS) for k in turns], by=("kind",))
+        words = stored(f"words-{seed}", *[with_used(k).groupBy("bucket").applyInPandas(_word_totals, _ANSWERS) for k in turns])
+        deleted(spark, f"{folder}/pairs-{seed}/kind=used")  # the words' answers hold it
         known = words.where("kind = 'sum'").agg(*[F.coalesce(F.sum(F.get("known", F.lit(k))), F.lit(0)).alias(f"k{k}") for k in range(4)]).first()
         if not known.k3:  # else two words share an id, and other hashes are taken
             break

@@ -1,12 +1,15 @@
+import glob
 import math
 import re
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from messy import clashing, docs, labels
 
 from ascentframe.llm import language_model as M
-from ascentframe.llm.common import table
+from ascentframe.llm.common import DROP_SHUFFLES, shuffles_dropped, table
 
 
 def tokens(text):
@@ -62,6 +65,12 @@ def same(got, rows, wanted):
         assert (r.target_loss, r.background_loss, r.ce_diff) == pytest.approx((t, b, t - b), abs=1e-9)
 
 
+def shuffles_of(spark):
+    """Names of the shuffle files of the session, wherever it keeps them."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for k in range(len(folders)) for f in glob.glob(f"{folders[k].getPath()}/**/shuffle_*", recursive=True)}
+
+
 def test_messy_rows(spark):
     frame = docs(spark)
     rows = [(r.doc_id, r.text) for r in frame.collect()]
@@ -88,3 +97,27 @@ def test_no_word_or_pair_is_too_rare(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     marks = labels(spark, [(k, 1, 0) for k in (1, 100, 101)])
     same(M.difference(frame, marks).collect(), rows, brute(rows, {1, 100, 101}, 0))
+
+
+def test_a_first_word_is_sent_once_and_shuffles_go_with_their_write(spark, monkeypatch, tmp_path):
+    """First words of a bucket once each, and no shuffle files left by what was stored."""
+    ids = M._array((M.xxhash.xxh3_128_digest(w.encode(), 0) for w in "ab"), "<u8").reshape(-1, 2)
+    block = pd.DataFrame({
+        "block": [7], "trusted": [[True]], "lengths": [M._packed(np.array([6]), "<i4")],
+        "places": [M._packed(np.array([0, 0, 1, 0, 1, 1]), "<i4")], "ids": [ids[:, 0].tobytes()], "checks": [ids[:, 1].astype("<u4").tobytes()],
+    })
+    (sent,) = M._requests(1, True, 0)(iter([block]))
+    assert [len(x) for x in (sent["one"][0], sent["two"][0])] == [16, 32]
+    assert M._unpacked(sent["runs"], "<i4").tolist() == [2, 2]
+    assert M._unpacked(sent["background"], "<i4").tolist() == [1, 2, 1, 1]
+
+    asked = [next(M._requests(50, False, k)(iter([block])))["bucket"].tolist() for k in range(M.ROUNDS)]  # each bucket in one round
+    assert sorted(sum(asked, [])) == sorted(set(M._bucket(ids[:, 0], 50).tolist()))
+
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    rows = spark.range(1000).selectExpr("id % 10 AS k").groupBy("k").count()
+    with shuffles_dropped(spark):
+        known = shuffles_of(spark)
+        rows.write.parquet(str(tmp_path / "rows"))
+    assert shuffles_of(spark) <= known
+    assert spark.conf.get(DROP_SHUFFLES, None) == before
