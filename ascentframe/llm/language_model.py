@@ -8,7 +8,7 @@ Counts cover every document, every word and every pair of neighbouring words; no
 the corpus and is never gathered in one place. Documents are read once, into blocks of some million numbered words. Each
 block sends its distinct pairs, with its own counts, to buckets of pairs; a bucket adds up what all blocks sent and answers
 each block with the totals. Words go the same way. Buckets are asked in a few rounds, and what was sent is deleted once a
-round's answers are stored. At last a block's documents meet the answers to that block. However common a pair, a block asks
+round's answers are stored; blocks are scored in as many. At last a block's documents meet the answers to that block. However common a pair, a block asks
 for it once, and the number of buckets grows with the input; the bucket of the most common pair has one row of each block
 more than its fair share, that of the most common word one of each block and bucket of pairs.
 """
@@ -35,7 +35,8 @@ DISCOUNT = 0.75
 GATHERED = 1 << 19
 GROUP = 1 << 20
 BUCKET_CHARS = 1 << 22
-#: Buckets are asked in so many rounds, every bucket in one of them: only the requests of one round are on disk at a time.
+#: Buckets are asked in so many rounds, every bucket in one of them: only the requests of one round are on disk at a time. Blocks
+#: meet their answers in as many.
 ROUNDS = 3
 SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, ce_diff double"
 #: Arrays are stored as their bytes, all but ids and checks compressed: lengths and places of words are int32, ids uint64
@@ -226,6 +227,13 @@ def _pair_totals(buckets: int):
     return run
 
 
+def _merged_used(group: pd.DataFrame) -> pd.DataFrame:
+    """What the pairs of a round take of the words of one bucket, each word once."""
+    ids, where = np.unique(_array(group["one"], "<u8"), return_inverse=True)
+    sums = [_packed(np.bincount(where, _unpacked(group[name], "<f8"), len(ids)), "<f8") for name in ("target", "background")]
+    return _answers([("used", int(group["bucket"].iloc[0]), None, ids.tobytes(), None, *sums)])
+
+
 def _word_totals(group: pd.DataFrame) -> pd.DataFrame:
     """Adds up one bucket of words and answers its blocks; its sum row has in `known` the number of words, their counts, and
     how many words share the id of another."""
@@ -288,33 +296,37 @@ def difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/bigrams-{uuid.uuid4().hex}"
 
-    def stored(name: str, *frames: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-        for frame in frames:  # one after the other
-            with shuffles_dropped(spark):
-                frame.write.mode("append").partitionBy(*by).parquet(f"{folder}/{name}")
-        return spark.read.schema(frames[0].schema).parquet(f"{folder}/{name}")
+    def stored(frame: DataFrame, name: str) -> DataFrame:
+        with shuffles_dropped(spark):
+            frame.write.mode("append").parquet(f"{folder}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
 
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = 1 + chars // BUCKET_CHARS
     rows = docs.select("doc_id", F.col("doc_id").cast("long").alias("own_id"), "text")
     marked = with_trust(rows, labels, "trusted", "own_id", "text")
     for seed in count():
-        blocks = stored(f"blocks-{seed}", marked.mapInPandas(_block_writer(buckets, seed), _BLOCKS))
-
-        def asked(of_pairs: bool, turn: int) -> DataFrame:
-            return blocks.mapInPandas(_requests(buckets, of_pairs, turn), _REQUESTS)
-
-        def with_used(turn: int) -> DataFrame:
-            used = pairs.where((F.col("kind") == "used") & (F.col("bucket") % ROUNDS == turn))
-            return asked(False, turn).withColumn("kind", F.lit("word")).drop("runs").unionByName(used, allowMissingColumns=True)
-
+        blocks = stored(marked.mapInPandas(_block_writer(buckets, seed), _BLOCKS), f"blocks-{seed}")
         turns = range(min(ROUNDS, buckets))
-        pairs = stored(f"pairs-{seed}", *[asked(True, k).groupBy("bucket").applyInPandas(_pair_totals(buckets), _ANSWERS) for k in turns], by=("kind",))
-        words = stored(f"words-{seed}", *[with_used(k).groupBy("bucket").applyInPandas(_word_totals, _ANSWERS) for k in turns])
-        deleted(spark, f"{folder}/pairs-{seed}/kind=used")  # the words' answers hold it
+        for turn in turns:
+            asked = blocks.mapInPandas(_requests(buckets, True, turn), _REQUESTS)
+            both = stored(asked.groupBy("bucket").applyInPandas(_pair_totals(buckets), _ANSWERS), f"both-{seed}-{turn}")
+            pairs = stored(both.where("kind = 'pair'"), f"pairs-{seed}")
+            used = stored(both.where("kind = 'used'").groupBy("bucket").applyInPandas(_merged_used, _ANSWERS), f"used-{seed}")
+            deleted(spark, f"{folder}/both-{seed}-{turn}")
+        for turn in turns:
+            asked = blocks.mapInPandas(_requests(buckets, False, turn), _REQUESTS).withColumn("kind", F.lit("word")).drop("runs")
+            asked = asked.unionByName(used.where(F.col("bucket") % ROUNDS == turn), allowMissingColumns=True)
+            words = stored(asked.groupBy("bucket").applyInPandas(_word_totals, _ANSWERS), f"words-{seed}")
+        deleted(spark, f"{folder}/used-{seed}")
         known = words.where("kind = 'sum'").agg(*[F.coalesce(F.sum(F.get("known", F.lit(k))), F.lit(0)).alias(f"k{k}") for k in range(4)]).first()
         if not known.k3:  # else two words share an id, and other hashes are taken
             break
-    answers = words.where("kind = 'word'").unionByName(pairs.where("kind = 'pair'"))
+    answers = words.where("kind = 'word'").unionByName(pairs)
     own = blocks.select("block", "doc_ids", "lengths", "places", "ids")
-    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scorer(buckets, known.k0 + 1, [known.k1, known.k2]), SCORES)
+    score = _scorer(buckets, known.k0 + 1, [known.k1, known.k2])
+    for turn in range(ROUNDS):
+        mine = F.pmod(F.hash("block"), F.lit(ROUNDS)) == turn
+        met = own.where(mine).groupBy("block").cogroup(answers.where(mine).groupBy("block"))
+        scores = stored(met.applyInPandas(score, SCORES), "scores")
+    return scores

@@ -121,3 +121,12 @@ def test_a_first_word_is_sent_once_and_shuffles_go_with_their_write(spark, monke
         rows.write.parquet(str(tmp_path / "rows"))
     assert shuffles_of(spark) <= known
     assert spark.conf.get(DROP_SHUFFLES, None) == before
+
+
+def test_what_pairs_take_is_sent_once_for_each_word():
+    ids = [np.array(x, "<u8").tobytes() for x in ([3, 5], [5, 9])]
+    taken = [M._packed(np.array(x), "<f8") for x in ([0.25, 1.25], [2.25, 0.25])]
+    merged = M._merged_used(pd.DataFrame({"bucket": [4, 4], "one": ids, "target": taken, "background": taken}))
+    assert (merged["kind"].tolist(), merged["bucket"].tolist()) == (["used"], [4])
+    assert M._array(merged["one"], "<u8").tolist() == [3, 5, 9]
+    assert M._unpacked(merged["background"], "<f8").tolist() == [0.25, 3.5, 0.25]
