@@ -14,7 +14,7 @@ from ascentframe.operators import gates, survivorship, tracking
 from ascentframe.plans import importing
 from ascentframe.queries import views as V
 from ascentframe.queries.registry import query
-from ascentframe.session import ensure_checkpoint_dir, shared_dir
+from ascentframe.session import ensure_checkpoint_dir, shared_dir, small_batches
 from ascentframe.sources import archives
 
 _RE = N.ARCHIVE_PATTERN
@@ -216,10 +216,23 @@ def _archive_of(doc_id: int, text: str | None) -> bytes:
     return buffer.getvalue()[:20] if doc_id % 10 == 0 else buffer.getvalue()
 
 
+#: Bytes of archives that are handed on at once.
+ZIPPED = 4 << 20
+
+
 def _zipped(batches):
+    """The archives of all documents, handed on a few megabytes at a time."""
+    names, contents, held = [], [], 0
     for pdf in batches:
-        yield pd.DataFrame({"archive": [f"doc{i}.jar" for i in pdf["doc_id"]],
-                            "content": [_archive_of(int(i), t) for i, t in zip(pdf["doc_id"], pdf["text"])]})
+        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            names.append(f"doc{doc_id}.jar")
+            contents.append(_archive_of(int(doc_id), text))
+            held += len(contents[-1])
+            if held >= ZIPPED:
+                yield pd.DataFrame({"archive": names, "content": contents})
+                names, contents, held = [], [], 0
+    if names:
+        yield pd.DataFrame({"archive": names, "content": contents})
 
 
 @query("archive_member_listing", """
@@ -229,6 +242,7 @@ SELECT 'doc' || doc_id || '.jar' AS archive, 'rev' || lpad(rev::VARCHAR,3,'0') |
 UNION ALL SELECT 'doc' || doc_id || '.jar', 'readme.txt', CAST(doc_id%3+1 AS INTEGER), 5, false FROM documents WHERE doc_id%10<>0
 UNION ALL SELECT 'doc' || doc_id || '.jar', NULL, NULL, NULL, true FROM documents WHERE doc_id%10=0""")
 def archive_member_listing(spark, sf_dir):
+    small_batches(spark)  # both workers of a task hold whole texts
     docs = V.table(spark, sf_dir, "documents").select("doc_id", "text")
     zips = docs.mapInPandas(_zipped, "archive string, content binary")
     return archives.list_members(zips).select(
@@ -265,6 +279,7 @@ UNION ALL SELECT 'damaged', archive, NULL, NULL, NULL, true FROM d WHERE doc_id%
 def archive_discovery(spark, sf_dir):
     """Archives of all documents on disk: found with the length they were written with (``fits``), members listed from
     their tails (``fits``: less than a kilobyte was read of each, however long), damaged ones, and a root that is absent."""
+    small_batches(spark)
     root = f"{shared_dir(spark)}/archives-{uuid.uuid4().hex[:12]}"
     written = V.table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(_archives_in(root), "archive string, length long")
     ensure_checkpoint_dir(spark)

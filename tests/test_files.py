@@ -1,9 +1,11 @@
 import zipfile
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ascentframe.operators import gates, survivorship, tracking
 from ascentframe.plans import importing
+from ascentframe.queries import files as Q
 from ascentframe.sources import archives
 
 
@@ -105,6 +107,15 @@ def test_outcome_plan_has_two_scans_and_three_exchanges(spark):
     assert plan.count("FileScan") <= 2 and plan.count("Exchange hashpartitioning") <= 3 and "Join" not in plan
 
 
+def test_archives_are_handed_on_in_small_batches(monkeypatch):
+    monkeypatch.setattr(Q, "ZIPPED", 3000)
+    docs = pd.DataFrame({"doc_id": range(1, 60), "text": ["x" * 100] * 58 + [None]})
+    out = list(Q._zipped(iter([docs[:40], docs[40:]])))
+    assert len(out) > 5 and all(sum(map(len, x["content"][:-1])) < 3000 for x in out)
+    assert [a for x in out for a in x["archive"]] == [f"doc{k}.jar" for k in range(1, 60)]
+    assert [len(c) for x in out for c in x["content"]] == [len(Q._archive_of(k, t)) for k, t in zip(docs["doc_id"], docs["text"])]
+
+
 def test_archives_on_disk(spark, tmp_path):
     folder = tmp_path / "LIN-RS-01" / "2024"
     folder.mkdir(parents=True)
