@@ -88,6 +88,8 @@ def compare_profiles(expected: DataFrame, actual: DataFrame, keys: Sequence[str]
 
 #: Digests are sums of 31-bit remainders, so that sums and products fit 64 bits.
 PRIME = (1 << 31) - 1
+#: Soundings with fewer levels than that are compared by their levels where there are very many.
+DIGEST_LEVELS = 16
 
 
 def digested(levels: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
@@ -126,11 +128,33 @@ def compare_levels(expected: DataFrame, actual: DataFrame, key: str, order: str,
     """``compare_profiles`` by position (rank of ``order`` inside the sounding), for tables that mostly agree.
 
     Both sides are reduced to one digest row per sounding first; soundings with equal digests agree in every level.  Only
-    the levels of the others are shuffled, once: both sides are stacked, numbered and combined on one exchange.  ``pairs``
-    (key, _stored) tells which stored sounding belongs to which of ``expected`` where their numbers differ; one that
-    occurs twice is compared with all of its rows.
+    the levels of the others are shuffled, once: both sides are stacked, numbered and combined on one exchange.  Very many
+    short soundings have no digests, which would be half as large as their levels, and where too many soundings differ to
+    tell every task which, a look-up would exchange all levels before those are exchanged again: in both cases all levels
+    are stacked at once.  ``pairs`` (key, _stored) tells which stored sounding belongs to which of ``expected`` where
+    their numbers differ; one that occurs twice is compared with all of its rows.
     """
     spark = expected.sparkSession
+
+    def by_levels(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+        stacked = _side(mine, [key, order], columns, 0).unionByName(_side(theirs, [key, order], columns, 1))
+
+        def work(group: Group) -> DataFrame:
+            # dealt out by sounding alone: the windows and both combinations below need no further exchange
+            return (group if group.parts else group.on(group.df.repartition(key))).number("pos").df
+
+        placed = per_group(stacked, [key, "side"], [F.asc(order)], work)
+        return _by_column(placed, [key, "pos"], columns, key, absolute, both_sides_only)
+
+    def all_levels() -> DataFrame:
+        if pairs is None:
+            return by_levels(expected, actual)
+        return by_levels(expected, actual.withColumnRenamed(key, "_stored").join(pairs, "_stored").drop("_stored"))
+
+    size = expected.agg(F.count(F.lit(1)).alias("levels"), F.approx_count_distinct(key).alias("soundings")).first()
+    if size["soundings"] * CELL_BYTES > BROADCAST_BYTES and size["levels"] < DIGEST_LEVELS * size["soundings"]:
+        return all_levels()
+
     ours = digested(expected, key, order, columns).select(key, F.struct("levels", "digest", "counts").alias("e"))
     theirs = digested(actual, key, order, columns).select(F.col(key).alias("_stored"), F.struct("levels", "digest", "counts").alias("a"))
     if pairs is not None:
@@ -154,23 +178,14 @@ def compare_levels(expected: DataFrame, actual: DataFrame, key: str, order: str,
     count = apart.count()
     if not count:
         return agreed
-    if count * CELL_BYTES <= BROADCAST_BYTES:
-        apart = F.broadcast(apart)
+    if count * CELL_BYTES > BROADCAST_BYTES:
+        return all_levels()
+    apart = F.broadcast(apart)
     if pairs is None:
         found = join_same(actual, apart, [key], "left_semi")
     else:
-        wanted = pairs.join(apart, key)
-        found = actual.withColumnRenamed(key, "_stored").join(
-            F.broadcast(wanted) if count * CELL_BYTES <= BROADCAST_BYTES else wanted, "_stored").drop("_stored")
-    stacked = _side(join_same(expected, apart, [key], "left_semi"), [key, order], columns, 0).unionByName(
-        _side(found, [key, order], columns, 1))
-
-    def work(group: Group) -> DataFrame:
-        # dealt out by sounding alone: the windows and both combinations below need no further exchange
-        return (group if group.parts else group.on(group.df.repartition(key))).number("pos").df
-
-    placed = per_group(stacked, [key, "side"], [F.asc(order)], work)
-    return agreed.unionByName(_by_column(placed, [key, "pos"], columns, key, absolute, both_sides_only))
+        found = actual.withColumnRenamed(key, "_stored").join(F.broadcast(pairs.join(apart, key)), "_stored").drop("_stored")
+    return agreed.unionByName(by_levels(join_same(expected, apart, [key], "left_semi"), found))
 
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*"

@@ -225,6 +225,25 @@ def test_levels_that_differ_are_shuffled_once(spark):
     assert _plan(out).count("Exchange hashpartitioning") == 1 and out.where("off = 400").count() == 10
 
 
+@pytest.mark.parametrize("digests", [True, False])
+@pytest.mark.parametrize("paired", [True, False])
+def test_levels_of_very_many_soundings_are_exchanged_once(spark, monkeypatch, digests, paired):
+    """No look-up of those that differ, which exchanged all levels before; the same rows as by digests."""
+    rows = spark.range(4000).selectExpr("id % 1000 AS k", "id", "CAST(id * 0.5 AS DOUBLE) AS t")
+    other = rows.where("k % 7 > 0 AND id % 1000 < 990").withColumn("t", F.when(F.col("k") % 3 > 0, F.col("t") + 1).otherwise(F.col("t")))
+    pairs = None
+    if paired:
+        other, pairs = other.withColumn("k", F.col("k") + 5000), spark.range(1000).selectExpr("id AS k", "id + 5000 AS _stored")
+    got = lambda: reconcile.compare_levels(rows, other, "k", "id", ["t"], pairs=pairs)
+    want = sorted(map(tuple, got().collect()))
+    monkeypatch.setattr(reconcile, "BROADCAST_BYTES", 1000)
+    monkeypatch.setattr(reconcile, "DIGEST_LEVELS", 1 if digests else 16)
+    out = got()
+    plan = _plan(out)
+    assert sorted(map(tuple, out.collect())) == want
+    assert "LeftSemi" not in plan and plan.count("REPARTITION_BY_COL") == 1
+
+
 @pytest.mark.parametrize(
     "name, expected, actual, match",
     [("a", "12.5 hPa", "12.50001 hPa", True), ("a", "12.5", "12.50001", True), ("a", "12.5 hPa", "12.50001", False), ("a", "12.5", "12.6", False),
