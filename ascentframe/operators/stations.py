@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ascentframe.functions import text
 from ascentframe.operators.ordered import per_group
+from ascentframe.session import ensure_checkpoint_dir
 
 DESCRIPTIVE = ("name", "latitude", "longitude", "elevation", "wmoid")
 
@@ -52,7 +53,9 @@ def upsert_stations(current: DataFrame, incoming: DataFrame, network: str, order
     the incoming description and the network; an unmatched incoming one gets the
     next ids in order of its code; the others stay.  Of incoming rows with one
     code the last by ``order`` counts."""
-    incoming = latest_rows(incoming, order)
+    # read for both halves, and to count and number the new ones: written down, so that pages are taken apart once
+    ensure_checkpoint_dir(incoming.sparkSession)
+    incoming = latest_rows(incoming, order).checkpoint(eager=True)
     merged = (
         current.alias("c")
         .join(incoming.alias("n"), F.col("c.idstation") == F.col("n.idstation"), "left")

@@ -23,9 +23,16 @@ def element_bodies(html: Column, tag: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), F.lit(1))
 
 
+#: Pages that a task takes apart; a small file of pages would else be the work of one task.
+PART_PAGES = 10_000
+
+
 def table_rows(pages: DataFrame, html: str, keep: list[str]) -> DataFrame:
     """One row per body row of the first table of each page, header row left
     out: ``row_no`` (from 1) and ``cells`` (array of text)."""
+    parts = -(-pages.count() // PART_PAGES)
+    if parts > 1:
+        pages = pages.repartition(parts, *keep)
     first_table = F.get(element_bodies(F.col(html), "table"), 0)
     rows = pages.select(*keep, F.posexplode(element_bodies(first_table, "tr")).alias("row_no", "_row"))
     cells = F.transform(element_bodies(F.col("_row"), "td"), plain_text)

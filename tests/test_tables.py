@@ -316,6 +316,17 @@ def test_site_table(spark):
     assert [tuple(r) for r in got] == [("LAU", "Lauder", -45.05, 169.68, 112.0, None)]
 
 
+def test_pages_are_dealt_out_and_taken_apart_once(spark, monkeypatch):
+    from ascentframe.queries import QUERIES
+
+    monkeypatch.setattr(html, "PART_PAGES", 10)
+    pages = spark.range(95).selectExpr("id", "concat('<table><tr><th>x</th></tr><tr><td>', id, '</td></tr></table>') AS page").coalesce(1)
+    rows = html.table_rows(pages, "page", ["id"])
+    assert rows.rdd.getNumPartitions() == 10 and {(r["id"], r["cells"][0]) for r in rows.collect()} == {(k, str(k)) for k in range(95)}
+    plan = QUERIES["station_refresh"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
 def test_mandatory_and_required(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
     got = {r["column_name"]: r["missing"] for r in schema.mandatory_violations(df, ("a", "b")).collect()}
