@@ -172,8 +172,8 @@ def process_archives(members: DataFrame, verdicts: DataFrame, errors: DataFrame
 
 def archive_events(outcomes: DataFrame, sonde: str, seq: int, at: Column | None = None) -> DataFrame:
     """Tracking events of processed archives: imported with the summary, or failed with the reason."""
-    files = outcomes.withColumns({"sonde": F.lit(sonde), "filename": naming.base_name(F.col("archive"))})
+    files = outcomes.where(F.col("success").isNotNull()).withColumns(
+        {"sonde": F.lit(sonde), "filename": naming.base_name(F.col("archive"))})
     when = at if at is not None else F.current_timestamp()
-    good = tracking.event(files.where("success"), tracking.IMPORTED, F.lit(seq), when, F.col("note"))
-    bad = tracking.event(files.where("NOT success"), tracking.FAILED, F.lit(seq), text=F.col("note"))
-    return good.unionByName(bad)
+    kind = F.when(F.col("success"), tracking.IMPORTED).otherwise(tracking.FAILED)
+    return tracking.event(files, kind, F.lit(seq), F.when(F.col("success"), when), F.col("note"))

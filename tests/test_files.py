@@ -107,6 +107,16 @@ def test_outcome_plan_has_two_scans_and_three_exchanges(spark):
     assert plan.count("FileScan") <= 2 and plan.count("Exchange hashpartitioning") <= 3 and "Join" not in plan
 
 
+def test_outcomes_become_events_in_one_pass(spark):
+    from ascentframe.queries import QUERIES
+
+    outcomes = spark.createDataFrame([("x/a", True, "good"), ("x/b", False, "bad"), ("x/c", None, None)], "archive string, success boolean, note string")
+    rows = importing.archive_events(outcomes, "RS41", 7).collect()
+    assert sorted((r["filename"], r["kind"], r["seq"], r["at"] is None, r["text"]) for r in rows) == [
+        ("a", tracking.IMPORTED, 7, False, "good"), ("b", tracking.FAILED, 7, True, "bad")]
+    assert _plan(QUERIES["archive_import_state"](spark, "/root/testdata/sf0.001")).count("FileScan") <= 2
+
+
 def test_archives_are_handed_on_in_small_batches(monkeypatch):
     monkeypatch.setattr(Q, "ZIPPED", 3000)
     docs = pd.DataFrame({"doc_id": range(1, 60), "text": ["x" * 100] * 58 + [None]})
