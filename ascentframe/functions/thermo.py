@@ -7,6 +7,8 @@ otherwise.  A result outside the domain of its formula is NULL.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ R_DRY = 287.0474709
 GRAVITY = 9.80665
 ZERO_C = 273.15
 LIFT_STEPS = 8
+#: A step that moves the temperature (K) by less is the last: the next would move it by its square, below the last digit.
+SETTLED = 1e-7
 
 
 def _positive(col: Column) -> Column:
@@ -71,7 +75,8 @@ def saturated_temperature(press: Column | str, theta_e: Column | str, lcl_k: Col
 
     Newton steps on ln(theta_e).  The start is an upper bound of the solution and
     the function is convex there, so the steps fall monotonically; eight reach
-    1e-9 K over the range of soundings.  The steps are a fold over a short array:
+    1e-9 K over the range of soundings, and most levels settle after three or four,
+    which ends their steps.  The steps are a fold over a short array:
     the expression has the size of one step, however often it is used, no Python
     runs, and rows stay in their partitions.
     """
@@ -79,24 +84,26 @@ def saturated_temperature(press: Column | str, theta_e: Column | str, lcl_k: Col
     goal = F.ln(theta_e)
     start = F.when(lcl_k.isNotNull(), F.least(lcl_k, theta_e * F.pow(press / 1000.0, F.lit(KAPPA))))
 
-    def step(temp: Column, _) -> Column:
-        vapour = saturation_pressure(temp)
-        parts = F.struct(vapour.alias("v"), mixing_ratio(press, vapour).alias("m"))
-        return _let(parts, lambda s: temp - _excess_over_slope(temp, s["v"], s["m"]))
-
-    def _excess_over_slope(temp: Column, vapour: Column, mix: Column) -> Column:
-        dry, heat = press - vapour, 3036.0 / temp - 1.78
-        value = F.ln(temp) + KAPPA * F.ln(1000.0 / dry) + mix * (1.0 + 0.448 * mix) * heat - goal
-        vapour_slope = vapour * (17.67 * 243.5) / ((temp - 29.65) * (temp - 29.65))
-        slope = (
-            1.0 / temp + KAPPA * vapour_slope / dry
-            + EPSILON * press * vapour_slope / (dry * dry) * (1.0 + 0.896 * mix) * heat
-            - mix * (1.0 + 0.448 * mix) * 3036.0 / (temp * temp)
-        )
+    def moved(temp: Column, dry: Column, mix: Column, goal: Column) -> Column:
+        """Excess over slope.  What is interpreted costs by its operations, so common factors are drawn out."""
+        heat, wet = 3036.0 / temp - 1.78, mix * (1.0 + 0.448 * mix)
+        value = F.ln(temp) - KAPPA * F.ln(dry) + wet * heat - goal
+        # vapour / dry is mix / EPSILON
+        rise = mix * (17.67 * 243.5 / EPSILON) / ((temp - 29.65) * (temp - 29.65))
+        slope = 1.0 / temp + rise * (KAPPA + EPSILON * press / dry * (1.0 + 0.896 * mix) * heat) - wet * 3036.0 / (temp * temp)
         return value / slope
 
+    def step(at: Column, _) -> Column:
+        temp, goal = at["temp"], at["goal"]
+        dry = _let(saturation_pressure(temp), lambda v: F.when(press > v, F.struct((press - v).alias("d"), (EPSILON * v / (press - v)).alias("m"))))
+        by = _let(dry, lambda s: moved(temp, s["d"], s["m"], goal))
+        after = _let(by, lambda d: F.struct((temp - d).alias("temp"), goal.alias("goal"), (F.abs(d) >= SETTLED).alias("on")))
+        # a step without a solution leaves no flag and no temperature, and ends the steps too
+        return F.when(at["on"], after).otherwise(at)
+
+    first = F.struct(start.alias("temp"), (goal - KAPPA * math.log(1000.0)).alias("goal"), F.lit(True).alias("on"))
     known = goal.isNotNull() & start.isNotNull()
-    return F.when(known, F.aggregate(F.array_repeat(F.lit(0), LIFT_STEPS), start, step))
+    return F.when(known, F.aggregate(F.array_repeat(F.lit(0), LIFT_STEPS), first, step, lambda at: at["temp"]))
 
 
 def celsius(temp_k: Column) -> Column:

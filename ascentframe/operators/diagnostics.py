@@ -26,10 +26,11 @@ def _by_validity(group: Group) -> Group:
     return Group(group.df, VALID_KEYS, top_down_order(), group.parts)
 
 
-def diagnosed_levels(levels: DataFrame, min_levels: int = C.MIN_VALID_LEVELS) -> DataFrame:
+def diagnosed_levels(levels: DataFrame, min_levels: int = C.MIN_VALID_LEVELS, sizes: DataFrame | None = None) -> DataFrame:
     """Every input level with td (Celsius), theta, theta_e (K) and
     parcel_profile (Celsius).  The four are NULL on invalid levels and in
-    soundings with fewer than ``min_levels`` valid ones; no level is lost."""
+    soundings with fewer than ``min_levels`` valid ones; no level is lost.
+    ``sizes``: as in ``per_group``."""
     keep = levels.columns
 
     def work(group: Group) -> DataFrame:
@@ -45,7 +46,7 @@ def diagnosed_levels(levels: DataFrame, min_levels: int = C.MIN_VALID_LEVELS) ->
         return split.df.select(*keep, "valid", "n_valid",
                                *[F.when(use, col).alias(name) for name, col in values.items()])
 
-    return over_soundings(levels, work)
+    return over_soundings(levels, work, sizes)
 
 
 def _indices() -> dict:

@@ -224,14 +224,16 @@ def _type(df: DataFrame, name: str):
 
 
 def per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-              work: Callable[[Group], DataFrame]) -> DataFrame:
+              work: Callable[[Group], DataFrame], sizes: DataFrame | None = None) -> DataFrame:
     """Run ``work`` over ordered groups, with hot groups cut into parts.
 
-    Rows that are equal in the whole ``order`` stay together.
+    Rows that are equal in the whole ``order`` stay together.  ``sizes`` (keys, _n) are the rows of each group where they
+    are known already; else they are counted, which works ``df`` out once more.
     """
     spark = df.sparkSession
     limit = hot_limit(spark)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.where(F.col("_n") > limit).withColumn(CELLS, (F.ceil(F.col("_n") / F.lit(limit)) * OVERSPLIT).cast("int"))
     tally = hot.agg(F.count(F.lit(1)).alias("groups"), F.sum(CELLS).alias("parts")).first()
     if not tally["groups"]:

@@ -32,7 +32,8 @@ def with_surface(group: Group) -> Group:
 def with_ascent(group: Group) -> Group:
     """Parcel temperature ``tp`` (K): dry adiabat up to the LCL, then saturated."""
     moist = th.saturated_temperature(F.col("p"), F.col("sfc.theta_e"), F.col("lcl_t"))
-    group = group.with_columns({"_moist": moist})
+    # below the LCL the steps are not worked out
+    group = group.with_columns({"_moist": F.when(F.col("p") < F.col("lcl_p"), moist)})
     dry = F.col("sfc.tk") * F.pow(F.col("p") / F.col("sfc.p"), F.lit(th.KAPPA))
     tp = F.when(F.col("lcl_p").isNotNull(), F.when(F.col("p") >= F.col("lcl_p"), dry).otherwise(F.col("_moist")))
     group = group.on(group.df.withColumn("tp", tp).drop("_moist"))

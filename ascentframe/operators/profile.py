@@ -93,14 +93,14 @@ def top_down_order() -> list[Column]:
     return [F.desc("press"), F.desc("level_idx")]
 
 
-def over_soundings(levels: DataFrame, work) -> DataFrame:
+def over_soundings(levels: DataFrame, work, sizes: DataFrame | None = None) -> DataFrame:
     """Runs ``work`` on groups of one sounding's levels in profile order, with
     humidity scaled and validity marked."""
 
     def prepared(group: Group) -> DataFrame:
         return work(mark_valid(scale_humidity(group)))
 
-    return per_group(with_optional(levels), [KEY], top_down_order(), prepared)
+    return per_group(with_optional(levels), [KEY], top_down_order(), prepared, sizes)
 
 
 def valid_levels(group: Group, at_least: int = C.MIN_VALID_LEVELS) -> Group:

@@ -129,12 +129,14 @@ def load_soundings(levels: DataFrame, attrs: DataFrame, stations: DataFrame, net
     good = first_ids(good, _start_id(good, root, batch)).checkpoint(eager=True)
 
     keys = good.select("g_product_id", "conventions", "station_key", "idstation_pk", "report_timestamp", "first_observation_id")
-    numbered = per_group(levels.join(keys, "g_product_id"), ["g_product_id"], [F.asc(order)], lambda g: g.number("_nth").df)
+    # counted above: neither the numbering nor the diagnostics work the levels out again to find hot soundings
+    sizes = good.groupBy("g_product_id").agg(F.sum("n_levels").alias("_n"))
+    numbered = per_group(levels.join(keys, "g_product_id"), ["g_product_id"], [F.asc(order)], lambda g: g.number("_nth").df, sizes)
     kept = numbered.withColumns({
         "observation_id": F.col("first_observation_id") + F.col("_nth") - 1,
         "g_general_sitewmoid": F.when(F.col("conventions").isin(*C.OLD_DIALECTS), F.col("station_key")),
     }).drop("_nth", "first_observation_id", "station_key")
-    out_levels = diagnostics.diagnosed_levels(kept).drop("valid", "n_valid", "conventions")
+    out_levels = diagnostics.diagnosed_levels(kept, sizes=sizes).drop("valid", "n_valid", "conventions")
     if level_contract is not None:
         out_levels = schema.align_to_contract(out_levels, level_contract).df
     schemas = {LEVELS: writers.write_run(out_levels, place[LEVELS], monthly=True)}

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ascentframe.operators import ordered
 from ascentframe.operators.ordered import Group, per_group
 
 
@@ -145,3 +146,20 @@ def test_reach_is_the_same_on_both_paths(spark, hot_groups, limit):
     usual = sorted(map(tuple, _reach(df, None, hot_groups, spark).collect()), key=repr)
     cut = sorted(map(tuple, _reach(df, limit, hot_groups, spark).collect()), key=repr)
     assert cut == usual and any(r[2] for r in usual)
+
+
+def test_groups_of_known_size_are_not_counted_again(spark, hot_groups):
+    hot_groups(20)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def looked(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(60).select(looked("id").alias("i"), F.when(F.col("id") < 50, 1).otherwise(2).alias("k"))
+    sizes = spark.createDataFrame([(1, 10), (2, 10)], "k int, _n long")
+    ordered.per_group(rows, ["k"], [F.asc("i")], lambda group: group.number("n").df, sizes)
+    assert seen.value == 0
+    got = ordered.per_group(rows, ["k"], [F.asc("i")], lambda group: group.number("n").df, sizes.replace(10, 50, ["_n"]))
+    assert sorted(map(tuple, got.select("k", "i", "n").collect())) == [(1, i, i + 1) for i in range(50)] + [(2, i, i - 49) for i in range(50, 60)]
