@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ascentframe import contracts as C
 from ascentframe.operators import catalog, cdm, reconcile, schema, stations
 from ascentframe.plans import exporting, verifying
+from ascentframe.session import DROP_SHUFFLES
 from ascentframe.sinks import snapshots, writers
 from ascentframe.sources import html, tables
 
@@ -456,3 +457,39 @@ def test_tiles(spark):
     df = spark.sql("SELECT 52.2D AS `latitude|station_configuration`, -3.1D AS `longitude|station_configuration`")
     row = cdm.with_tiles(df).first()
     assert (row["lat_tile"], row["lon_tile"]) == (50, -10)
+
+
+def test_many_levels_are_exported_and_indexed_in_rounds_of_whole_months(spark, store, tmp_path, monkeypatch):
+    """What a round shuffles is deleted before the next; before, all months were shuffled at once and stored three times as large."""
+    assert cdm.month_rounds({(2020, 12): 5, (2021, 1): 3}) == [[(2020, 12), (2021, 1)]] and cdm.month_rounds({}) == []
+    monkeypatch.setattr(cdm, "ROUND_LEVELS", 100)
+    assert cdm.month_rounds({(2020, m): 100 for m in (3, 1, 2)} | {(2019, 4): 50, (None, None): 1}) == [
+        [(2019, 4)], [(2020, 1)], [(2020, 2)], [(2020, 3)], [(None, None)]]
+    many = spark.range(900).select(
+        (F.col("id") % 2 + 1).alias("g_product_id"), F.col("id").alias("observation_id"),
+        F.expr("timestamp'2020-11-01 12:00:00' + make_interval(0, CAST(id % 3 AS INT), 0, CAST(id % 5 AS INT))").alias("report_timestamp"),
+        (F.col("id") * 1.0).alias("temp"), (900.0 - F.col("id")).alias("alt"))
+    seen, write = [], writers.write_long_table
+
+    def watched(long, path):
+        seen.append((long.select("report_timestamp").distinct().count(), spark.conf.get(DROP_SHUFFLES)))
+        write(long, path)
+
+    monkeypatch.setattr(writers, "write_long_table", watched)
+    found = {}
+    for timed in (True, False):
+        path = str(tmp_path / f"long-{timed}")
+        assert exporting.export_months(many, store[1].drop("report_timestamp"), store[2], path, months_of=many, levels_timed=timed).count() == 3
+        assert seen == [(5, "true")] * 3 and spark.conf.get(DROP_SHUFFLES, None) != "true"
+        seen.clear()
+        back = spark.read.parquet(path)
+        assert sorted(map(tuple, back.groupBy("year", "month").count().collect())) == [(2020, 11, 4500), (2020, 12, 4500), (2021, 1, 4500)]
+        found[timed] = sorted(map(str, back.collect()))
+        for _ in range(2):  # a new index takes the old one's place
+            catalog.write_launch_index(spark, path)
+        index = catalog.launch_index(spark, path)
+        assert index.agg(F.sum("rows")).first()[0] == 13500 and spark.read.parquet(path).count() == 13500
+        assert not [p for p in (tmp_path / f"long-{timed}").iterdir() if p.name.startswith("_draft")]
+        part = next((tmp_path / f"long-{timed}" / "year=2020" / "month=12").glob("*.parquet"))
+        assert ".zstd." in part.name
+    assert found[True] == found[False]
