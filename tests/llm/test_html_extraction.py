@@ -1,5 +1,6 @@
 import html
 import json
+import random
 import re
 
 from messy import rows_of
@@ -89,6 +90,27 @@ def test_tree_matching():
     assert [(x and x.key, y and y.key) for x, y in long] == [("a", None), ("b", "b"), ("c", None), (None, "x"), ("a", "a"), (None, "a"), ("b", "b")] or sum(1 for x, y in long if x and y) >= 2
 
 
+def test_long_lists_are_matched_whole(monkeypatch):
+    """Lists over CELLS were matched from the front, which lost what comes after an early stray match."""
+    words = [T.rebuilt(f"k{n}(x)") for n in range(200)]
+    pairs = T._beside([T.Shape("far"), *words], [*(T.rebuilt(f"k{n}(x)") for n in range(200)), T.Shape("far")])
+    assert sum(1 for x, y in pairs if x and y) == 200 and len(pairs) == 202
+    a, b = T.Shape("a"), T.Shape("a")
+    a.children, b.children = [T.Shape("far"), *words], [*words, T.Shape("far")]
+    assert T.matching(a, b, {}) == 401
+
+    def some(seed, most):
+        pick = random.Random(seed)
+        return [T.rebuilt(pick.choice(["a", "b", "c(x)", "c(y,x)", "c(x,y,z)", "d(c(x),c(y))", "d(c(y))"])) for _ in range(pick.randint(0, most))]
+
+    lists = [(some(seed, 12), some(seed + 1000, 12)) for seed in range(150)]
+    whole = [T._beside(*both) for both in lists]
+    monkeypatch.setattr(T, "CELLS", 0)
+    for limit in (1 << 22, 0):
+        monkeypatch.setattr(T, "WEIGHTS", limit)
+        assert all(T._beside(*both) == was for both, was in zip(lists, whole))
+
+
 def test_collapsed_trees():
     def tree(html):
         return T.written(T.collapse(T.parse(html)))
