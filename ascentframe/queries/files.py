@@ -205,11 +205,11 @@ def archive_import_state(spark, sf_dir):
         "filename", F.col("date_of_import").isNotNull().alias("imported"), "note", "detail")
 
 
-def _archive_of(doc_id: int, text: str | None) -> bytes:
+def _archive_of(doc_id: int, text: str | None, packing: int = zipfile.ZIP_STORED) -> bytes:
     """A small archive of a document, its text in one to three members by the document's number; every tenth archive is
     cut short (damaged)."""
     buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as z:
+    with zipfile.ZipFile(buffer, "w", packing, compresslevel=1) as z:
         for rev in range(1, doc_id % 3 + 2):
             z.writestr(f"rev{rev:03d}/doc{doc_id}.nc", text or "")
         z.writestr("readme.txt", "about")
@@ -257,7 +257,7 @@ def _archives_in(folder: str):
         for pdf in batches:
             sizes = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                data = _archive_of(int(doc_id), text)
+                data = _archive_of(int(doc_id), text, zipfile.ZIP_DEFLATED)
                 store.create_dir(f"{place}/{doc_id % 100}", recursive=True)
                 with store.open_output_stream(f"{place}/{doc_id % 100}/doc{doc_id}.jar") as file:
                     file.write(data)

@@ -250,3 +250,33 @@ def test_first_reason_wins_and_nothing_is_lost(spark):
     }
     assert gates.accepted(judged).count() + gates.rejected(judged).count() == 8
     assert judged.where("reason IS NULL").first()["idstation_pk"] == 9
+
+
+def test_trees_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver held every file of a tree, for Spark's index and for the member source; the rows are the same."""
+    root = tmp_path / "a b%20"
+    for k in range(60):
+        folder = root / ["", "x", "x/y z", "x/y z/deep/er", "_kept=1", "_hidden", ".dot"][k % 7]
+        folder.mkdir(parents=True, exist_ok=True)
+        with zipfile.ZipFile(folder / f"é{k}.jar", "w") as z:
+            z.writestr("a.nc", b"x" * k)
+        (folder / f"{k}.txt").write_text("x")
+        (folder / f"_{k}.jar").write_bytes(b"no zip")
+    (root / "x" / "gone.jar").symlink_to(root / "nothing")
+    columns = ["path", "length", "modificationTime"]
+    for pattern in ("*.jar", "é{1,3}*.jar", "é[0-3]?.j*"):
+        spark_s = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(str(root))
+        was = sorted(map(tuple, spark_s.select(*columns).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(type(spark), "read", property(lambda _: pytest.fail("the driver lists")))
+            found = archives.discover(spark, str(root), pattern)
+        assert found.columns == columns and sorted(map(tuple, found.collect())) == was and was
+        assert found.schema == spark_s.select(*columns).schema
+    monkeypatch.setattr(archives, "LISTED", 3)
+    one = str(root / "x" / "é1.jar")
+    assert [r["path"] for r in archives.discover(spark, one).collect()] == [f"file:{one}"]
+    plain = tmp_path / "plain"
+    root.rename(plain)
+    rows = archives.read_members(spark, f"file://{plain}").collect()
+    assert sorted(map(str, rows)) == sorted(map(str, spark.read.format("archive_members").load(str(plain)).collect()))
+    assert sum(r["error"] is None for r in rows) == 60 and sum(r["error"] is not None for r in rows) == 60
