@@ -16,7 +16,9 @@ stay below ``BROADCAST_BYTES``; beyond that Spark joins by key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -223,15 +225,30 @@ def _type(df: DataFrame, name: str):
     return df.schema[name].dataType
 
 
+_known: ContextVar[DataFrame | None] = ContextVar("sizes of groups", default=None)
+
+
+@contextmanager
+def sizes_known(sizes: DataFrame) -> Iterator[None]:
+    """``per_group`` over the keys of ``sizes`` (keys, _n) takes them, instead of counting groups again."""
+    before = _known.set(sizes)
+    try:
+        yield
+    finally:
+        _known.reset(before)
+
+
 def per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
               work: Callable[[Group], DataFrame], sizes: DataFrame | None = None) -> DataFrame:
     """Run ``work`` over ordered groups, with hot groups cut into parts.
 
     Rows that are equal in the whole ``order`` stay together.  ``sizes`` (keys, _n) are the rows of each group where they
-    are known already; else they are counted, which works ``df`` out once more.
+    are known already (or ``sizes_known``); else they are counted, which works ``df`` out once more.
     """
     spark = df.sparkSession
     limit = hot_limit(spark)
+    if sizes is None and (known := _known.get()) is not None and set(known.columns) == {*keys, "_n"}:
+        sizes = known
     if sizes is None:
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.where(F.col("_n") > limit).withColumn(CELLS, (F.ceil(F.col("_n") / F.lit(limit)) * OVERSPLIT).cast("int"))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ascentframe import contracts as C
 from ascentframe.functions import naming, text
 from ascentframe.operators import diagnostics, gates, schema, survivorship, tracking
-from ascentframe.operators.ordered import per_group
+from ascentframe.operators.ordered import per_group, sizes_known
 from ascentframe.session import ensure_checkpoint_dir
 from ascentframe.sinks import snapshots, writers
 
@@ -136,7 +136,8 @@ def load_soundings(levels: DataFrame, attrs: DataFrame, stations: DataFrame, net
         "observation_id": F.col("first_observation_id") + F.col("_nth") - 1,
         "g_general_sitewmoid": F.when(F.col("conventions").isin(*C.OLD_DIALECTS), F.col("station_key")),
     }).drop("_nth", "first_observation_id", "station_key")
-    out_levels = diagnostics.diagnosed_levels(kept, sizes=sizes).drop("valid", "n_valid", "conventions")
+    with sizes_known(sizes):
+        out_levels = diagnostics.diagnosed_levels(kept).drop("valid", "n_valid", "conventions")
     if level_contract is not None:
         out_levels = schema.align_to_contract(out_levels, level_contract).df
     schemas = {LEVELS: writers.write_run(out_levels, place[LEVELS], monthly=True)}
