@@ -493,3 +493,16 @@ def test_many_levels_are_exported_and_indexed_in_rounds_of_whole_months(spark, s
         part = next((tmp_path / f"long-{timed}" / "year=2020" / "month=12").glob("*.parquet"))
         assert ".zstd." in part.name
     assert found[True] == found[False]
+
+
+def test_encoded_numbers_travel_as_they_are_stored(spark, store, monkeypatch):
+    """The exchange of the levels held doubles, which are stored as floats."""
+    from ascentframe.queries import longtable
+
+    wide = store[0].withColumns({"temp": F.col("temp") / 3, "press": F.when(F.col("press") == 1, F.lit(1e300)).otherwise(F.col("press") / 7)})
+    both = [cdm.encoded_long_table(exporting.build_long_table(wide, *store[1:], kind=kind)) for kind in ("double", "float")]
+    assert both[0].schema == both[1].schema and sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
+    seen, made = [], cdm.level_measures
+    monkeypatch.setattr(cdm, "level_measures", lambda *args: seen.append(made(*args)) or seen[-1])
+    longtable.encoded_long_table(spark, "/root/testdata/sf0.001")
+    assert dict(seen[0].dtypes)["_value"] == "array<float>"
